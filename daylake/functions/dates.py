@@ -21,7 +21,7 @@ _ISO_DAY_RE = re.compile(r"\d{4}-\d{2}-\d{2}")
 def strict_date(c: Column) -> Column:
     """Exactly ``YYYY-MM-DD`` (after trim) and a real calendar day, else NULL."""
     t = F.trim(c)
-    return F.when(t.rlike(ISO_DAY), F.try_to_date(t, F.lit("yyyy-MM-dd")))
+    return F.when(t.rlike(ISO_DAY), F.try_to_date(t, "yyyy-MM-dd"))
 
 
 def parse_date(value: str) -> _dt.date:

@@ -62,6 +62,7 @@ def write_landing(df: DataFrame, landing_root: str, source: str, catalog: Catalo
     else:
         out = out.repartition(F.col(DAY))
     (out.write.mode(mode).partitionBy(DAY)
+        .option("partitionOverwriteMode", "dynamic")
         .option("sep", "\t").option("header", True).option("quote", "")
         .option("emptyValue", "").option("nullValue", "")
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
