@@ -30,7 +30,8 @@ from daylake.sinks import fs
 from daylake.sinks.raw_store import (publish_days, staged_counts, storage_mapping,
                                      write_empty_day, write_staged)
 from daylake.sources.catalog import Catalog
-from daylake.sources.landing import cells, day_expectations, part_stats, scan_lines, source_dir
+from daylake.sources.landing import (cells, day_expectations, day_in, part_stats, scan_lines,
+                                     source_dir)
 
 DAY = "load_date"
 BROADCAST_FILES_MAX = 200_000  # part-table rows (path + two longs) safe to broadcast
@@ -61,8 +62,11 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
         return _report(spark, rows)
 
     # Pass 1: one row per part file.
-    lines = scan_lines(spark, landing, source, days)
-    stats = part_stats(lines).checkpoint()
+    # Written once to the run's folder (shared storage): later steps read the
+    # small table instead of scanning the text again, and lineage is cut.
+    parts_path = f"{lake.rstrip('/')}/staging/{run_id}/_parts/{source}"
+    part_stats(scan_lines(spark, landing, source, days)).write.mode("overwrite").parquet(parts_path)
+    stats = spark.read.parquet(parts_path)
     per_day = {str(r[DAY]): r for r in day_expectations(stats).collect()}
 
     result: dict[str, dict] = {}
@@ -95,13 +99,13 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
     if good:
         # Pass 2: same scan (same files, same splits, same ids), header lines dropped.
         hid_map = F.create_map(*[F.lit(x) for i, h in enumerate(headers) for x in (h, i)])
-        part_table = (stats.where(F.col(DAY).isin([F.lit(d).cast("date") for d in good]))
+        part_table = (stats.where(day_in(good))
                       .select("file", "header_rid", F.element_at(hid_map, F.col("header")).alias("hid")))
         n_files = sum(per_day[d]["n_parts"] for d in good)
         if n_files <= BROADCAST_FILES_MAX:
             part_table = F.broadcast(part_table)
         rows = (scan_lines(spark, landing, source, days)
-                .where(F.col(DAY).isin([F.lit(d).cast("date") for d in good]))
+                .where(day_in(good))
                 .join(part_table, "file")
                 .where(F.col("rid") != F.col("header_rid"))
                 .select(DAY, "hid", cells(F.col("line")).alias("cells")))

@@ -17,10 +17,20 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
+    # A lake has one folder per day: list folders with a bounded number of tasks
+    # instead of one task per folder (the default parallelism is 10 000).
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+# Local runs only: opening a local file is cheap, so many small day files may share a task.
+LOCAL_CONF = {
+    "spark.sql.files.openCostInBytes": str(64 * 1024),
+    "spark.driver.memory": "16g",
+}
+
+
 def get_spark(app: str = "daylake", master: str | None = None,
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -28,6 +38,9 @@ def get_spark(app: str = "daylake", master: str | None = None,
         builder = builder.master(master)
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
+    if master and master.startswith("local"):
+        for key, value in LOCAL_CONF.items():
+            builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():

@@ -41,6 +41,13 @@ def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
         raise IOError(f"could not move {src} to {dst}")
 
 
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    fs, s = _fs(spark, src)
+    d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
+    if not fs.rename(s, d):
+        raise IOError(f"could not move {src} to {dst}")
+
+
 def list_children(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

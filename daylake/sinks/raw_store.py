@@ -40,7 +40,10 @@ def assert_all_strings(df: DataFrame) -> None:
 def write_staged(df: DataFrame, stage: str) -> None:
     """One distributed write for all days; rows stay in their input splits (no shuffle)."""
     assert_all_strings(df)
-    df.write.mode("overwrite").partitionBy(DAY).parquet(stage)
+    # The staging folder is new for every run: a plain (static) write, no
+    # second staging level of dynamic partition overwrite.
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(DAY).parquet(stage))
 
 
 def write_empty_day(spark: SparkSession, catalog: Catalog, source: str, stage: str, day: str) -> None:
@@ -59,7 +62,23 @@ def staged_counts(spark: SparkSession, catalog: Catalog, source: str, stage: str
 
 
 def publish_days(spark: SparkSession, lake: str, source: str, stage: str, days: list[str]) -> None:
-    """Move each verified staged day over its raw folder (per-day replace)."""
+    """Move each verified staged day over its raw folder (per-day replace).
+
+    First load of a source (no raw folder yet, every staged day verified):
+    the whole staging folder becomes the raw folder in one move.
+    """
+    if not days:
+        return
     root = raw_dir(lake, source)
-    for day in days:
-        fs.replace_dir(spark, f"{stage}/{DAY}={day}", f"{root}/{DAY}={day}")
+    wanted = {f"{DAY}={d}" for d in days}
+    staged = {n for n in fs.list_children(spark, stage) if n.startswith(f"{DAY}=")}
+    if not fs.exists(spark, root) and staged == wanted:
+        fs.mkdirs(spark, root.rsplit("/", 1)[0])
+        fs.rename(spark, stage, root)
+        return
+    existing = set(fs.list_children(spark, root))
+    fs.mkdirs(spark, root)
+    for name in sorted(wanted):
+        if name in existing:
+            fs.delete(spark, f"{root}/{name}")
+        fs.rename(spark, f"{stage}/{name}", f"{root}/{name}")

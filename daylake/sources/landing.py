@@ -27,6 +27,21 @@ from daylake.sources.catalog import Catalog
 DAY = "load_date"
 
 
+def day_in(days, col: str = DAY) -> Column:
+    """``load_date IN (...)`` as one parsed expression (prunes day folders).
+
+    Built as SQL text on purpose: one expression instead of one literal object
+    per day keeps plan building cheap for thousands of days.
+    """
+    days = sorted({str(d) for d in days})
+    for d in days:
+        if len(d) != 10 or d[4] != "-" or d[7] != "-" or not (d[:4] + d[5:7] + d[8:]).isdigit():
+            raise ValueError(f"not a day: {d!r}")
+    if not days:
+        return F.lit(False)
+    return F.expr(f"`{col}` IN (" + ", ".join(f"DATE'{d}'" for d in days) + ")")
+
+
 def source_dir(landing_root: str, source: str) -> str:
     return f"{landing_root.rstrip('/')}/{source}"
 
@@ -75,7 +90,7 @@ def scan_lines(spark: SparkSession, landing_root: str, source: str, days=None) -
                                              T.StructField(DAY, T.DateType())]))
              .option("lineSep", "\n").text(source_dir(landing_root, source)))
     if days is not None:
-        lines = lines.where(F.col(DAY).isin([F.lit(d).cast("date") for d in days]))
+        lines = lines.where(day_in(days))
     return (lines.select(
                 F.col(DAY),
                 F.col("_metadata.file_path").alias("file"),
