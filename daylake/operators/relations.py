@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 MAX_LIST = 500  # longest list one row may hold (the export contract's visit limit)
 
@@ -29,19 +30,22 @@ def bounded_lists(df: DataFrame, keys: list[str], order: list[str], values: list
                   max_len: int = MAX_LIST, part_col: str = "list_part") -> DataFrame:
     """Per key, ordered lists of ``values`` (``<value>`` -> array column of the same name).
 
-    A key with more than ``max_len`` rows is split into ``ceil(n / max_len)``
-    list parts by a hash of the row, so no single row (and no single task of
-    the final aggregate) has to hold an unbounded group; keys at or below the
-    bound keep exactly one part (``list_part = 0``).  Lists are sorted by
-    ``order`` (then the values) inside the row.
+    No list holds more than ``max_len`` elements and no task has to hold a
+    whole hot key: a key with ``n > max_len`` rows is spread over
+    ``ceil(n / max_len)`` hash buckets, rows are numbered inside each
+    (key, bucket) and cut into parts of at most ``max_len``.  A key at or
+    below the bound keeps exactly one part (``list_part = 0``), in order.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.ceil(F.col("_n") / F.lit(max_len))
+    buckets = F.ceil(F.col("_n") / F.lit(max_len))
     fields = list(dict.fromkeys(order + values))
-    part = F.when(parts > 1, F.pmod(F.xxhash64(*[F.col(c) for c in fields]), parts)).otherwise(F.lit(0))
-    tagged = df.join(counts, keys).withColumn(part_col, part.cast("int"))
-    grouped = (tagged.repartition(*[F.col(k) for k in keys], F.col(part_col))
-               .groupBy(*keys, part_col)
+    bucket = F.when(buckets > 1, F.pmod(F.xxhash64(*[F.col(c) for c in fields]), buckets)).otherwise(F.lit(0))
+    tagged = df.join(counts, keys).withColumn("_b", bucket.cast("long"))
+    w = Window.partitionBy(*keys, "_b").orderBy(*[F.col(c) for c in fields])
+    numbered = tagged.withColumn(
+        part_col, F.col("_b") * F.lit(1 << 20)
+        + F.floor((F.row_number().over(w) - 1) / F.lit(max_len)).cast("long"))
+    grouped = (numbered.groupBy(*keys, part_col)
                .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in fields]))).alias("_items")))
     return grouped.select(*keys, part_col, *[F.col("_items")[v].alias(v) for v in values])
 

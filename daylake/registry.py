@@ -36,39 +36,39 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 # ---------------------------------------------------------------- typed reads
 
 def q_daily_counts(spark, sf):
-    ev = base_views(spark, sf)["events"]
+    ev = base_views(spark, sf, ["events"])["events"]
     return ev.groupBy("date").agg(F.count(F.lit(1)).alias("n")).orderBy("date")
 
 
 def q_day_filter(spark, sf):
-    ev = base_lake(spark, sf).typed(spark, "events", keep_day=True)
+    ev = base_lake(spark, sf, ["events"]).typed(spark, "events", keep_day=True)
     sel = where_days(ev, "2024-01-10", "2024-01-20")
     return sel.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
                                          F.round(F.sum("value"), 2).alias("total_value"))
 
 
 def q_typed_roundtrip_events(spark, sf):
-    return base_views(spark, sf)["events"].select("event_id", "ts", "user_id", "event_type",
+    return base_views(spark, sf, ["events"])["events"].select("event_id", "ts", "user_id", "event_type",
                                                   "value", "props")
 
 
 def q_typed_roundtrip_lineitem(spark, sf):
-    li = base_views(spark, sf)["lineitem"]
+    li = base_views(spark, sf, ["lineitem"])["lineitem"]
     return li.select(*[c for c in table(spark, sf, "lineitem").columns])
 
 
 def q_typed_roundtrip_orders(spark, sf):
-    return base_views(spark, sf)["orders"].select(*table(spark, sf, "orders").columns)
+    return base_views(spark, sf, ["orders"])["orders"].select(*table(spark, sf, "orders").columns)
 
 
 def q_typed_hugeint(spark, sf):
-    o = base_views(spark, sf)["orders"]
+    o = base_views(spark, sf, ["orders"])["orders"]
     return o.select("o_orderkey", F.col("order_id").cast("string").alias("order_id_text"),
                     (F.col("order_id") - F.col("o_orderkey")).cast("string").alias("base_text"))
 
 
 def q_typed_arrays_num(spark, sf):
-    o = base_views(spark, sf)["orders"]
+    o = base_views(spark, sf, ["orders"])["orders"]
     return o.select(
         "o_orderkey",
         F.col("n_lines").cast("long").alias("n_lines"),
@@ -81,20 +81,20 @@ def q_typed_arrays_num(spark, sf):
 
 
 def q_typed_arrays_str(spark, sf):
-    o = base_views(spark, sf)["orders"]
+    o = base_views(spark, sf, ["orders"])["orders"]
     return o.select("o_orderkey", F.array_join("part_names", "|").alias("part_path"),
                     F.array_join("return_flags", "").alias("flags"))
 
 
 def q_zipped_arrays(spark, sf):
-    o = base_views(spark, sf)["orders"]
+    o = base_views(spark, sf, ["orders"])["orders"]
     return zipped_rows(o, ["o_orderkey"], {"line_numbers": "l_linenumber", "quantities": "l_quantity",
                                            "return_flags": "l_returnflag", "part_names": "p_name",
                                            "ship_times": "l_shipdate"})
 
 
 def q_visit_hits_join(spark, sf):
-    v = base_views(spark, sf)
+    v = base_views(spark, sf, ["orders", "lineitem"])
     linked = link_array_to_key(v["orders"], "line_ids", v["lineitem"].select("line_id", "l_quantity"),
                                "line_id", how="left", keep=["o_orderkey"])
     return linked.groupBy("o_orderkey").agg(
@@ -103,7 +103,7 @@ def q_visit_hits_join(spark, sf):
 
 
 def q_typed_int_rounding(spark, sf):
-    lake = base_lake(spark, sf)
+    lake = base_lake(spark, sf, ["lineitem"])
     raw = scan_raw(spark, lake.lake, lake.catalog, "lineitem")
     return raw.select(typed_scalar(F.col("l_orderkey"), "BIGINT").alias("l_orderkey"),
                       typed_scalar(F.col("l_linenumber"), "INTEGER").alias("l_linenumber"),
@@ -122,19 +122,19 @@ def q_strict_dates(spark, sf):
 
 
 def q_sql_from_first(spark, sf):
-    base_views(spark, sf)
+    base_views(spark, sf, ["events"])
     return spark.sql("FROM events SELECT user_id, count(*) AS n, max(ts) AS last_ts GROUP BY user_id")
 
 
 def q_pivot_types(spark, sf):
-    ev = base_views(spark, sf)["events"]
+    ev = base_views(spark, sf, ["events"])["events"]
     types = sorted(r[0] for r in ev.select("event_type").distinct().collect())
     p = ev.groupBy("date").pivot("event_type", types).agg(F.count(F.lit(1)))
     return p.select("date", *[F.coalesce(F.col(t), F.lit(0)).alias(t) for t in types])
 
 
 def q_unpivot_counts(spark, sf):
-    ev = base_views(spark, sf)["events"]
+    ev = base_views(spark, sf, ["events"])["events"]
     types = sorted(r[0] for r in ev.select("event_type").distinct().collect())
     ev.groupBy("date").pivot("event_type", types).agg(F.count(F.lit(1))).createOrReplaceTempView(
         "events_by_type")
@@ -143,7 +143,7 @@ def q_unpivot_counts(spark, sf):
 
 
 def q_retention_days(spark, sf):
-    ev = base_views(spark, sf)["events"]
+    ev = base_views(spark, sf, ["events"])["events"]
     first = ev.groupBy("user_id").agg(F.min("date").alias("first_day"))
     return (ev.select("user_id", "date").join(first, "user_id")
             .select("user_id", F.datediff("date", "first_day").alias("day_number"))
@@ -153,7 +153,7 @@ def q_retention_days(spark, sf):
 # ---------------------------------------------------------------- load path
 
 def q_tsv_part_counts(spark, sf):
-    lake = base_lake(spark, sf)
+    lake = base_lake(spark, sf, ["events"])
     from daylake.sources.landing import day_expectations, part_stats, scan_lines
     stats = part_stats(scan_lines(spark, lake.landing, "events"))
     return day_expectations(stats).select(DAY_COL, F.col("expected").alias("rows"),
@@ -309,32 +309,32 @@ def q_drift_report(spark, sf):
 
 
 def q_summarize_exact(spark, sf):
-    return prof.summarize(base_views(spark, sf)["lineitem"], exact_only=True)
+    return prof.summarize(base_views(spark, sf, ["lineitem"])["lineitem"], exact_only=True)
 
 
 def q_summarize(spark, sf):
-    return prof.summarize(base_views(spark, sf)["events"])
+    return prof.summarize(base_views(spark, sf, ["events"])["events"])
 
 
 def q_page_meta(spark, sf):
-    o = base_views(spark, sf)["orders"].orderBy("o_orderkey")
+    o = base_views(spark, sf, ["orders"])["orders"].orderBy("o_orderkey")
     return res.page(o, 100).meta(spark)
 
 
 def q_page_rows(spark, sf):
-    o = base_views(spark, sf)["orders"].select("o_orderkey", "o_totalprice").orderBy("o_orderkey")
+    o = base_views(spark, sf, ["orders"])["orders"].select("o_orderkey", "o_totalprice").orderBy("o_orderkey")
     return res.page(o, 100, offset=100).rows
 
 
 def q_sample_n(spark, sf):
-    return res.sample(base_views(spark, sf)["orders"], 5)
+    return res.sample(base_views(spark, sf, ["orders"])["orders"], 5)
 
 
 def q_export_counts(spark, sf):
     from daylake.session import new_work_dir
     out = new_work_dir(spark, "export")
     rows = []
-    for name, df in (("orders", base_views(spark, sf)["orders"].drop(
+    for name, df in (("orders", base_views(spark, sf, ["orders"])["orders"].drop(
                          "line_ids", "line_numbers", "quantities", "ship_times", "return_flags",
                          "part_names")),
                      ("region", table(spark, sf, "region"))):
@@ -350,7 +350,7 @@ def q_encode_json(spark, sf):
 
 
 def q_encode_json_events(spark, sf):
-    ev = base_views(spark, sf)["events"].select("event_id", "ts", "date", "event_type")
+    ev = base_views(spark, sf, ["events"])["events"].select("event_id", "ts", "date", "event_type")
     return ev.select("event_id", json_row(ev).alias("json"))
 
 

@@ -127,7 +127,7 @@ def load_all(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
                      landed_days(spark, lake, source))
 
 
-_lock = threading.Lock()
+_lock = threading.RLock()
 _memo: dict = {}
 
 
@@ -140,18 +140,19 @@ def memo(spark: SparkSession, key: tuple, build):
         return _memo[k]
 
 
-def base_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    def build():
-        lake = new_lake(spark, sf_dir, "base")
-        for s in SOURCES:
+def base_lake(spark: SparkSession, sf_dir: str, sources=SOURCES) -> Lake:
+    """The shared lake of a session; each source is landed and loaded once, on first use."""
+    lake = memo(spark, ("base", sf_dir), lambda: new_lake(spark, sf_dir, "base"))
+    for s in sources:
+        def build(s=s):
             land(spark, lake, s)
-            load_all(spark, lake, s)
-        return lake
-    return memo(spark, ("base", sf_dir), build)
+            return load_all(spark, lake, s)
+        memo(spark, ("base", sf_dir, s), build)
+    return lake
 
 
-def base_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return base_lake(spark, sf_dir).views(spark)
+def base_views(spark: SparkSession, sf_dir: str, sources=SOURCES) -> dict[str, DataFrame]:
+    return base_lake(spark, sf_dir, sources).views(spark, sources)
 
 
 def day(s: str) -> _dt.date:
