@@ -98,9 +98,13 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
 
     if good:
         # Pass 2: same scan (same files, same splits, same ids), header lines dropped.
-        hid_map = F.create_map(*[F.lit(x) for i, h in enumerate(headers) for x in (h, i)])
-        part_table = (stats.where(day_in(good))
-                      .select("file", "header_rid", F.element_at(hid_map, F.col("header")).alias("hid")))
+        # Header id per day (all parts of a good day share one header), so the
+        # broadcast side holds only (file, header row id, header id).
+        day_hid = spark.createDataFrame(
+            [(d, headers.index(per_day[d]["header"])) for d in good], "load_date string, hid int"
+        ).select(F.col(DAY).cast("date").alias(DAY), "hid")
+        part_table = (stats.where(day_in(good)).select(DAY, "file", "header_rid")
+                      .join(F.broadcast(day_hid), DAY).select("file", "header_rid", "hid"))
         n_files = sum(per_day[d]["n_parts"] for d in good)
         if n_files <= BROADCAST_FILES_MAX:
             part_table = F.broadcast(part_table)
