@@ -82,13 +82,21 @@ def compact(spark: SparkSession, lake: str, target: str) -> None:
     current(spark, lake).write.mode("errorifexists").parquet(journal_dir(target))
 
 
-def reconcile_frame(spark: SparkSession, lake: str, catalog: Catalog, sources) -> DataFrame:
-    """K2 truth table as a frame over journal ∪ files (full outer join on the day key)."""
+def reconcile_frame(spark: SparkSession, lake: str, catalog: Catalog, sources,
+                    d1=None, d2=None) -> DataFrame:
+    """K2 truth table as a frame over journal ∪ files (full outer join on the day key).
+
+    Optional day bounds restrict both sides (a range load only needs its days).
+    """
     facts = None
     for s in sources:
-        f = day_facts(spark, lake, catalog, s)
+        f = day_facts(spark, lake, catalog, s, d1, d2)
         facts = f if facts is None else facts.unionByName(f)
     cur = current(spark, lake).where(F.col("source").isin(list(sources)))
+    if d1 is not None:
+        cur = cur.where(F.col(DAY) >= F.lit(d1).cast("date"))
+    if d2 is not None:
+        cur = cur.where(F.col(DAY) <= F.lit(d2).cast("date"))
     j = cur.join(facts, ["source", DAY], "full_outer")
     confirmed = (F.col("fact").isNotNull() & (F.col("status") == LOADED)
                  & (F.col("row_count") == F.col("fact")))
@@ -99,12 +107,17 @@ def reconcile_frame(spark: SparkSession, lake: str, catalog: Catalog, sources) -
                     .alias("removed"))
 
 
-def reconcile(spark: SparkSession, lake: str, catalog: Catalog, sources) -> DataFrame:
-    """K2: check every known day, drop journal rows that disagree with the facts.
-
-    Returns the (checkpointed) report; ``confirmed`` days are the loaded set.
+def reconcile(spark: SparkSession, lake: str, catalog: Catalog, sources, d1=None, d2=None) -> DataFrame:
+    """K2: check every known day (or the days of a range), drop journal rows that
+    disagree with the facts.  Returns the report, materialised before the
+    tombstones are appended; ``confirmed`` days are the loaded set.
     """
-    report = reconcile_frame(spark, lake, catalog, sources).checkpoint()
+    # Written as a small table (one row per day) to the lake's run folder: the
+    # report must not change when the tombstones are appended, and no cached
+    # plan over day files may outlive the next publish.
+    path = f"{lake.rstrip('/')}/staging/reconcile-{next_seq()}"
+    reconcile_frame(spark, lake, catalog, sources, d1, d2).write.parquet(path)
+    report = spark.read.parquet(path)
     stale = report.where("removed").select("source", DAY, F.lit(None).cast("long").alias("row_count"),
                                            F.lit(REMOVED).alias("status"))
     if stale.take(1):

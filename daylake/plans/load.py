@@ -174,7 +174,7 @@ def ingest_range(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
     else:
         from daylake.functions.dates import business_yesterday
         anchor = business_yesterday()
-    rec = journal.reconcile(spark, lake, catalog, [source])
+    rec = journal.reconcile(spark, lake, catalog, [source], d1, d2)
     confirmed = rec.where("confirmed").select("source", DAY)
     chosen = [str(r[DAY]) for r in select_days(spark, source, confirmed, d1, d2,
                                                hot_window_days=hot_window_days,

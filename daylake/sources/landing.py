@@ -70,12 +70,11 @@ def write_landing(df: DataFrame, landing_root: str, source: str, catalog: Catalo
     present = [c for c in df.columns if c in names]
     out = df.select(F.col(DAY).cast("string").alias(DAY),
                     *[cell_text(F.col(c), df.schema[c].dataType).alias(names[c]) for c in present])
-    if parts_per_day > 1:
-        # One task per part number: every day gets exactly one file per part that has rows.
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{names[c]}`") for c in present]), F.lit(parts_per_day))
-        out = out.repartition(parts_per_day, salt)
-    else:
-        out = out.repartition(F.col(DAY))
+    # Rows of a day go together (few files per day), but AQE's rebalance splits a
+    # hot day over several tasks instead of writing it from one.
+    salt = (F.pmod(F.xxhash64(*[F.col(f"`{names[c]}`") for c in present]), F.lit(parts_per_day))
+            if parts_per_day > 1 else F.lit(0))
+    out = out.withColumn("_part", salt).hint("rebalance", DAY, "_part").drop("_part")
     (out.write.mode(mode).partitionBy(DAY)
         .option("partitionOverwriteMode", "dynamic")
         .option("sep", "\t").option("header", True).option("quote", "")

@@ -39,27 +39,41 @@ def scan_raw(spark: SparkSession, lake: str, catalog: Catalog, source: str) -> D
     return spark.read.schema(schema).parquet(raw_dir(lake, source))
 
 
-def list_day_files(spark: SparkSession, lake: str, source: str) -> DataFrame:
-    """One row per ``*.parquet`` file of a day (0-row files included)."""
+def _in_range(df: DataFrame, d1, d2) -> DataFrame:
+    if d1 is not None:
+        df = df.where(F.col(DAY) >= F.lit(d1).cast("date"))
+    if d2 is not None:
+        df = df.where(F.col(DAY) <= F.lit(d2).cast("date"))
+    return df
+
+
+def list_day_files(spark: SparkSession, lake: str, source: str, d1=None, d2=None) -> DataFrame:
+    """One row per ``*.parquet`` file of a day (0-row files included).
+
+    Optional day bounds prune day folders before any file is opened.
+    """
     schema = "path string, length long, load_date date"
     if not has_days(spark, lake, source):
         return spark.createDataFrame([], schema)
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-            .load(raw_dir(lake, source)).select("path", "length", DAY))
+    return _in_range(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                     .load(raw_dir(lake, source)), d1, d2).select("path", "length", DAY)
 
 
-def day_facts(spark: SparkSession, lake: str, catalog: Catalog, source: str) -> DataFrame:
+def day_facts(spark: SparkSession, lake: str, catalog: Catalog, source: str,
+              d1=None, d2=None) -> DataFrame:
     """Real row count of every listed day, NULL when a file of the day is unreadable.
 
     One job counts rows of all files (no column is read); only files that
     gave no row (empty or corrupt, few) are opened again to test the magic.
     """
-    files = list_day_files(spark, lake, source)
+    files = list_day_files(spark, lake, source, d1, d2)
     empty = spark.createDataFrame([], "source string, load_date date, fact long")
     if not has_days(spark, lake, source):
         return empty
-    counts = (spark.read.schema(catalog.raw_schema(source))
-              .option("ignoreCorruptFiles", True).parquet(raw_dir(lake, source))
+    scan = (spark.read.schema(T.StructType(catalog.raw_schema(source).fields
+                                           + [T.StructField(DAY, T.DateType())]))
+            .option("ignoreCorruptFiles", True).parquet(raw_dir(lake, source)))
+    counts = (_in_range(scan, d1, d2)
               .groupBy(F.col("_metadata.file_path").alias("path")).count())
     per_file = files.join(counts, "path", "left")
     suspects = [r.path for r in per_file.where(F.col("count").isNull()).select("path").collect()]
