@@ -137,6 +137,7 @@ ORACLES = {
         "CAST(0 AS BIGINT) AS failed_days, count(*) AS total_rows FROM events "
         "UNION ALL SELECT CAST(2 AS INTEGER), CAST(3 AS BIGINT), CAST(27 AS BIGINT), CAST(0 AS BIGINT), count(*) "
         "FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-28'"),
+    "stream_daily_counts": "SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1",
     "context_profile": (
         "SELECT 'events' AS object, count(*) AS row_count, 'ts' AS date_column, "
         "CAST(min(ts) AS VARCHAR) AS min_value, CAST(max(ts) AS VARCHAR) AS max_value FROM events "

@@ -287,6 +287,22 @@ def q_range_load_summary(spark, sf):
                                        "failed_days long, total_rows long")
 
 
+def q_stream_daily_counts(spark, sf):
+    """Days loaded by the arrival-driven stream (run-once trigger), then counted typed."""
+    from daylake.session import new_work_dir
+    from daylake.streaming.landing_stream import start_landing_stream
+
+    def build():
+        lake = new_lake(spark, sf, "stream")
+        land(spark, lake, "events")
+        q = start_landing_stream(spark, lake.lake, lake.landing, lake.catalog, "events",
+                                 f"{new_work_dir(spark, 'stream-ckpt')}")
+        q.awaitTermination()
+        return lake
+    lake = memo(spark, ("stream", sf), build)
+    return lake.typed(spark, "events").groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- metadata / results
 
 def q_context_profile(spark, sf):
@@ -390,6 +406,7 @@ QUERIES = {
     "reconcile_truth": q_reconcile_truth,
     "select_days": q_select_days,
     "range_load_summary": q_range_load_summary,
+    "stream_daily_counts": q_stream_daily_counts,
     "context_profile": q_context_profile,
     "schema_listing": q_schema_listing,
     "view_semantics": q_view_semantics,
