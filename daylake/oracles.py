@@ -82,6 +82,10 @@ ORACLES = {
         "SELECT o.o_orderkey, count(k.l_quantity) AS n_hits, "
         "round(coalesce(sum(k.l_quantity), 0.0), 2) AS qty "
         "FROM orders o LEFT JOIN link k ON k.k = o.o_orderkey GROUP BY o.o_orderkey"),
+    "typed_bad_cells": ("SELECT event_id, event_type, "
+                        "CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, "
+                        "CASE WHEN event_type = 'purchase' THEN NULL ELSE CAST(ts AS DATE) END AS date "
+                        "FROM events"),
     "typed_int_rounding": ("SELECT l_orderkey, l_linenumber, l_extendedprice, "
                            "TRY_CAST(CAST(l_extendedprice AS VARCHAR) AS INTEGER) AS price_int FROM lineitem"),
     "strict_dates": ("SELECT event_id, CAST(ts AS DATE) AS iso_day, CAST(NULL AS DATE) AS basic_day, "

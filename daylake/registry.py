@@ -102,6 +102,24 @@ def q_visit_hits_join(spark, sf):
         F.round(F.coalesce(F.sum("l_quantity"), F.lit(0.0)), 2).alias("qty"))
 
 
+def q_typed_bad_cells(spark, sf):
+    """Garbled cells (error events: value 'abc'; purchase events: date 'not-a-date') read as NULL."""
+    def build():
+        lake = new_lake(spark, sf, "badcells")
+        ev = events_frame(spark, sf)
+        bad = ev.select(
+            "event_id", "ts", "user_id", "event_type", "props", DAY_COL,
+            F.when(F.col("event_type") == "error", F.lit("abc"))
+            .otherwise(F.col("value").cast("string")).alias("value"),
+            F.when(F.col("event_type") == "purchase", F.lit("not-a-date"))
+            .otherwise(F.col("date").cast("string")).alias("date"))
+        land(spark, lake, "events", bad)
+        load_all(spark, lake, "events")
+        return lake
+    lake = memo(spark, ("badcells", sf), build)
+    return lake.typed(spark, "events").select("event_id", "event_type", "value", "date")
+
+
 def q_typed_int_rounding(spark, sf):
     lake = base_lake(spark, sf, ["lineitem"])
     raw = scan_raw(spark, lake.lake, lake.catalog, "lineitem")
@@ -391,6 +409,7 @@ QUERIES = {
     "typed_arrays_str": q_typed_arrays_str,
     "zipped_arrays": q_zipped_arrays,
     "visit_hits_join": q_visit_hits_join,
+    "typed_bad_cells": q_typed_bad_cells,
     "typed_int_rounding": q_typed_int_rounding,
     "strict_dates": q_strict_dates,
     "sql_from_first": q_sql_from_first,
