@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.functions.encode import csv_header  # noqa: F401  (re-exported for callers)
 
 # Fixed values of the read channel.
 DEFAULT_LIMIT = 100

@@ -8,9 +8,8 @@ tables.  Column names match between both sides.
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame  # noqa: F401  (return type of every query)
 from pyspark.sql import functions as F
 
 from daylake.functions.dates import strict_date
@@ -26,8 +25,8 @@ from daylake.sinks import fs
 from daylake.sources.landing import write_landing, write_raw_part
 from daylake.sources.raw import raw_dir, scan_raw
 from daylake.views import where_days
-from daylake.workloads import (ID_BASE, LINE_ORDER, base_lake, base_views, day, events_frame,
-                               land, landed_days, load_all, memo, new_lake, table)
+from daylake.workloads import (base_lake, base_views, events_frame, land, load_all, memo, new_lake,
+                               table)
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]

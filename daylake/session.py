@@ -50,6 +50,23 @@ def get_spark(app: str = "daylake", master: str | None = None,
     return spark
 
 
+def tune_for_day_folders(spark: SparkSession) -> None:
+    """Runtime settings for lakes with one folder per day, applied only where the
+    session still has Spark's defaults (a cluster's own choice is kept).
+
+    * listing parallelism: bounded by the cluster's parallelism instead of one
+      task per folder;
+    * local master only: small files may share a task (opening a local file is cheap).
+    """
+    conf = spark.conf
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if conf.get(key, "10000") == "10000":
+        conf.set(key, str(max(8, min(1024, spark.sparkContext.defaultParallelism * 4))))
+    key = "spark.sql.files.openCostInBytes"
+    if spark.sparkContext.master.startswith("local") and conf.get(key, "4194304") in ("4194304", "4m", "4MB"):
+        conf.set(key, LOCAL_CONF[key])
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from daylake.operators.relations import bounded_lists
 from daylake.plans import journal
 from daylake.plans.load import load_days
-from daylake.session import new_work_dir
+from daylake.session import new_work_dir, tune_for_day_folders
 from daylake.sinks import fs
 from daylake.sources.catalog import Catalog, load_catalog
 from daylake.sources.landing import source_dir, write_landing
@@ -106,6 +106,7 @@ class Lake:
 
 
 def new_lake(spark: SparkSession, sf_dir: str, tag: str) -> Lake:
+    tune_for_day_folders(spark)
     root = new_work_dir(spark, tag)
     return Lake(root, f"{root}/lake", f"{root}/landing", load_catalog(spark), sf_dir)
 
