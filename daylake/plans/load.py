@@ -96,6 +96,18 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
             headers.append(r["header"])
         good.append(d)
 
+    wide = [d for d in days if result[d]["error"] == "a row is not as wide as its header"]
+    if wide:
+        # Rare path: one small job names an example row per failed day.
+        stats_w = stats.where(day_in(wide)).select("file", F.col("header").alias("h"))
+        tabs = F.length("line") - F.length(F.regexp_replace("line", "\t", ""))
+        htabs = F.length("h") - F.length(F.regexp_replace("h", "\t", ""))
+        examples = (scan_lines(spark, landing, source, days).where(day_in(wide))
+                    .join(F.broadcast(stats_w), "file").where(tabs != htabs)
+                    .groupBy(DAY).agg(F.min("line").alias("example")).collect())
+        for r in examples:
+            result[str(r[DAY])]["error"] += f"; e.g. {r['example'][:200]!r}"
+
     if good:
         # Pass 2: same scan (same files, same splits, same ids), header lines dropped.
         # Header id per day (all parts of a good day share one header), so the

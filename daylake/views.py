@@ -36,6 +36,20 @@ def register_views(spark: SparkSession, lake: str, catalog: Catalog, sources=Non
     return frames
 
 
+def query(spark: SparkSession, text: str) -> DataFrame:
+    """Run a read statement; ``SUMMARIZE <table or query>`` goes to the summarize operator
+    (Spark SQL has no such statement), everything else to ``spark.sql``."""
+    from daylake.operators.profile import summarize
+    stripped = text.strip().rstrip(";").strip()
+    head, _, rest = stripped.partition(" ")
+    if head.upper() == "SUMMARIZE":
+        rest = rest.strip()
+        is_query = rest.split(" ", 1)[0].upper() in ("SELECT", "WITH", "FROM", "TABLE", "VALUES") \
+            or rest.startswith("(")
+        return summarize(spark.sql(rest) if is_query else spark.table(rest))
+    return spark.sql(stripped)
+
+
 def where_days(df: DataFrame, d1, d2, date_col: str = "date") -> DataFrame:
     """Day range filter that also prunes day folders.
 

@@ -127,6 +127,7 @@ def test_bad_days_fail_before_publish(spark, mini_catalog, lake_dirs):
         ["2026-05-20", "2026-05-21", "2026-05-22", "2026-05-23", "2026-05-24"]).collect()}
     assert rep["2026-05-20"]["status"] == "failed" and "headers" in rep["2026-05-20"]["error"]
     assert rep["2026-05-21"]["status"] == "failed" and "wide" in rep["2026-05-21"]["error"]
+    assert "e.g. '1\\t[]'" in rep["2026-05-21"]["error"]
     assert rep["2026-05-22"]["status"] == "failed" and "not in the catalog" in rep["2026-05-22"]["error"]
     assert rep["2026-05-23"]["status"] == "loaded"
     assert rep["2026-05-24"]["status"] == "failed"

@@ -3,7 +3,7 @@
 import datetime as dt
 
 from daylake.plans.load import load_days
-from daylake.views import register_views
+from daylake.views import query, register_views
 from tests.conftest import write_part
 
 HH = "h:watchID\th:goalsID\th:date"
@@ -34,4 +34,8 @@ def test_sql_statements(spark, mini_catalog, lake_dirs):
     assert spark.sql("DESCRIBE hits").count() == 3
     assert "Scan" in "\n".join(r[0] for r in spark.sql("EXPLAIN SELECT * FROM hits").collect())
     assert spark.sql("VALUES (1), (2)").count() == 2
+    summ = {r["column_name"]: r for r in query(spark, "SUMMARIZE hits;").collect()}
+    assert summ["watch_id"]["count"] == 5 and summ["watch_id"]["max"] == "2"
+    assert query(spark, "SUMMARIZE SELECT watch_id FROM hits WHERE date = DATE'2026-05-21'").first()["count"] == 2
+    assert query(spark, "SELECT 1").first()[0] == 1
     assert spark.sql("WITH x AS (SELECT * FROM hits) SELECT count(*) FROM x").first()[0] == 5
