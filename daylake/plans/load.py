@@ -28,10 +28,10 @@ from daylake.plans import journal
 from daylake.plans.select import DEFAULT_HOT_WINDOW_DAYS, select_days
 from daylake.sinks import fs
 from daylake.sinks.raw_store import (publish_days, staged_counts, storage_mapping,
-                                     write_empty_day, write_staged)
+                                     write_empty_days, write_staged)
 from daylake.sources.catalog import Catalog
-from daylake.sources.landing import (cells, day_expectations, day_in, part_stats, scan_lines,
-                                     source_dir)
+from daylake.sources.landing import (cells, day_expectations, day_in, part_files, part_stats,
+                                     scan_lines, source_dir)
 
 DAY = "load_date"
 BROADCAST_FILES_MAX = 200_000  # part-table rows (path + two longs) safe to broadcast
@@ -65,7 +65,12 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
     # Written once to the run's folder (shared storage): later steps read the
     # small table instead of scanning the text again, and lineage is cut.
     parts_path = f"{lake.rstrip('/')}/staging/{run_id}/_parts/{source}"
-    part_stats(scan_lines(spark, landing, source, days)).write.mode("overwrite").parquet(parts_path)
+    files = part_files(spark, landing, source, days)
+    if not files:
+        journal.mark(spark, lake, source, days, journal.FAILED)
+        return _report(spark, [(source, _dt.date.fromisoformat(d), 0, None, None, "failed",
+                                "no landed parts") for d in days])
+    part_stats(scan_lines(spark, landing, source, files=files)).write.mode("overwrite").parquet(parts_path)
     stats = spark.read.parquet(parts_path)
     per_day = {str(r[DAY]): r for r in day_expectations(stats).collect()}
 
@@ -102,7 +107,7 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
         stats_w = stats.where(day_in(wide)).select("file", F.col("header").alias("h"))
         tabs = F.length("line") - F.length(F.regexp_replace("line", "\t", ""))
         htabs = F.length("h") - F.length(F.regexp_replace("h", "\t", ""))
-        examples = (scan_lines(spark, landing, source, days).where(day_in(wide))
+        examples = (scan_lines(spark, landing, source, files=files).where(day_in(wide))
                     .join(F.broadcast(stats_w), "file").where(tabs != htabs)
                     .groupBy(DAY).agg(F.min("line").alias("example")).collect())
         for r in examples:
@@ -120,7 +125,7 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
         n_files = sum(per_day[d]["n_parts"] for d in good)
         if n_files <= BROADCAST_FILES_MAX:
             part_table = F.broadcast(part_table)
-        rows = (scan_lines(spark, landing, source, days)
+        rows = (scan_lines(spark, landing, source, files=files)
                 .where(day_in(good))
                 .join(part_table, "file")
                 .where(F.col("rid") != F.col("header_rid"))
@@ -135,9 +140,8 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
                             else expr.when(F.col("hid") == i, val))
             out.append((expr if expr is not None else F.lit(None)).cast("string").alias(f.storage_name))
         write_staged(rows.select(*out, DAY), stage)
-        for d in good:
-            if per_day[d]["expected"] == 0:
-                write_empty_day(spark, catalog, source, stage, d)
+        write_empty_days(spark, catalog, source, stage,
+                         [d for d in good if per_day[d]["expected"] == 0])
         expected = spark.createDataFrame([(d, per_day[d]["expected"]) for d in good],
                                          "load_date string, expected long").withColumn(
             DAY, F.col(DAY).cast("date"))

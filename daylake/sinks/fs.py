@@ -48,6 +48,18 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise IOError(f"could not move {src} to {dst}")
 
 
+def copy(spark: SparkSession, src: str, dst: str) -> None:
+    """Copy one (small) file, creating the target folder."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs, s = _fs(spark, src)
+    d = jvm.org.apache.hadoop.fs.Path(dst)
+    dfs = d.getFileSystem(conf)
+    dfs.mkdirs(d.getParent())
+    if not jvm.org.apache.hadoop.fs.FileUtil.copy(fs, s, dfs, d, False, conf):
+        raise IOError(f"could not copy {src} to {dst}")
+
+
 def list_children(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

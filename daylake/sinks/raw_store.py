@@ -46,10 +46,20 @@ def write_staged(df: DataFrame, stage: str) -> None:
      .partitionBy(DAY).parquet(stage))
 
 
-def write_empty_day(spark: SparkSession, catalog: Catalog, source: str, stage: str, day: str) -> None:
-    """A day with 0 rows is one schema-only file (a partitioned write would skip it)."""
+def write_empty_days(spark: SparkSession, catalog: Catalog, source: str, stage: str,
+                     days: list[str]) -> None:
+    """A day with 0 rows is one schema-only file (a partitioned write would skip it).
+
+    One Spark job writes the schema-only file; each empty day gets a copy.
+    """
+    if not days:
+        return
+    template = f"{stage}/_empty"
     (spark.createDataFrame([], catalog.raw_schema(source)).coalesce(1)
-     .write.mode("overwrite").parquet(f"{stage}/{DAY}={day}"))
+     .write.mode("overwrite").parquet(template))
+    name = next(n for n in fs.list_children(spark, template) if n.endswith(".parquet"))
+    for day in days:
+        fs.copy(spark, f"{template}/{name}", f"{stage}/{DAY}={day}/part-00000-empty.parquet")
 
 
 def staged_counts(spark: SparkSession, catalog: Catalog, source: str, stage: str) -> DataFrame:

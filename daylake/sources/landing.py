@@ -83,11 +83,27 @@ def write_landing(df: DataFrame, landing_root: str, source: str, catalog: Catalo
         .csv(source_dir(landing_root, source)))
 
 
-def scan_lines(spark: SparkSession, landing_root: str, source: str, days=None) -> DataFrame:
+def part_files(spark: SparkSession, landing_root: str, source: str, days) -> list[str]:
+    """The part files of the given days, listed once (one row per file, no content read).
+
+    Both passes of a load read exactly this list, so a part landing during the
+    load cannot change what (or how) the second pass reads.
+    """
+    listing = (spark.read.format("binaryFile").load(source_dir(landing_root, source))
+               .where(day_in(days)).select("path"))
+    return sorted(r.path for r in listing.collect())
+
+
+def scan_lines(spark: SparkSession, landing_root: str, source: str, days=None,
+               files: list[str] | None = None) -> DataFrame:
     """A3: non-empty lines with their part file, split start and a per-split order id."""
-    lines = (spark.read.schema(T.StructType([T.StructField("value", T.StringType()),
-                                             T.StructField(DAY, T.DateType())]))
-             .option("lineSep", "\n").text(source_dir(landing_root, source)))
+    reader = (spark.read.schema(T.StructType([T.StructField("value", T.StringType()),
+                                              T.StructField(DAY, T.DateType())]))
+              .option("lineSep", "\n"))
+    if files is not None:
+        lines = reader.option("basePath", source_dir(landing_root, source)).text(files)
+    else:
+        lines = reader.text(source_dir(landing_root, source))
     if days is not None:
         lines = lines.where(day_in(days))
     return (lines.select(
