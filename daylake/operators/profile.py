@@ -37,6 +37,18 @@ def schema_listing(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFra
             .orderBy("table_name", "ordinal_position"))
 
 
+def column_counts(frames: dict[str, DataFrame]) -> DataFrame:
+    """Non-NULL values per column: one aggregate per object, unpivoted to rows."""
+    parts = []
+    for name, df in sorted(frames.items()):
+        cols = [f.name for f in df.schema.fields]
+        agg = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(cols)])
+        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("non_null"))
+                         for i, c in enumerate(cols)])
+        parts.append(agg.select(F.lit(name).alias("table_name"), F.inline(rows)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def schema_with_semantics(spark: SparkSession, frames: dict[str, DataFrame],
                           catalog: Catalog) -> DataFrame:
     """L3 + D3: columns left-joined with catalog meanings; empty meaning -> NULL."""
@@ -90,8 +102,11 @@ def context_columns(spark: SparkSession, frames: dict[str, DataFrame], catalog:
 
 
 def drift_report(spark: SparkSession, frames: dict[str, DataFrame], catalog: Catalog) -> DataFrame:
-    """Both directions between catalogued views and described catalog rows."""
-    listed = schema_listing(spark, {n: df for n, df in frames.items() if n in catalog.sources()})
+    """Both directions between catalogued views and described catalog rows, plus
+    catalogued columns that no loaded row fills (NULL everywhere, e.g. a field no
+    day's export carries)."""
+    known = {n: df for n, df in frames.items() if n in catalog.sources()}
+    listed = schema_listing(spark, known)
     cat = catalog.to_df(spark).select(F.col("source").alias("table_name"),
                                       F.col("storage_name").alias("column_name"), "description")
     described = cat.where(F.trim(F.coalesce("description", F.lit(""))) != "")
@@ -100,7 +115,12 @@ def drift_report(spark: SparkSession, frames: dict[str, DataFrame], catalog: Cat
     not_in_view = (cat.join(listed, ["table_name", "column_name"], "left_anti")
                    .where(F.col("table_name").isin(list(frames)))
                    .select("table_name", "column_name", F.lit("catalog column not in view").alias("issue")))
-    return no_meaning.unionByName(not_in_view).orderBy("table_name", "column_name")
+    out = no_meaning.unionByName(not_in_view)
+    if known:
+        empty = (column_counts(known).where("non_null = 0")
+                 .select("table_name", "column_name", F.lit("no value in any row").alias("issue")))
+        out = out.unionByName(empty)
+    return out.orderBy("table_name", "column_name", "issue")
 
 
 def summarize(df: DataFrame, exact_only: bool = False) -> DataFrame:

@@ -37,6 +37,36 @@ def _iso_ts(x: str) -> str:
             f"ELSE strftime({x}, '%Y-%m-%dT%H:%M:%S.%f') END")
 
 
+# Column lists of the given tables (the test data specification).
+_COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+               "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                 "l_shipdate"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+}
+
+
+def _schema_listing() -> str:
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS non_null FROM {t}"
+                                for t, cols in _COLUMNS.items() for c in cols)
+    return ("SELECT c.table_name, c.column_name, CAST(c.ordinal_position AS INTEGER) AS ordinal_position, "
+            f"c.data_type, n.non_null FROM information_schema.columns c JOIN ({counts}) n "
+            "ON n.table_name = c.table_name AND n.column_name = c.column_name")
+
+
 def _summarize_exact() -> str:
     parts = [f"SELECT 'line_id' AS column_name, 'HUGEINT' AS column_type, "
              f"CAST(min({_BASE} + l_orderkey * 10 + l_linenumber) AS VARCHAR) AS \"min\", "
@@ -149,9 +179,7 @@ ORACLES = {
         "CAST(max(l_shipdate) AS VARCHAR) FROM lineitem "
         "UNION ALL SELECT 'orders', count(*), 'o_orderdate', CAST(min(o_orderdate) AS VARCHAR), "
         "CAST(max(o_orderdate) AS VARCHAR) FROM orders"),
-    "schema_listing": ("SELECT table_name, column_name, CAST(ordinal_position AS INTEGER) AS ordinal_position, "
-                       "data_type FROM information_schema.columns WHERE table_name IN ("
-                       + ", ".join(f"'{t}'" for t in _TABLES) + ") ORDER BY 1, 3"),
+    "schema_listing": _schema_listing(),
     "summarize_exact": _summarize_exact(),
     "page_meta": ("SELECT count(*) AS total_rows, CAST(100 AS INTEGER) AS page_limit, "
                   "count(*) > 100 AS has_more, CASE WHEN count(*) > 100 THEN CAST(100 AS INTEGER) END "

@@ -199,6 +199,9 @@ def ingest_range(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
     report = load_days(spark, lake, landing, catalog, source, chosen).checkpoint()
     st = {str(r[DAY]): (r["status"], r["actual"]) for r in report.select(DAY, "status", "actual").collect()}
     loaded = [d for d in chosen if st[d][0] == "loaded"]
+    # A registered view keeps its file listing: re-register after publishing.
+    from daylake.views import register_views
+    register_views(spark, lake, catalog, [source])
     return RangeResult(source, loaded, [d for d in all_days if d not in chosen],
                        [d for d in chosen if st[d][0] != "loaded"],
                        sum(st[d][1] or 0 for d in loaded), report)

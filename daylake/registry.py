@@ -327,13 +327,16 @@ def q_context_profile(spark, sf):
 
 
 def q_schema_listing(spark, sf):
+    """L2 over every given table, with the non-NULL count of each column."""
     frames = {t: table(spark, sf, t) for t in TABLES}
-    return prof.schema_listing(spark, frames)
+    return prof.schema_listing(spark, frames).join(
+        prof.column_counts(frames), ["table_name", "column_name"], "left")
 
 
 def q_view_semantics(spark, sf):
+    """L3 + L4 column part: type and meaning of every view column with its object's profile."""
     lake = base_lake(spark, sf)
-    return prof.schema_with_semantics(spark, base_views(spark, sf), lake.catalog)
+    return prof.context_columns(spark, base_views(spark, sf), lake.catalog)
 
 
 def q_drift_report(spark, sf):

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import math
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,9 +43,13 @@ def test_schema_semantics_and_drift(spark, mini_catalog):
     assert sem[("extra", "x")]["semantics"] is None
     with pytest.raises(KeyError, match="known"):
         prof.object_schema(spark, frames, mini_catalog, "nope")
-    drift = [(r["table_name"], r["column_name"]) for r in
+    drift = [(r["table_name"], r["column_name"], r["issue"]) for r in
              prof.drift_report(spark, frames, mini_catalog).collect()]
-    assert drift == [("hits", "date")]
+    assert ("hits", "date", "column without description") in drift
+    assert ("hits", "watch_id", "no value in any row") in drift     # the view has no row yet
+    full = {"hits": spark.createDataFrame([(Decimal(1), [2], None)], mini_catalog.typed_schema("hits"))}
+    drift = [(r["column_name"], r["issue"]) for r in prof.drift_report(spark, full, mini_catalog).collect()]
+    assert drift == [("date", "column without description"), ("date", "no value in any row")]
 
 
 def test_summarize(spark, frames):
