@@ -35,6 +35,7 @@ from daylake.sources.landing import (cells, day_expectations, day_in, part_files
 
 DAY = "load_date"
 BROADCAST_FILES_MAX = 200_000  # part-table rows (path + two longs) safe to broadcast
+BATCH_FILES_MAX = 100_000      # part files per load batch (bounds driver lists and staging)
 
 REPORT_SCHEMA = ("source string, load_date date, n_parts long, expected long, actual long, "
                  "status string, error string")
@@ -44,13 +45,53 @@ def _report(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+def day_batches(per_day: dict[str, int], days: list[str], max_files: int) -> list[list[str]]:
+    """Split days (ascending) into batches of at most ``max_files`` part files
+    (a day is never split; a day above the bound is a batch of its own)."""
+    batches, cur, n = [], [], 0
+    for d in days:
+        k = per_day.get(d, 0)
+        if cur and n + k > max_files:
+            batches.append(cur)
+            cur, n = [], 0
+        cur.append(d)
+        n += k
+    if cur:
+        batches.append(cur)
+    return batches
+
+
 def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
-              days, *, run_id: str | None = None) -> DataFrame:
-    """K4 for many days at once; returns the per-day report (one row per requested day)."""
+              days, *, run_id: str | None = None, max_files: int = BATCH_FILES_MAX) -> DataFrame:
+    """K4 for many days at once; returns the per-day report (one row per requested day).
+
+    Days whose part files exceed ``max_files`` are loaded in several batches,
+    each a complete load (days of an earlier batch stay committed if a later
+    batch fails); the plan needs only a per-day file count.
+    """
     days = sorted({str(d) for d in days})
     if not days:
         return _report(spark, [])
     catalog.fields_for(source)
+    batches = [days]
+    if fs.exists(spark, source_dir(landing, source)):
+        per_day = {str(r[DAY]): r["count"] for r in
+                   spark.read.format("binaryFile").load(source_dir(landing, source))
+                   .where(day_in(days)).groupBy(DAY).count().collect()}
+        if sum(per_day.values()) > max_files:
+            batches = day_batches(per_day, days, max_files)
+    reports = [_load_batch(spark, lake, landing, catalog, source, b,
+                           run_id=f"{run_id}-{i}" if run_id else None)
+               for i, b in enumerate(batches)]
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
+                days: list[str], *, run_id: str | None = None) -> DataFrame:
+    catalog.fields_for(source)
     run_id = run_id or uuid.uuid4().hex[:12]
     stage = f"{lake.rstrip('/')}/staging/{run_id}/{source}"
     journal.mark(spark, lake, source, days, journal.LOADING)

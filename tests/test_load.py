@@ -154,3 +154,17 @@ def test_part_landing_during_load_is_not_read(spark, mini_catalog, lake_dirs, mo
     rep = {str(r["load_date"]): r for r in load_days(
         spark, lake, landing, mini_catalog, "hits", ["2026-05-20", "2026-05-21"]).collect()}
     assert [(rep[d]["status"], rep[d]["actual"]) for d in sorted(rep)] == [("loaded", 2), ("loaded", 2)]
+
+
+def test_large_loads_run_in_file_bounded_batches(spark, mini_catalog, lake_dirs):
+    from daylake.plans.load import day_batches
+    assert day_batches({"a": 2, "b": 1, "c": 5, "d": 1}, ["a", "b", "c", "d"], 3) == [["a", "b"], ["c"], ["d"]]
+    lake, landing = lake_dirs
+    days = ["2026-05-20", "2026-05-21", "2026-05-22"]
+    for d in days:
+        write_part(landing, "hits", d, "a.tsv", f"{HH}\n1\t[]\t{d}\n")
+        write_part(landing, "hits", d, "b.tsv", f"{HH}\n2\t[]\t{d}\n3\t[]\t{d}\n")
+    rep = load_days(spark, lake, landing, mini_catalog, "hits", days, max_files=3).collect()
+    assert sorted((str(r["load_date"]), r["status"], r["actual"]) for r in rep) == [
+        (d, "loaded", 3) for d in days]
+    assert typed_source(spark, lake, mini_catalog, "hits").count() == 9
