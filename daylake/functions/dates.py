@@ -7,6 +7,7 @@ arguments of one load before any job starts.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 import re
 
 from pyspark.sql import Column, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 BUSINESS_TZ = "+03:00"
 ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
 _ISO_DAY_RE = re.compile(r"\d{4}-\d{2}-\d{2}")
+log = logging.getLogger(__name__)
 
 
 def strict_date(c: Column) -> Column:
@@ -52,6 +54,8 @@ def clamp_range(d1: _dt.date, d2: _dt.date, today: _dt.date | None = None) -> tu
     """``d2`` after yesterday -> yesterday; ``d1 > d2`` after the clamp -> error."""
     ceiling = (today or business_today()) - _dt.timedelta(days=1)
     d2c = min(d2, ceiling)
+    if d2c != d2:
+        log.info("date2 %s clamped to %s (yesterday at UTC+3)", d2, d2c)
     if d1 > d2c:
         raise ValueError(f"empty or inverted range: {d1} > {d2c} (yesterday is {ceiling})")
     return d1, d2c

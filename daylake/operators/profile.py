@@ -55,6 +55,7 @@ def schema_with_semantics(spark: SparkSession, frames: dict[str, DataFrame],
     cat = catalog.to_df(spark).select(F.col("source").alias("table_name"),
                                       F.col("storage_name").alias("column_name"),
                                       F.nullif(F.trim("description"), F.lit("")).alias("semantics"))
+    # Broadcast bound: one row per catalog field.
     return (schema_listing(spark, frames)
             .join(F.broadcast(cat), ["table_name", "column_name"], "left")
             .orderBy("table_name", "ordinal_position"))

@@ -144,7 +144,8 @@ def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
 
     wide = [d for d in days if result[d]["error"] == "a row is not as wide as its header"]
     if wide:
-        # Rare path: one small job names an example row per failed day.
+        # Rare path: one small job names an example row per failed day (broadcast
+        # bound: one row per part file of the failed days, at most BATCH_FILES_MAX).
         stats_w = stats.where(day_in(wide)).select("file", F.col("header").alias("h"))
         tabs = F.length("line") - F.length(F.regexp_replace("line", "\t", ""))
         htabs = F.length("h") - F.length(F.regexp_replace("h", "\t", ""))
@@ -157,7 +158,8 @@ def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
     if good:
         # Pass 2: same scan (same files, same splits, same ids), header lines dropped.
         # Header id per day (all parts of a good day share one header), so the
-        # broadcast side holds only (file, header row id, header id).
+        # broadcast side holds only (file, header row id, header id); bound: one
+        # row per day of the batch.
         day_hid = spark.createDataFrame(
             [(d, headers.index(per_day[d]["header"])) for d in good], "load_date string, hid int"
         ).select(F.col(DAY).cast("date").alias(DAY), "hid")

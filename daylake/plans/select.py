@@ -37,6 +37,7 @@ def select_days(spark: SparkSession, source: str, confirmed: DataFrame, d1: _dt.
         in_hot = F.col(DAY).between(F.lit(start), F.lit(anchor))
     else:
         in_hot = F.lit(False)
+    # Broadcast bound: one row per confirmed day of one source.
     return (cal.join(F.broadcast(loaded), DAY, "left")
             .select(DAY, in_hot.alias("in_hot"), F.coalesce("is_loaded", F.lit(False)).alias("loaded"))
             .where(F.col("in_hot") | ~F.col("loaded"))

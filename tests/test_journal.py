@@ -62,3 +62,16 @@ def test_day_fact_ignores_hidden_files(spark, mini_catalog, lake_dirs):
     fs.write_bytes(spark, f"{root}/load_date=2026-05-01/x.parquet.tmp", b"half written")
     facts = day_facts(spark, lake, mini_catalog, "hits").collect()
     assert [(str(r["load_date"]), r["fact"]) for r in facts] == [("2026-05-01", 1)]
+
+
+def test_compact_keeps_current_state(spark, lake_dirs, tmp_path):
+    lake, _ = lake_dirs
+    journal.mark(spark, lake, "hits", ["2026-05-01", "2026-05-02"], journal.LOADING)
+    journal.mark(spark, lake, "hits", ["2026-05-01"], journal.LOADED, {"2026-05-01": 3})
+    journal.mark(spark, lake, "hits", ["2026-05-02"], journal.FAILED)
+    target = str(tmp_path / "compacted")
+    journal.compact(spark, lake, target)
+    before = sorted((str(r["load_date"]), r["status"], r["row_count"]) for r in journal.current(spark, lake).collect())
+    after = sorted((str(r["load_date"]), r["status"], r["row_count"]) for r in journal.current(spark, target).collect())
+    assert before == after == [("2026-05-01", "loaded", 3), ("2026-05-02", "failed", None)]
+    assert journal.history(spark, target).count() == 2
