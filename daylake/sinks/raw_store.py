@@ -16,6 +16,9 @@ from daylake.sinks import fs
 from daylake.sources.catalog import Catalog
 from daylake.sources.raw import DAY, raw_dir
 
+# Raw days are text only: zstd keeps them small at rest (reads are IO bound).
+RAW_COMPRESSION = "zstd"
+
 
 def storage_mapping(catalog: Catalog, source: str, header: list[str]) -> dict[str, int]:
     """B1: storage name -> cell position for one header; unknown or doubled names fail."""
@@ -43,7 +46,7 @@ def write_staged(df: DataFrame, stage: str) -> None:
     # The staging folder is new for every run: a plain (static) write, no
     # second staging level of dynamic partition overwrite.
     (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(DAY).parquet(stage))
+     .option("compression", RAW_COMPRESSION).partitionBy(DAY).parquet(stage))
 
 
 def write_empty_days(spark: SparkSession, catalog: Catalog, source: str, stage: str,
@@ -56,7 +59,7 @@ def write_empty_days(spark: SparkSession, catalog: Catalog, source: str, stage:
         return
     template = f"{stage}/_empty"
     (spark.createDataFrame([], catalog.raw_schema(source)).coalesce(1)
-     .write.mode("overwrite").parquet(template))
+     .write.mode("overwrite").option("compression", RAW_COMPRESSION).parquet(template))
     name = next(n for n in fs.list_children(spark, template) if n.endswith(".parquet"))
     for day in days:
         fs.copy(spark, f"{template}/{name}", f"{stage}/{DAY}={day}/part-00000-empty.parquet")

@@ -168,3 +168,15 @@ def test_large_loads_run_in_file_bounded_batches(spark, mini_catalog, lake_dirs)
     assert sorted((str(r["load_date"]), r["status"], r["actual"]) for r in rep) == [
         (d, "loaded", 3) for d in days]
     assert typed_source(spark, lake, mini_catalog, "hits").count() == 9
+
+
+def test_gzip_parts(spark, mini_catalog, lake_dirs):
+    import gzip
+    lake, landing = lake_dirs
+    write_part(landing, "hits", "2026-05-20", "a.tsv.gz",
+               gzip.compress(f"{HH}\n1\t[]\t2026-05-20\n2\t[5]\t2026-05-20\n".encode()), binary=True)
+    write_part(landing, "hits", "2026-05-20", "b.tsv", f"{HH}\n3\t[]\t2026-05-20\n")
+    rep = load_days(spark, lake, landing, mini_catalog, "hits", ["2026-05-20"]).first()
+    assert (rep["n_parts"], rep["expected"], rep["actual"], rep["status"]) == (2, 3, 3, "loaded")
+    ids = sorted(int(r[0]) for r in typed_source(spark, lake, mini_catalog, "hits").select("watch_id").collect())
+    assert ids == [1, 2, 3]
