@@ -27,6 +27,7 @@ from daylake.session import new_work_dir, tune_for_day_folders
 from daylake.sinks import fs
 from daylake.sources.catalog import Catalog, load_catalog
 from daylake.sources.landing import source_dir, write_landing
+from daylake.functions.dates import register_today
 from daylake.views import register_views, typed_source
 
 DAY = "load_date"
@@ -153,7 +154,16 @@ def base_lake(spark: SparkSession, sf_dir: str, sources=SOURCES) -> Lake:
 
 
 def base_views(spark: SparkSession, sf_dir: str, sources=SOURCES) -> dict[str, DataFrame]:
-    return base_lake(spark, sf_dir, sources).views(spark, sources)
+    """Typed views of the base lake.  The base lake does not change after its
+    load, so each source's frame (and its file listing) is built once; the temp
+    views are registered again on every call (no job, no listing)."""
+    lake = base_lake(spark, sf_dir, sources)
+    frames = {s: memo(spark, ("base-view", sf_dir, s), lambda s=s: lake.typed(spark, s))
+              for s in sources}
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    register_today(spark)
+    return frames
 
 
 def day(s: str) -> _dt.date:
