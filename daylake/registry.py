@@ -163,7 +163,7 @@ def q_retention_days(spark, sf):
     ev = base_views(spark, sf, ["events"])["events"]
     first = ev.groupBy("user_id").agg(F.min("date").alias("first_day"))
     return (ev.select("user_id", "date").join(first, "user_id")
-            .select("user_id", F.datediff("date", "first_day").alias("day_number"))
+            .select("user_id", F.datediff("date", "first_day").cast("long").alias("day_number"))
             .groupBy("day_number").agg(F.count_distinct("user_id").alias("users")))
 
 
