@@ -39,3 +39,6 @@ def test_sql_statements(spark, mini_catalog, lake_dirs):
     assert query(spark, "SUMMARIZE SELECT watch_id FROM hits WHERE date = DATE'2026-05-21'").first()["count"] == 2
     assert query(spark, "SELECT 1").first()[0] == 1
     assert spark.sql("WITH x AS (SELECT * FROM hits) SELECT count(*) FROM x").first()[0] == 5
+    from daylake.operators.profile import list_objects
+    names = [r[0] for r in list_objects(spark).collect()]
+    assert names == sorted(names) and {"hits", "visits"} <= set(names)
