@@ -31,7 +31,7 @@ from daylake.sinks.raw_store import (publish_days, staged_counts, storage_mappin
                                      write_empty_days, write_staged)
 from daylake.sources.catalog import Catalog
 from daylake.sources.landing import (cells, day_expectations, day_in, part_files, part_stats,
-                                     scan_lines, source_dir)
+                                     scan_lines, source_dir, tab_count)
 
 DAY = "load_date"
 BROADCAST_FILES_MAX = 200_000  # part-table rows (path + two longs) safe to broadcast
@@ -147,8 +147,7 @@ def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
         # Rare path: one small job names an example row per failed day (broadcast
         # bound: one row per part file of the failed days, at most BATCH_FILES_MAX).
         stats_w = stats.where(day_in(wide)).select("file", F.col("header").alias("h"))
-        tabs = F.length("line") - F.length(F.regexp_replace("line", "\t", ""))
-        htabs = F.length("h") - F.length(F.regexp_replace("h", "\t", ""))
+        tabs, htabs = tab_count(F.col("line")), tab_count(F.col("h"))
         examples = (scan_lines(spark, landing, source, files=files).where(day_in(wide))
                     .join(F.broadcast(stats_w), "file").where(tabs != htabs)
                     .groupBy(DAY).agg(F.min("line").alias("example")).collect())
