@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import json
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from daylake.functions.encode import csv_header, csv_row, json_row, md_cell, md_row
+
 
 # Fixed values of the read channel.
 DEFAULT_LIMIT = 100
@@ -120,3 +124,36 @@ def run_query(df: DataFrame, export_path: str, limit=None) -> QueryResult:
         return QueryResult("file", None, n, export_path)
     pg = page(df, limit)
     return QueryResult("inline", pg.rows, pg.total_rows, None)
+
+
+def render(df: DataFrame, limit=None, fmt: str = "json") -> str:
+    """The inline answer of the read channel for one page (I2/I3/I4 + G1).
+
+    Rows are encoded on the executors; only the page (at most 10 000 rows)
+    reaches the driver.  json: a document with ``columns``, ``rows``,
+    ``total_rows``, ``limit``, ``has_more``, ``next_offset``; csv: header +
+    rows; markdown: a table, or a no-rows note, with a note when cut.
+    """
+    pg = page(df, limit)
+    cols = df.columns
+    if fmt == "json":
+        rows = [json.loads(r[0]) for r in pg.rows.select(json_row(pg.rows)).collect()]
+        return json.dumps({"columns": cols, "rows": rows, "total_rows": pg.total_rows,
+                           "limit": pg.limit, "has_more": pg.has_more,
+                           "next_offset": pg.next_offset}, ensure_ascii=False, indent=2)
+    if fmt == "csv":
+        lines = [csv_header(cols)] + [r[0] for r in pg.rows.select(csv_row(pg.rows)).collect()]
+        return "\n".join(lines)
+    if fmt == "markdown":
+        if pg.total_rows == 0:
+            return "_no rows_"
+        head = pg.rows.sparkSession.createDataFrame([tuple(cols)], [f"c{i}" for i in range(len(cols))])
+        header = head.select(F.concat(F.lit("| "), F.concat_ws(" | ", *[md_cell(F.col(c)) for c in head.columns]),
+                                      F.lit(" |"))).first()[0]
+        lines = [header, "| " + " | ".join(["---"] * len(cols)) + " |"]
+        lines += [r[0] for r in pg.rows.select(md_row(pg.rows)).collect()]
+        text = "\n".join(lines)
+        if pg.has_more:
+            text += f"\n\n_... {pg.total_rows - pg.limit} more rows (limit {pg.limit})_"
+        return text
+    raise ValueError(f"unknown format {fmt!r}; use json, csv or markdown")

@@ -7,6 +7,8 @@ folders and unfinished files never count as days.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ from daylake.sinks import fs
 from daylake.sources.catalog import Catalog
 
 DAY = "load_date"
+log = logging.getLogger(__name__)
 PARQUET_MAGIC = bytearray(b"PAR1")
 
 
@@ -82,6 +85,10 @@ def day_facts(spark: SparkSession, lake: str, catalog: Catalog, source: str,
                  .select("path", (F.substring("content", -4, 4) == F.lit(PARQUET_MAGIC))
                          .alias("readable")))
         per_file = per_file.join(magic, "path", "left")
+        bad = [r.path for r in magic.where(~F.col("readable")).select("path").collect()]
+        if bad:
+            log.warning("%s: %d unreadable day file(s), their days count as not loaded: %s",
+                        source, len(bad), bad[:5])
     else:
         per_file = per_file.withColumn("readable", F.lit(True))
     ok = F.col("count").isNotNull() | F.coalesce(F.col("readable"), F.lit(False))

@@ -102,3 +102,20 @@ def test_encodings(spark):
     md = [r[0] for r in df.select(md_row(df)).orderBy("id").collect()]
     assert md[0].endswith("| " + "x" * 47 + "... |")
     assert "| NULL |" in md[1] and "line break\\|pipe" in md[1]
+
+
+def test_render_formats(spark):
+    df = spark.createDataFrame([(i, f"v{i}" if i % 2 else "a|b\nc", float("nan") if i == 0 else i / 2)
+                                for i in range(5)], "id long, s string, f double").orderBy("id")
+    doc = json.loads(res.render(df, 3, "json"))
+    assert doc["columns"] == ["id", "s", "f"] and doc["total_rows"] == 5
+    assert doc["has_more"] and doc["next_offset"] == 3 and len(doc["rows"]) == 3
+    assert doc["rows"][0]["f"] is None
+    csv = res.render(df, 2, "csv").split("\n", 1)
+    assert csv[0] == "id,s,f" and csv[1].startswith('0,"a|b\nc"')
+    md = res.render(df, 2, "markdown").splitlines()
+    assert md[0] == "| id | s | f |" and md[1] == "| --- | --- | --- |"
+    assert md[2] == "| 0 | a\\|b c | NaN |" and md[-1] == "_... 3 more rows (limit 2)_"
+    assert res.render(df.where("id < 0"), None, "markdown") == "_no rows_"
+    with pytest.raises(ValueError):
+        res.render(df, 1, "xml")
