@@ -126,6 +126,8 @@ ORACLES = {
                                 for t in ("click", "error", "purchase", "signup", "view"))
                     + " FROM events GROUP BY 1"),
     "unpivot_counts": "SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    "props_json": ("SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) "
+                   "AS k_sum, CAST(max(length(props)) AS INTEGER) AS max_len FROM events GROUP BY 1"),
     "retention_days": (
         "WITH e AS (SELECT user_id, CAST(ts AS DATE) AS d FROM events), "
         "f AS (SELECT user_id, min(d) AS first_day FROM e GROUP BY 1) "

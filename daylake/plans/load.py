@@ -164,6 +164,9 @@ def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
         ).select(F.col(DAY).cast("date").alias(DAY), "hid")
         part_table = (stats.where(day_in(good)).select(DAY, "file", "header_rid")
                       .join(F.broadcast(day_hid), DAY).select("file", "header_rid", "hid"))
+        # Batches hold at most BATCH_FILES_MAX part files, below the broadcast
+        # bound; only a single day with more parts than that falls back to a
+        # shuffle join on the file path.
         n_files = sum(per_day[d]["n_parts"] for d in good)
         if n_files <= BROADCAST_FILES_MAX:
             part_table = F.broadcast(part_table)

@@ -159,6 +159,13 @@ def q_unpivot_counts(spark, sf):
                      f"UNPIVOT (n FOR event_type IN ({', '.join(types)}))")
 
 
+def q_props_json(spark, sf):
+    """Built-in JSON / string functions over a typed VARCHAR column."""
+    ev = base_views(spark, sf, ["events"])["events"]
+    k = F.get_json_object("props", "$.k").cast("long")
+    return ev.groupBy("event_type").agg(F.sum(k).alias("k_sum"), F.max(F.length("props")).alias("max_len"))
+
+
 def q_retention_days(spark, sf):
     ev = base_views(spark, sf, ["events"])["events"]
     first = ev.groupBy("user_id").agg(F.min("date").alias("first_day"))
@@ -417,6 +424,7 @@ QUERIES = {
     "sql_from_first": q_sql_from_first,
     "pivot_types": q_pivot_types,
     "unpivot_counts": q_unpivot_counts,
+    "props_json": q_props_json,
     "retention_days": q_retention_days,
     "tsv_part_counts": q_tsv_part_counts,
     "row_check_report": q_row_check_report,
