@@ -21,7 +21,7 @@ from daylake.workloads import SOURCES, base_lake, land, load_all, memo  # noqa:
 
 HEADLINE = ["daily_counts", "day_filter", "typed_roundtrip_lineitem", "typed_roundtrip_orders",
             "typed_arrays_num", "zipped_arrays", "visit_hits_join", "typed_int_rounding", "typed_bad_cells",
-            "retention_days", "pivot_types", "context_profile", "summarize_exact", "summarize",
+            "retention_days", "props_json", "pivot_types", "context_profile", "summarize_exact", "summarize",
             "page_meta", "tsv_part_counts", "reconcile_truth", "select_days", "row_check_report",
             "day_replace", "schema_drift", "empty_day", "range_load_summary", "stream_daily_counts",
             "export_counts",

@@ -30,8 +30,8 @@ from daylake.sinks import fs
 from daylake.sinks.raw_store import (publish_days, staged_counts, storage_mapping,
                                      write_empty_days, write_staged)
 from daylake.sources.catalog import Catalog
-from daylake.sources.landing import (cells, day_expectations, day_in, part_files, part_stats,
-                                     scan_lines, source_dir, tab_count)
+from daylake.sources.landing import (cells, day_expectations, day_in, list_parts, part_files,
+                                     part_stats, scan_lines, source_dir, tab_count)
 
 DAY = "load_date"
 BROADCAST_FILES_MAX = 200_000  # part-table rows (path + two longs) safe to broadcast
@@ -73,16 +73,20 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
     if not days:
         return _report(spark, [])
     catalog.fields_for(source)
-    batches = [days]
+    batches: list[tuple[list[str], list[str] | None]] = [(days, None)]
     if fs.exists(spark, source_dir(landing, source)):
-        per_day = {str(r[DAY]): r["count"] for r in
-                   spark.read.format("binaryFile").load(source_dir(landing, source))
-                   .where(day_in(days)).groupBy(DAY).count().collect()}
-        if sum(per_day.values()) > max_files:
-            batches = day_batches(per_day, days, max_files)
-    reports = [_load_batch(spark, lake, landing, catalog, source, b,
+        # One listing; only above the bound a per-day count plans the batches.
+        listed = list_parts(spark, landing, source, days, limit=max_files)
+        if len(listed) <= max_files:
+            batches = [(days, sorted(p for p, _ in listed))]
+        else:
+            per_day = {str(r[DAY]): r["count"] for r in
+                       spark.read.format("binaryFile").load(source_dir(landing, source))
+                       .where(day_in(days)).groupBy(DAY).count().collect()}
+            batches = [(b, None) for b in day_batches(per_day, days, max_files)]
+    reports = [_load_batch(spark, lake, landing, catalog, source, b, files=f,
                            run_id=f"{run_id}-{i}" if run_id else None)
-               for i, b in enumerate(batches)]
+               for i, (b, f) in enumerate(batches)]
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)
@@ -90,7 +94,8 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
 
 
 def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
-                days: list[str], *, run_id: str | None = None) -> DataFrame:
+                days: list[str], *, files: list[str] | None = None,
+                run_id: str | None = None) -> DataFrame:
     catalog.fields_for(source)
     run_id = run_id or uuid.uuid4().hex[:12]
     stage = f"{lake.rstrip('/')}/staging/{run_id}/{source}"
@@ -106,7 +111,8 @@ def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
     # Written once to the run's folder (shared storage): later steps read the
     # small table instead of scanning the text again, and lineage is cut.
     parts_path = f"{lake.rstrip('/')}/staging/{run_id}/_parts/{source}"
-    files = part_files(spark, landing, source, days)
+    if files is None:
+        files = part_files(spark, landing, source, days)
     if not files:
         journal.mark(spark, lake, source, days, journal.FAILED)
         return _report(spark, [(source, _dt.date.fromisoformat(d), 0, None, None, "failed",

@@ -89,9 +89,17 @@ def part_files(spark: SparkSession, landing_root: str, source: str, days) -> lis
     Both passes of a load read exactly this list, so a part landing during the
     load cannot change what (or how) the second pass reads.
     """
+    return sorted(p for p, _ in list_parts(spark, landing_root, source, days))
+
+
+def list_parts(spark: SparkSession, landing_root: str, source: str, days,
+               limit: int | None = None) -> list[tuple[str, str]]:
+    """``(path, day)`` of the part files of the given days (at most ``limit`` + 1)."""
     listing = (spark.read.format("binaryFile").load(source_dir(landing_root, source))
-               .where(day_in(days)).select("path"))
-    return sorted(r.path for r in listing.collect())
+               .where(day_in(days)).select("path", F.col(DAY).cast("string")))
+    if limit is not None:
+        listing = listing.limit(limit + 1)
+    return [(r[0], r[1]) for r in listing.collect()]
 
 
 def scan_lines(spark: SparkSession, landing_root: str, source: str, days=None,

@@ -144,13 +144,13 @@ def test_part_landing_during_load_is_not_read(spark, mini_catalog, lake_dirs, mo
     lake, landing = lake_dirs
     for d in ("2026-05-20", "2026-05-21"):
         write_part(landing, "hits", d, "a.tsv", f"{HH}\n1\t[]\t{d}\n2\t[]\t{d}\n")
-    real = L.part_files
+    real = L.list_parts
 
     def listed_then_more_lands(*a, **k):
         files = real(*a, **k)
         write_part(landing, "hits", "2026-05-20", "late.tsv", f"{HH}\n9\t[]\t2026-05-20\n" * 3)
         return files
-    monkeypatch.setattr(L, "part_files", listed_then_more_lands)
+    monkeypatch.setattr(L, "list_parts", listed_then_more_lands)
     rep = {str(r["load_date"]): r for r in load_days(
         spark, lake, landing, mini_catalog, "hits", ["2026-05-20", "2026-05-21"]).collect()}
     assert [(rep[d]["status"], rep[d]["actual"]) for d in sorted(rep)] == [("loaded", 2), ("loaded", 2)]
