@@ -96,10 +96,27 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
 def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
                 days: list[str], *, files: list[str] | None = None,
                 run_id: str | None = None) -> DataFrame:
+    """One batch: loading marks -> checks -> staged write -> row check -> publish -> marks.
+
+    Any error marks every day of the batch ``failed`` and is raised again (days
+    of earlier batches stay committed); the run's staging folder is removed.
+    """
     catalog.fields_for(source)
     run_id = run_id or uuid.uuid4().hex[:12]
-    stage = f"{lake.rstrip('/')}/staging/{run_id}/{source}"
+    run_dir = f"{lake.rstrip('/')}/staging/{run_id}"
     journal.mark(spark, lake, source, days, journal.LOADING)
+    try:
+        return _run_batch(spark, lake, landing, catalog, source, days, files, run_dir)
+    except Exception:
+        journal.mark(spark, lake, source, days, journal.FAILED)
+        raise
+    finally:
+        fs.delete(spark, run_dir)
+
+
+def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
+               days: list[str], files: list[str] | None, run_dir: str) -> DataFrame:
+    stage = f"{run_dir}/{source}"
 
     if not fs.exists(spark, source_dir(landing, source)):
         rows = [(source, _dt.date.fromisoformat(d), 0, None, None, "failed", "no landed parts")
@@ -110,7 +127,7 @@ def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
     # Pass 1: one row per part file.
     # Written once to the run's folder (shared storage): later steps read the
     # small table instead of scanning the text again, and lineage is cut.
-    parts_path = f"{lake.rstrip('/')}/staging/{run_id}/_parts/{source}"
+    parts_path = f"{run_dir}/_parts/{source}"
     if files is None:
         files = part_files(spark, landing, source, days)
     if not files:
@@ -209,7 +226,8 @@ def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
     publish_days(spark, lake, source, stage, ok_days)
     journal.mark(spark, lake, source, ok_days, journal.LOADED,
                  {d: result[d]["actual"] for d in ok_days})
-    journal.mark(spark, lake, source, [d for d in days if d not in ok_days], journal.FAILED)
+    journal.mark(spark, lake, source, [d for d in days if result[d]["status"] != "loaded"],
+                 journal.FAILED)
     return _report(spark, [(source, _dt.date.fromisoformat(d), result[d]["n_parts"],
                             result[d]["expected"], result[d]["actual"], result[d]["status"],
                             result[d]["error"]) for d in days])

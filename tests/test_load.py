@@ -180,3 +180,20 @@ def test_gzip_parts(spark, mini_catalog, lake_dirs):
     assert (rep["n_parts"], rep["expected"], rep["actual"], rep["status"]) == (2, 3, 3, "loaded")
     ids = sorted(int(r[0]) for r in typed_source(spark, lake, mini_catalog, "hits").select("watch_id").collect())
     assert ids == [1, 2, 3]
+
+
+def test_failure_marks_days_failed_and_cleans_staging(spark, mini_catalog, lake_dirs, monkeypatch):
+    import pytest
+    from daylake.plans import load as L
+    from daylake.sinks import fs
+    lake, landing = lake_dirs
+    write_part(landing, "hits", "2026-05-20", "a.tsv", f"{HH}\n1\t[]\t2026-05-20\n")
+
+    def broken(*a, **k):
+        raise IOError("disk gone")
+    monkeypatch.setattr(L, "publish_days", broken)
+    with pytest.raises(IOError):
+        load_days(spark, lake, landing, mini_catalog, "hits", ["2026-05-20"])
+    st = [(str(r["load_date"]), r["status"]) for r in journal.current(spark, lake).collect()]
+    assert st == [("2026-05-20", "failed")]
+    assert fs.list_children(spark, f"{lake}/staging") == []
