@@ -100,7 +100,8 @@ ORACLES = {
         f"GROUP BY o.o_orderkey, o.o_orderpriority"),
     "typed_arrays_str": (
         f"SELECT o.o_orderkey, coalesce(string_agg(p.p_name, '|' ORDER BY {_LINE_ORDER}), '') AS part_path, "
-        f"coalesce(string_agg(l.l_returnflag, '' ORDER BY {_LINE_ORDER}), '') AS flags "
+        f"coalesce(string_agg(l.l_returnflag, '' ORDER BY {_LINE_ORDER}), '') AS flags, "
+        f"coalesce(string_agg(p.p_name || '''s ' || p.p_brand || ', \"' || p.p_type || '\"', '|' ORDER BY {_LINE_ORDER}), '') AS label_path "
         f"FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey "
         f"LEFT JOIN part p ON p.p_partkey = l.l_partkey GROUP BY o.o_orderkey"),
     "zipped_arrays": ("SELECT l.l_orderkey AS o_orderkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, "

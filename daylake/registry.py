@@ -82,7 +82,8 @@ def q_typed_arrays_num(spark, sf):
 def q_typed_arrays_str(spark, sf):
     o = base_views(spark, sf, ["orders"])["orders"]
     return o.select("o_orderkey", F.array_join("part_names", "|").alias("part_path"),
-                    F.array_join("return_flags", "").alias("flags"))
+                    F.array_join("return_flags", "").alias("flags"),
+                    F.array_join("part_labels", "|").alias("label_path"))
 
 
 def q_zipped_arrays(spark, sf):
@@ -379,7 +380,7 @@ def q_export_counts(spark, sf):
     rows = []
     for name, df in (("orders", base_views(spark, sf, ["orders"])["orders"].drop(
                          "line_ids", "line_numbers", "quantities", "ship_times", "return_flags",
-                         "part_names")),
+                         "part_names", "part_labels")),
                      ("region", table(spark, sf, "region"))):
         r = res.run_query(df, f"{out}/{name}.parquet")
         rows.append((name, r.mode, r.total_rows))

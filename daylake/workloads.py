@@ -63,12 +63,14 @@ def lineitem_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their lines as parallel arrays (bounded list parts per order)."""
     li = lineitem_frame(spark, sf_dir)
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name",
+        F.concat("p_name", F.lit("'s "), "p_brand", F.lit(', "'), "p_type", F.lit('"')).alias("p_label"))
     lines = li.join(part, li.l_partkey == part.p_partkey, "left").select(
-        "l_orderkey", *LINE_ORDER, "line_id", "p_name")
+        "l_orderkey", *LINE_ORDER, "line_id", "p_name", "p_label")
     lists = bounded_lists(lines, ["l_orderkey"], LINE_ORDER,
                           ["line_id", "l_linenumber", "l_quantity", "l_shipdate", "l_returnflag",
-                           "p_name"])
+                           "p_name", "p_label"])
     o = table(spark, sf_dir, "orders")
     j = o.join(lists, o.o_orderkey == lists.l_orderkey, "left")
     empty = F.array()
@@ -84,6 +86,7 @@ def orders_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("l_shipdate", empty.cast("array<timestamp_ntz>")).alias("ship_times"),
         F.coalesce("l_returnflag", empty.cast("array<string>")).alias("return_flags"),
         F.coalesce("p_name", empty.cast("array<string>")).alias("part_names"),
+        F.coalesce("p_label", empty.cast("array<string>")).alias("part_labels"),
         F.to_date("o_orderdate").alias(DAY))
 
 
