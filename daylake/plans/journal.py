@@ -41,8 +41,11 @@ def journal_dir(lake: str) -> str:
 def append_marks(spark: SparkSession, lake: str, marks: DataFrame) -> None:
     """Append marks ``(source, load_date, row_count, status)`` as one small file.
 
-    ``loading`` / ``failed`` / ``removed`` carry no count and no time; ``loaded``
-    gets the time of the mark.
+    Every batch of marks goes to its own folder ``journal/seq=<seq>``: writers
+    never share a commit area (concurrent loads of different sources are
+    safe) and ``seq`` comes back as a partition column.  ``loading`` /
+    ``failed`` / ``removed`` carry no count and no time; ``loaded`` gets the
+    time of the mark.
     """
     seq = next_seq()
     done = F.col("status") == LOADED
@@ -50,8 +53,8 @@ def append_marks(spark: SparkSession, lake: str, marks: DataFrame) -> None:
         F.col("source").cast("string"), F.col(DAY).cast("date"),
         F.when(done, F.col("row_count")).cast("long").alias("row_count"),
         F.when(done, F.localtimestamp()).alias("loaded_at"),
-        F.col("status").cast("string"), F.lit(seq).cast("long").alias("seq"))
-    rows.coalesce(1).write.mode("append").parquet(journal_dir(lake))
+        F.col("status").cast("string"))
+    rows.coalesce(1).write.mode("errorifexists").parquet(f"{journal_dir(lake)}/seq={seq}")
 
 
 def mark(spark: SparkSession, lake: str, source: str, days: list[str], status: str,
@@ -78,8 +81,9 @@ def current(spark: SparkSession, lake: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, lake: str, target: str) -> None:
-    """Write the current state as a new journal folder (bounded size for old lakes)."""
-    current(spark, lake).write.mode("errorifexists").parquet(journal_dir(target))
+    """Write the current state as a new journal (one mark folder; bounded size for old lakes)."""
+    (current(spark, lake).drop("seq").coalesce(1).write.mode("errorifexists")
+     .parquet(f"{journal_dir(target)}/seq={next_seq()}"))
 
 
 def reconcile_frame(spark: SparkSession, lake: str, catalog: Catalog, sources,

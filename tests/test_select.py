@@ -85,3 +85,17 @@ def test_range_load_resumes(spark, mini_catalog, lake_dirs):
         hot_window_days=0, today=D(2026, 5, 5)).collect()}
     assert summary["hits"]["skipped_days"] == 4 and summary["hits"]["error"] is None
     assert summary["visits"]["failed_days"] == 4     # nothing landed for visits
+
+
+def test_update_all_parallel_sources(spark, mini_catalog, lake_dirs):
+    lake, landing = lake_dirs
+    VH = "v:visitID\tv:dateTime\tv:watchIDs"
+    for d in ["2026-05-01", "2026-05-02"]:
+        write_part(landing, "hits", d, "p.tsv", f"{HH}\n1\t[]\t{d}\n2\t[]\t{d}\n")
+        write_part(landing, "visits", d, "p.tsv", f"{VH}\n7\t{d} 00:00:00\t[1,2]\n")
+    out = {r["source"]: r for r in update_all(
+        spark, lake, landing, mini_catalog, ["hits", "visits"], "2026-05-01", "2026-05-02",
+        hot_window_days=0, today=D(2026, 5, 5), parallel_sources=2).collect()}
+    assert (out["hits"]["loaded_days"], out["hits"]["total_rows"]) == (2, 4)
+    assert (out["visits"]["loaded_days"], out["visits"]["total_rows"]) == (2, 2)
+    assert out["hits"]["error"] is None and out["visits"]["error"] is None
