@@ -86,6 +86,35 @@ def compact(spark: SparkSession, lake: str, target: str) -> None:
      .parquet(f"{journal_dir(target)}/seq={next_seq()}"))
 
 
+def compact_in_place(spark: SparkSession, lake: str) -> int:
+    """Replace the journal by its current state; returns the number of folders removed.
+
+    The snapshot is written as the newest mark folder first, so ``current`` is
+    the same before, during and after; then the older folders are dropped
+    (tombstoned days have no row in the snapshot, and their old rows go with
+    the old folders).
+    """
+    root = journal_dir(lake)
+    old = [n for n in fs.list_children(spark, root) if n.startswith("seq=")]
+    if len(old) <= 1:
+        return 0
+    snap = current(spark, lake).drop("seq").coalesce(1)
+    snap_seq = next_seq()
+    snap.write.mode("errorifexists").parquet(f"{root}/seq={snap_seq}")
+    removed = 0
+    for n in old:
+        if int(n.split("=", 1)[1]) < snap_seq:
+            fs.delete(spark, f"{root}/{n}")
+            removed += 1
+    return removed
+
+
+def maybe_compact(spark: SparkSession, lake: str, max_folders: int = 500) -> None:
+    """Compact once the journal holds more than ``max_folders`` mark folders."""
+    if len(fs.list_children(spark, journal_dir(lake))) > max_folders:
+        compact_in_place(spark, lake)
+
+
 def reconcile_frame(spark: SparkSession, lake: str, catalog: Catalog, sources,
                     d1=None, d2=None) -> DataFrame:
     """K2 truth table as a frame over journal ∪ files (full outer join on the day key).
@@ -116,6 +145,7 @@ def reconcile(spark: SparkSession, lake: str, catalog: Catalog, sources, d1=None
     disagree with the facts.  Returns the report, materialised before the
     tombstones are appended; ``confirmed`` days are the loaded set.
     """
+    maybe_compact(spark, lake)
     # Written as a small table (one row per day) to the lake's run folder: the
     # report must not change when the tombstones are appended, and no cached
     # plan over day files may outlive the next publish.

@@ -75,3 +75,21 @@ def test_compact_keeps_current_state(spark, lake_dirs, tmp_path):
     after = sorted((str(r["load_date"]), r["status"], r["row_count"]) for r in journal.current(spark, target).collect())
     assert before == after == [("2026-05-01", "loaded", 3), ("2026-05-02", "failed", None)]
     assert journal.history(spark, target).count() == 2
+
+
+def test_compact_in_place(spark, lake_dirs):
+    lake, _ = lake_dirs
+    journal.mark(spark, lake, "hits", ["2026-05-01", "2026-05-02", "2026-05-03"], journal.LOADING)
+    journal.mark(spark, lake, "hits", ["2026-05-01", "2026-05-03"], journal.LOADED,
+                 {"2026-05-01": 3, "2026-05-03": 4})
+    journal.mark(spark, lake, "hits", ["2026-05-02"], journal.FAILED)
+    journal.mark(spark, lake, "hits", ["2026-05-03"], journal.REMOVED)
+    before = sorted((str(r["load_date"]), r["status"], r["row_count"]) for r in journal.current(spark, lake).collect())
+    assert journal.compact_in_place(spark, lake) == 4
+    after = sorted((str(r["load_date"]), r["status"], r["row_count"]) for r in journal.current(spark, lake).collect())
+    assert before == after == [("2026-05-01", "loaded", 3), ("2026-05-02", "failed", None)]
+    assert len(fs.list_children(spark, journal.journal_dir(lake))) == 1
+    assert journal.history(spark, lake).count() == 2
+    journal.mark(spark, lake, "hits", ["2026-05-02"], journal.LOADED, {"2026-05-02": 1})
+    assert {str(r["load_date"]): r["status"] for r in journal.current(spark, lake).collect()} == {
+        "2026-05-01": "loaded", "2026-05-02": "loaded"}
