@@ -12,7 +12,6 @@ reused by the read queries; queries that change a lake build their own.
 
 from __future__ import annotations
 
-import datetime as _dt
 import threading
 from dataclasses import dataclass
 from decimal import Decimal
@@ -21,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daylake.operators.relations import bounded_lists
-from daylake.plans import journal
 from daylake.plans.load import load_days
 from daylake.session import new_work_dir, tune_for_day_folders
 from daylake.sinks import fs
@@ -167,17 +165,3 @@ def base_views(spark: SparkSession, sf_dir: str, sources=SOURCES) -> dict[str, D
         df.createOrReplaceTempView(name)
     register_today(spark)
     return frames
-
-
-def day(s: str) -> _dt.date:
-    return _dt.date.fromisoformat(s)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage into the shared checkpoint folder (reliable, survives lost executors)."""
-    return df.checkpoint(eager=True)
-
-
-__all__ = ["Lake", "base_lake", "base_views", "new_lake", "land", "load_all", "memo",
-           "events_frame", "lineitem_frame", "orders_frame", "table", "journal", "ID_BASE",
-           "LINE_ORDER", "checkpointed", "day", "landed_days"]

@@ -1,8 +1,5 @@
 """Journal upserts and the reconcile truth table."""
 
-from pathlib import Path
-
-from pyspark.sql import functions as F
 
 from daylake.plans import journal
 from daylake.plans.load import load_days

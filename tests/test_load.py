@@ -2,9 +2,7 @@
 
 import datetime as dt
 from decimal import Decimal
-from pathlib import Path
 
-from pyspark.sql import functions as F
 
 from daylake.plans import journal
 from daylake.plans.load import load_days

@@ -2,11 +2,9 @@
 
 import datetime as dt
 import json
-import math
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from daylake.functions.encode import csv_row, json_row, md_row
 from daylake.operators import profile as prof

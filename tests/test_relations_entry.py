@@ -1,6 +1,5 @@
 """Array-key links, bounded list building, zipped arrays and the driver contract."""
 
-from pyspark.sql import functions as F
 
 from daylake.operators.relations import bounded_lists, link_array_to_key, zipped_rows
 
