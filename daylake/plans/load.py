@@ -16,6 +16,7 @@ jobs, whatever the number of days:
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 import uuid
 from dataclasses import dataclass
 
@@ -105,15 +106,42 @@ def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
     run_id = run_id or uuid.uuid4().hex[:12]
     run_dir = f"{lake.rstrip('/')}/staging/{run_id}"
     journal.mark(spark, lake, source, days, journal.LOADING)
+    _pin_splits(spark)
     try:
         return _run_batch(spark, lake, landing, catalog, source, days, files, run_dir)
     except Exception:
         journal.mark(spark, lake, source, days, journal.FAILED)
         raise
     finally:
+        _unpin_splits(spark)
         fs.delete(spark, run_dir)
 
 
+# Both passes of a load must cut the same files into the same splits (header
+# lines are found by their per-split order id).  Spark's split size depends on
+# the cluster's current parallelism, which moves when executors come and go,
+# so it is pinned while any load runs (only where the session leaves it unset).
+_PIN_KEY = "spark.sql.files.minPartitionNum"
+_pin_lock = threading.Lock()
+_pins = {"count": 0, "owned": False}
+
+
+def _pin_splits(spark: SparkSession) -> None:
+    with _pin_lock:
+        if _pins["count"] == 0 and spark.conf.get(_PIN_KEY, None) is None:
+            spark.conf.set(_PIN_KEY, str(max(1, spark.sparkContext.defaultParallelism)))
+            _pins["owned"] = True
+        _pins["count"] += 1
+
+
+def _unpin_splits(spark: SparkSession) -> None:
+    with _pin_lock:
+        _pins["count"] -= 1
+        if _pins["count"] == 0 and _pins["owned"]:
+            spark.conf.unset(_PIN_KEY)
+            _pins["owned"] = False
+
+
 def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
                days: list[str], files: list[str] | None, run_dir: str) -> DataFrame:
     stage = f"{run_dir}/{source}"

@@ -195,3 +195,20 @@ def test_failure_marks_days_failed_and_cleans_staging(spark, mini_catalog, lake_
     st = [(str(r["load_date"]), r["status"]) for r in journal.current(spark, lake).collect()]
     assert st == [("2026-05-20", "failed")]
     assert fs.list_children(spark, f"{lake}/staging") == []
+
+
+def test_split_layout_is_pinned_during_a_load(spark, mini_catalog, lake_dirs, monkeypatch):
+    from daylake.plans import load as L
+    lake, landing = lake_dirs
+    write_part(landing, "hits", "2026-05-20", "a.tsv", f"{HH}\n1\t[]\t2026-05-20\n")
+    seen = []
+    real = L.part_stats
+
+    def spy(lines):
+        seen.append(spark.conf.get("spark.sql.files.minPartitionNum", None))
+        return real(lines)
+    monkeypatch.setattr(L, "part_stats", spy)
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+    load_days(spark, lake, landing, mini_catalog, "hits", ["2026-05-20"])
+    assert seen == [str(spark.sparkContext.defaultParallelism)]
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
