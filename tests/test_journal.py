@@ -90,3 +90,20 @@ def test_compact_in_place(spark, lake_dirs):
     journal.mark(spark, lake, "hits", ["2026-05-02"], journal.LOADED, {"2026-05-02": 1})
     assert {str(r["load_date"]): r["status"] for r in journal.current(spark, lake).collect()} == {
         "2026-05-01": "loaded", "2026-05-02": "loaded"}
+
+
+def test_day_folder_without_parquet_is_not_a_day(spark, mini_catalog, lake_dirs):
+    lake, landing = lake_dirs
+    write_part(landing, "hits", "2026-05-01", "p.tsv", f"{HH}\n1\t[]\tx\n")
+    load_days(spark, lake, landing, mini_catalog, "hits", ["2026-05-01"])
+    root = raw_dir(lake, "hits")
+    fs.mkdirs(spark, f"{root}/load_date=2026-05-02")              # empty day folder
+    fs.mkdirs(spark, f"{root}/load_date=2026-05-03/2026-05-03.parquet")  # only a folder inside
+    journal.mark(spark, lake, "hits", ["2026-05-02", "2026-05-03"], journal.LOADED,
+                 {"2026-05-02": 0, "2026-05-03": 0})
+    facts = {str(r["load_date"]): r["fact"] for r in day_facts(spark, lake, mini_catalog, "hits").collect()}
+    assert facts == {"2026-05-01": 1}
+    rep = {str(r["load_date"]): r for r in journal.reconcile_frame(spark, lake, mini_catalog, ["hits"]).collect()}
+    assert rep["2026-05-01"]["confirmed"]
+    assert rep["2026-05-02"]["fact"] is None and rep["2026-05-02"]["removed"]
+    assert rep["2026-05-03"]["fact"] is None and rep["2026-05-03"]["removed"]
