@@ -61,6 +61,12 @@ def mark(spark: SparkSession, lake: str, source: str, days: list[str], status: s
          counts: dict[str, int] | None = None) -> None:
     if not days:
         return
+    if status not in (LOADING, LOADED, FAILED, REMOVED):
+        raise ValueError(f"unknown journal status {status!r}")
+    if status == LOADED:
+        bad = [d for d in days if (counts or {}).get(d) is None or (counts or {})[d] < 0]
+        if bad:
+            raise ValueError(f"'loaded' needs a row count >= 0; missing or negative for {bad[:5]}")
     data = [(source, d, (counts or {}).get(d), status) for d in days]
     df = spark.createDataFrame(data, "source string, load_date string, row_count long, status string")
     append_marks(spark, lake, df)

@@ -107,3 +107,16 @@ def test_day_folder_without_parquet_is_not_a_day(spark, mini_catalog, lake_dirs)
     assert rep["2026-05-01"]["confirmed"]
     assert rep["2026-05-02"]["fact"] is None and rep["2026-05-02"]["removed"]
     assert rep["2026-05-03"]["fact"] is None and rep["2026-05-03"]["removed"]
+
+
+def test_mark_validates_status_and_counts(spark, lake_dirs):
+    import pytest
+    lake, _ = lake_dirs
+    with pytest.raises(ValueError):
+        journal.mark(spark, lake, "hits", ["2026-05-01"], journal.LOADED)
+    with pytest.raises(ValueError):
+        journal.mark(spark, lake, "hits", ["2026-05-01"], journal.LOADED, {"2026-05-01": -1})
+    with pytest.raises(ValueError):
+        journal.mark(spark, lake, "hits", ["2026-05-01"], "done")
+    journal.mark(spark, lake, "hits", ["2026-05-01"], journal.LOADED, {"2026-05-01": 0})
+    assert [r["row_count"] for r in journal.current(spark, lake).collect()] == [0]
