@@ -63,12 +63,17 @@ def day_batches(per_day: dict[str, int], days: list[str], max_files: int) -> lis
 
 
 def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
-              days, *, run_id: str | None = None, max_files: int = BATCH_FILES_MAX) -> DataFrame:
+              days, *, run_id: str | None = None, max_files: int = BATCH_FILES_MAX,
+              rebalance: bool = False) -> DataFrame:
     """K4 for many days at once; returns the per-day report (one row per requested day).
 
     Days whose part files exceed ``max_files`` are loaded in several batches,
     each a complete load (days of an earlier batch stay committed if a later
     batch fails); the plan needs only a per-day file count.
+
+    ``rebalance=True`` shuffles rows by day before the write (AQE sizes the
+    files): one shuffle more, for sources whose exports come as many tiny parts.
+    By default the write is map-only and files follow the input splits.
     """
     days = sorted({str(d) for d in days})
     if not days:
@@ -86,7 +91,7 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
                        .where(day_in(days)).groupBy(DAY).count().collect()}
             batches = [(b, None) for b in day_batches(per_day, days, max_files)]
     reports = [_load_batch(spark, lake, landing, catalog, source, b, files=f,
-                           run_id=f"{run_id}-{i}" if run_id else None)
+                           run_id=f"{run_id}-{i}" if run_id else None, rebalance=rebalance)
                for i, (b, f) in enumerate(batches)]
     out = reports[0]
     for r in reports[1:]:
@@ -96,7 +101,7 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
 
 def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
                 days: list[str], *, files: list[str] | None = None,
-                run_id: str | None = None) -> DataFrame:
+                run_id: str | None = None, rebalance: bool = False) -> DataFrame:
     """One batch: loading marks -> checks -> staged write -> row check -> publish -> marks.
 
     Any error marks every day of the batch ``failed`` and is raised again (days
@@ -108,7 +113,7 @@ def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
     journal.mark(spark, lake, source, days, journal.LOADING)
     _pin_splits(spark)
     try:
-        return _run_batch(spark, lake, landing, catalog, source, days, files, run_dir)
+        return _run_batch(spark, lake, landing, catalog, source, days, files, run_dir, rebalance)
     except Exception:
         journal.mark(spark, lake, source, days, journal.FAILED)
         raise
@@ -143,7 +148,8 @@ def _unpin_splits(spark: SparkSession) -> None:
 
 
 def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
-               days: list[str], files: list[str] | None, run_dir: str) -> DataFrame:
+               days: list[str], files: list[str] | None, run_dir: str,
+               rebalance: bool = False) -> DataFrame:
     stage = f"{run_dir}/{source}"
 
     if not fs.exists(spark, source_dir(landing, source)):
@@ -235,7 +241,10 @@ def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
                     expr = (F.when(F.col("hid") == i, val) if expr is None
                             else expr.when(F.col("hid") == i, val))
             out.append((expr if expr is not None else F.lit(None)).cast("string").alias(f.storage_name))
-        write_staged(rows.select(*out, DAY), stage)
+        staged = rows.select(*out, DAY)
+        if rebalance:
+            staged = staged.hint("rebalance", DAY)
+        write_staged(staged, stage)
         write_empty_days(spark, catalog, source, stage,
                          [d for d in good if per_day[d]["expected"] == 0])
         expected = spark.createDataFrame([(d, per_day[d]["expected"]) for d in good],

@@ -212,3 +212,15 @@ def test_split_layout_is_pinned_during_a_load(spark, mini_catalog, lake_dirs, mo
     load_days(spark, lake, landing, mini_catalog, "hits", ["2026-05-20"])
     assert seen == [str(spark.sparkContext.defaultParallelism)]
     assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
+def test_rebalanced_load_gives_same_days(spark, mini_catalog, lake_dirs):
+    lake, landing = lake_dirs
+    for d in ("2026-05-20", "2026-05-21"):
+        for k in range(3):
+            write_part(landing, "hits", d, f"p{k}.tsv", f"{HH}\n{k}\t[]\t{d}\n{k + 10}\t[]\t{d}\n")
+    rep = load_days(spark, lake, landing, mini_catalog, "hits", ["2026-05-20", "2026-05-21"],
+                    rebalance=True).collect()
+    assert sorted((str(r["load_date"]), r["status"], r["actual"]) for r in rep) == [
+        ("2026-05-20", "loaded", 6), ("2026-05-21", "loaded", 6)]
+    assert typed_source(spark, lake, mini_catalog, "hits").count() == 12
