@@ -95,7 +95,8 @@ def export(df: DataFrame, path: str, fmt: str | None = None) -> int:
     counted = df.observe(obs, F.count(F.lit(1)).alias("n"))
     w = counted.write.mode("errorifexists")
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        # RFC-4180: a quote inside a quoted cell is doubled (Spark's default is a backslash).
+        w.option("header", True).option("escape", '"').csv(path)
     elif fmt == "parquet":
         w.parquet(path)
     elif fmt == "json":

@@ -117,3 +117,11 @@ def test_render_formats(spark):
     assert res.render(df.where("id < 0"), None, "markdown") == "_no rows_"
     with pytest.raises(ValueError):
         res.render(df, 1, "xml")
+
+
+def test_csv_export_is_rfc4180(spark, tmp_path):
+    import glob
+    df = spark.createDataFrame([(1, 'say "hi"', "a,b", None)], "id long, s string, t string, n string")
+    assert res.export(df.coalesce(1), str(tmp_path / "x.csv")) == 1
+    text = "".join(open(f).read() for f in glob.glob(str(tmp_path / "x.csv" / "part-*")))
+    assert text == 'id,s,t,n\n1,"say ""hi""","a,b",\n'
