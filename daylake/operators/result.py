@@ -14,7 +14,7 @@ import json
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.functions.encode import csv_header, csv_row, json_row, md_cell, md_row
+from daylake.functions.encode import csv_header, csv_row, json_ready, json_row, md_cell, md_row
 
 
 # Fixed values of the read channel.
@@ -91,6 +91,9 @@ def export(df: DataFrame, path: str, fmt: str | None = None) -> int:
         if ext not in EXPORT_FORMATS:
             raise ValueError(f"export target must end in one of {sorted(EXPORT_FORMATS)}: {path}")
         fmt = EXPORT_FORMATS[ext]
+    if fmt == "json":
+        # Same value rules as the inline JSON: NaN/Inf -> null, date/time -> ISO text.
+        df = df.select(*json_ready(df))
     obs = Observation("export")
     counted = df.observe(obs, F.count(F.lit(1)).alias("n"))
     w = counted.write.mode("errorifexists")

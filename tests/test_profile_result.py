@@ -125,3 +125,12 @@ def test_csv_export_is_rfc4180(spark, tmp_path):
     assert res.export(df.coalesce(1), str(tmp_path / "x.csv")) == 1
     text = "".join(open(f).read() for f in glob.glob(str(tmp_path / "x.csv" / "part-*")))
     assert text == 'id,s,t,n\n1,"say ""hi""","a,b",\n'
+
+
+def test_json_export_value_rules(spark, tmp_path):
+    import glob
+    df = spark.createDataFrame([(1, float("nan"), dt.datetime(2026, 5, 20, 12, 0))],
+                               "id long, f double, t timestamp_ntz")
+    assert res.export(df.coalesce(1), str(tmp_path / "x.json")) == 1
+    line = "".join(open(f).read() for f in glob.glob(str(tmp_path / "x.json" / "part-*"))).strip()
+    assert json.loads(line) == {"id": 1, "f": None, "t": "2026-05-20T12:00:00"}
