@@ -13,7 +13,9 @@ import json
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from daylake.functions.typing import array_text
 from daylake.functions.encode import csv_header, csv_row, json_ready, json_row, md_cell, md_row
 
 
@@ -94,6 +96,11 @@ def export(df: DataFrame, path: str, fmt: str | None = None) -> int:
     if fmt == "json":
         # Same value rules as the inline JSON: NaN/Inf -> null, date/time -> ISO text.
         df = df.select(*json_ready(df))
+    elif fmt == "csv":
+        # CSV has no list type: lists are written as the list text the typed layer reads.
+        df = df.select(*[array_text(F.col(f"`{f.name}`"), quote=isinstance(f.dataType.elementType, T.StringType))
+                         .alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f"`{f.name}`")
+                         for f in df.schema.fields])
     obs = Observation("export")
     counted = df.observe(obs, F.count(F.lit(1)).alias("n"))
     w = counted.write.mode("errorifexists")

@@ -134,3 +134,12 @@ def test_json_export_value_rules(spark, tmp_path):
     assert res.export(df.coalesce(1), str(tmp_path / "x.json")) == 1
     line = "".join(open(f).read() for f in glob.glob(str(tmp_path / "x.json" / "part-*"))).strip()
     assert json.loads(line) == {"id": 1, "f": None, "t": "2026-05-20T12:00:00"}
+
+
+def test_csv_export_writes_lists_as_list_text(spark, tmp_path):
+    import glob
+    df = spark.createDataFrame([(1, [1, 2], ["a,b", "it's"], None)],
+                               "id long, ids array<long>, names array<string>, e array<long>")
+    assert res.export(df.coalesce(1), str(tmp_path / "l.csv")) == 1
+    text = "".join(open(f).read() for f in glob.glob(str(tmp_path / "l.csv" / "part-*")))
+    assert text == 'id,ids,names,e\n1,"[1,2]","[\'a,b\',\'it\\\'s\']",\n'
