@@ -386,9 +386,7 @@ def q_export_counts(spark, sf):
     from daylake.session import new_work_dir
     out = new_work_dir(spark, "export")
     rows = []
-    for name, df in (("orders", base_views(spark, sf, ["orders"])["orders"].drop(
-                         "line_ids", "line_numbers", "quantities", "ship_times", "return_flags",
-                         "part_names", "part_labels")),
+    for name, df in (("orders", base_views(spark, sf, ["orders"])["orders"]),
                      ("region", table(spark, sf, "region"))):
         r = res.run_query(df, f"{out}/{name}.parquet")
         rows.append((name, r.mode, r.total_rows))
