@@ -38,6 +38,8 @@ def test_sql_statements(spark, mini_catalog, lake_dirs):
     assert summ["watch_id"]["count"] == 5 and summ["watch_id"]["max"] == "2"
     assert query(spark, "SUMMARIZE SELECT watch_id FROM hits WHERE date = DATE'2026-05-21'").first()["count"] == 2
     assert query(spark, "SELECT 1").first()[0] == 1
+    assert query(spark, "summarize (SELECT watch_id FROM hits WHERE watch_id > 0)").first()["count"] == 3
+    assert query(spark, "SUMMARIZE FROM hits SELECT watch_id").first()["count"] == 5
     assert spark.sql("WITH x AS (SELECT * FROM hits) SELECT count(*) FROM x").first()[0] == 5
     from daylake.operators.profile import list_objects
     names = [r[0] for r in list_objects(spark).collect()]
