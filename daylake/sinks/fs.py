@@ -67,6 +67,20 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p)]
 
 
+def read_text(spark: SparkSession, path: str, encoding: str = "utf-8") -> str:
+    """Read a small file on the driver (any file system the cluster knows)."""
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    if not fs.exists(p) or not fs.getFileStatus(p).isFile():
+        raise FileNotFoundError(path)
+    stream = fs.open(p)
+    try:
+        data = jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+    finally:
+        stream.close()
+    return bytes(data).decode(encoding)
+
+
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     """Write a small file (test faults, markers)."""
     fs, p = _fs(spark, path)

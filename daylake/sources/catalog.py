@@ -1,14 +1,16 @@
 """Schema catalog: one CSV is the single source of field lists, names, types and meanings.
 
 The catalog has five columns ``source, storage_name, native_field, type,
-description``.  It is read with Spark's CSV reader, checked with DataFrame
-rules (the first bad row raises with its line number) and then held on the
-driver: it is metadata (one row per field), bounded by the width of the
-sources, not by their data.
+description``.  It is metadata (one row per field, bounded by the width of
+the sources, not by their data): the driver reads it through the cluster
+file system, the rules run as DataFrame filters (the first bad row raises
+with its line number), and the checked fields are held on the driver.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 from dataclasses import dataclass, field
 from functools import reduce
 from pathlib import Path
@@ -18,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from daylake.sinks import fs
+
 CATALOG_COLUMNS = ("source", "storage_name", "native_field", "type", "description")
 
 # Origin (export reference) type -> working type of the typed layer.
@@ -52,7 +56,6 @@ WORKING_TO_SPARK: dict[str, T.DataType] = {
 
 SNAKE_CASE = r"^[a-z][a-z0-9_]*$"
 _EXTRA = "_extra_cells"
-_NO_NULL = "\u0001<no-null>\u0001"  # never equal to a cell: keeps '' as ''
 
 
 def working_type_for(origin: str) -> str:
@@ -159,23 +162,32 @@ class Catalog:
 
 
 def _read_catalog_frame(spark: SparkSession, path: str, native_column: str) -> DataFrame:
+    """A1: RFC-4180 CSV, header exactly the five columns, records in file order.
+
+    The catalog is metadata (one row per field): the driver reads it through
+    the cluster file system, so a catalog shipped inside the package or kept
+    on shared storage works the same, and the rules then run as DataFrame
+    filters.  ``line_no`` counts records (blank lines skipped), header = 1.
+    """
     header_cols = (CATALOG_COLUMNS[0], CATALOG_COLUMNS[1], native_column) + CATALOG_COLUMNS[3:]
-    first = (spark.read.option("header", False).option("multiLine", True)
-             .option("nullValue", _NO_NULL).csv(path).first())
-    if first is None:
+    try:
+        text = fs.read_text(spark, path)
+    except FileNotFoundError:
+        raise ValueError(f"catalog not found (missing file or broken link): {path}") from None
+    records = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
+    if not records:
         raise ValueError(f"catalog {path} is empty")
-    got = tuple(c for c in first if c is not None)
-    if got != header_cols:
-        raise ValueError(f"catalog header mismatch: expected {list(header_cols)}, got {list(got)}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in CATALOG_COLUMNS]
+    if tuple(records[0]) != header_cols:
+        raise ValueError(f"catalog header mismatch: expected {list(header_cols)}, got {records[0]}")
+    data = []
+    for i, r in enumerate(records[1:]):
+        cells = (r + [None] * 5)[:5]
+        extra = ",".join(r[5:]) if len(r) > 5 else None
+        data.append((i + 2, *cells, extra))
+    schema = T.StructType([T.StructField("line_no", T.IntegerType())]
+                          + [T.StructField(c, T.StringType()) for c in CATALOG_COLUMNS]
                           + [T.StructField(_EXTRA, T.StringType())])
-    df = (spark.read.schema(schema)
-          .options(header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE",
-                   nullValue=_NO_NULL)
-          .csv(path))
-    # One small file -> one split, so the id follows the file order of the records.
-    return (df.coalesce(1)
-            .withColumn("line_no", (F.monotonically_increasing_id() + 2).cast("int")))
+    return spark.createDataFrame(data, schema)
 
 
 def catalog_violations(df: DataFrame, *, allowed_sources=None, prefixes=None) -> DataFrame:
@@ -242,14 +254,10 @@ def load_catalog(spark: SparkSession, path: str | Path | None = None, *,
     """A1 + A2: read, check (fail loud on the first bad row) and return the catalog."""
     path = str(path or DEFAULT_CATALOG)
     df = _read_catalog_frame(spark, path, native_column)
-    df = df.withColumnRenamed(native_column, "native_field") if native_column != "native_field" else df
-    df = df.cache()
     bad = _first_violation(catalog_violations(df, allowed_sources=allowed_sources, prefixes=prefixes))
     if bad is not None:
-        df.unpersist()
         raise ValueError(f"catalog line {bad['line_no']}: {bad['rule']}: {bad['detail']}")
     rows = df.orderBy("line_no").select("line_no", *CATALOG_COLUMNS).collect()
-    df.unpersist()
     return _build(rows, allowed_sources, prefixes)
 
 
