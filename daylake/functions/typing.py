@@ -53,7 +53,7 @@ def list_elements(c: Column) -> Column:
     # The scan always yields one empty match at the end; it is a real element
     # only when the body ends in a comma (``[a,]`` -> ``a, ''``).
     tokens = F.when(body.endswith(","), tokens).otherwise(
-        F.slice(tokens, 1, F.size(tokens) - 1))
+        F.slice(tokens, 1, F.array_size(tokens) - 1))
 
     def element(tok: Column) -> Column:
         t = F.trim(tok)

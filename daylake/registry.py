@@ -71,7 +71,7 @@ def q_typed_arrays_num(spark, sf):
     return o.select(
         "o_orderkey",
         F.col("n_lines").cast("long").alias("n_lines"),
-        F.size("line_numbers").cast("long").alias("line_count"),
+        F.array_size("line_numbers").cast("long").alias("line_count"),
         array_sum(F.col("line_numbers"), F.lit(0).cast("long")).alias("line_sum"),
         F.round(array_sum(F.col("quantities"), F.lit(0.0)), 2).alias("qty_sum"),
         F.array_max("ship_times").alias("last_ship"),

@@ -77,7 +77,7 @@ def orders_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
         F.to_date("o_orderdate").alias("date"), "o_orderpriority",
         (F.col("o_orderpriority") == "1-URGENT").alias("is_urgent"),
-        F.coalesce(F.size("line_id"), F.lit(0)).cast("smallint").alias("n_lines"),
+        F.coalesce(F.array_size("line_id"), F.lit(0)).cast("smallint").alias("n_lines"),
         F.coalesce("line_id", empty.cast("array<decimal(38,0)>")).alias("line_ids"),
         F.coalesce("l_linenumber", empty.cast("array<int>")).alias("line_numbers"),
         F.coalesce("l_quantity", empty.cast("array<double>")).alias("quantities"),
