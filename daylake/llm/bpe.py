@@ -35,8 +35,9 @@ from pyspark.sql import types as T
 MAX_TOKENIZER_BYTES = 64 << 20
 # Texts are encoded in slices of about so many characters, which bounds a worker's memory.
 SLICE_CHARS = 1_500_000
-# Pieces remembered by a worker; then it starts anew.
-CACHE_PIECES = 250_000
+# Pieces a worker remembers in each of two generations: a full one becomes the old one, and
+# pieces met again move over, so frequent ones stay.
+CACHE_PIECES = 350_000
 FAR = np.int64(1) << 40
 
 # Unicode white space.
@@ -79,9 +80,16 @@ class ByteBpe:
             self.bytes_of[i] = token.encode()
         by_length = sorted(self.special, key=len, reverse=True)
         self.special_at = re.compile("(" + "|".join(map(re.escape, by_length)) + ")") if by_length else None
-        self.longest = [0] * 256
-        for token in self.ids:
-            self.longest[token[0]] = max(self.longest[token[0]], len(token))
+        # A trie over the tokens: (node, byte) -> node, and the token that ends at a node.
+        self.steps: dict[int, int] = {}
+        self.ends: list[int] = [-1]
+        for token, i in self.ids.items():
+            node = 0
+            for byte in token:
+                node = self.steps.setdefault(node << 8 | byte, len(self.ends))
+                if node == len(self.ends):
+                    self.ends.append(-1)
+            self.ends[node] = i
         if any((one := bytes([b])) not in self.ids for b in range(256)):
             raise ValueError(f"the vocabulary lacks byte {one!r}")
         self.byte_ids = [self.ids[bytes([b])] for b in range(256)]
@@ -89,7 +97,8 @@ class ByteBpe:
         self.rank = np.full(self.size, -1, np.int64)
         self.left = np.zeros(self.size, np.int64)
         self.right = np.zeros(self.size, np.int64)
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[tuple[int, int], int] = {}  # pair -> rank
+        self.made: list[int] = []  # rank -> token
         sound = np.ones(self.size, bool)
         for rank, merge in enumerate(model["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
@@ -99,14 +108,17 @@ class ByteBpe:
                 raise ValueError(f"the merge {a} {b} is listed twice")
             if self.rank[made] >= 0 or rank <= max(self.rank[pair[0]], self.rank[pair[1]]):
                 sound[made] = False  # made in two ways or out of order: words with it go to exact merging
-            self.merges[pair] = rank, made
+            self.merges[pair] = rank
+            self.made.append(made)
             self.rank[made], self.left[made], self.right[made] = rank, *pair
         keys = np.array([a * self.size + b for a, b in self.merges], np.int64)
-        ranks = np.array([r for r, _ in self.merges.values()], np.int64)
+        ranks = np.array([*self.merges.values()], np.int64)
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], ranks[order]
         self.usable = self._usable(sound)
+        self.packed = [i.to_bytes(4, "little") for i in range(self.size)]
         self.cache: dict[str, bytes] = {}
+        self.old_cache: dict[str, bytes] = {}
 
     def _pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if not len(self.pair_keys):
@@ -151,47 +163,63 @@ class ByteBpe:
         return usable
 
     def _propose(self, word: bytes) -> list[int]:
-        ids, longest, out, at, n = self.ids, self.longest, [], 0, len(word)
+        steps, ends, out, at, n = self.steps, self.ends, [], 0, len(word)
         while at < n:
-            end = min(n, at + longest[word[at]])
-            while (t := ids.get(word[at:end])) is None:
-                end -= 1
-            out.append(t)
-            at = end
+            node, here = 0, at
+            while here < n:
+                node = steps.get(node << 8 | word[here])
+                if node is None:
+                    break
+                here += 1
+                if ends[node] >= 0:
+                    token, at = ends[node], here
+            out.append(token)
         return out
 
     def merge_exactly(self, word: bytes) -> list[int]:
         """The word's tokens by merging in rank order, leftmost first."""
-        merges, parts = self.merges, [self.byte_ids[b] for b in word]
-        if len(parts) <= 24:
-            while len(parts) > 1:
-                best = min((merges.get(p, (FAR, 0))[0], i) for i, p in enumerate(zip(parts, parts[1:])))
-                if best[0] == FAR:
-                    break
-                i = best[1]
-                parts[i : i + 2] = [merges[parts[i], parts[i + 1]][1]]
-            return parts
+        parts = [self.byte_ids[b] for b in word]
+        return self._merge_short(parts) if len(parts) <= 48 else self._merge_long(parts)
+
+    def _merge_short(self, parts: list[int]) -> list[int]:
+        rank, none = self.merges.get, 1 << 40
+        ranks = [rank(p, none) for p in zip(parts, parts[1:])]
+        while ranks and (least := min(ranks)) < none:
+            i = ranks.index(least)
+            parts[i : i + 2] = [self.made[least]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank((parts[i], parts[i + 1]), none)
+        return parts
+
+    def _merge_long(self, parts: list[int]) -> list[int]:
+        """The same with a heap and links to the neighbours, n log n in the word's length."""
+        rank = self.merges.get
         after = [*range(1, len(parts)), -1]
         before = [*range(-1, len(parts) - 1)]
-        heap = [(m[0], i, p) for i, p in enumerate(zip(parts, parts[1:])) if (m := merges.get(p))]
+        heap = [(r, i) for i, p in enumerate(zip(parts, parts[1:])) if (r := rank(p)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            r, i = heapq.heappop(heap)
             j = after[i]
-            if parts[i] < 0 or j < 0 or (parts[i], parts[j]) != pair:
-                continue
-            parts[i], parts[j] = merges[pair][1], -1
+            if parts[i] < 0 or j < 0 or rank((parts[i], parts[j])) != r:
+                continue  # one of the two has gone into another token meanwhile
+            parts[i], parts[j] = self.made[r], -1
             after[i] = after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (m := merges.get((parts[a], parts[b]))):
-                    heapq.heappush(heap, (m[0], a, (parts[a], parts[b])))
+                if a >= 0 and b >= 0 and (r := rank((parts[a], parts[b]))) is not None:
+                    heapq.heappush(heap, (r, a))
         return [p for p in parts if p >= 0]
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """The tokens of every word: proposed, verified together, repaired where needed."""
         proposed = [self._propose(w) for w in words]
+        if not words:
+            return []
         flat = np.fromiter((t for p in proposed for t in p), np.int64)
         lengths = np.fromiter(map(len, proposed), np.int64, len(proposed))
         owner = np.repeat(np.arange(len(proposed)), lengths)
@@ -207,18 +235,24 @@ class ByteBpe:
         return proposed
 
     def _learn(self, pieces: list[str]) -> None:
-        """Put pieces (runs between white space) into the cache."""
+        """Put pieces (runs between white space) and the words they consist of into the cache."""
+        cache, old, packed = self.cache, self.old_cache, self.packed.__getitem__
+        cache.update((p, old[p]) for p in pieces if p in old)
+        pieces = [p for p in pieces if p not in cache]
         parts = [[p] if p.isascii() and p.lstrip(" ").isalpha() else PARTS.findall(p) for p in pieces]
-        words = list(dict.fromkeys(w for ws in parts for w in ws))
-        known = dict(zip(words, self.encode_words([w.encode() for w in words])))
+        words = [w for w in dict.fromkeys(w for ws in parts for w in ws) if w not in cache]
+        cache.update((w, old[w]) for w in words if w in old)
+        words = [w for w in words if w not in cache]
+        for word, ids in zip(words, self.encode_words([w.encode() for w in words])):
+            cache[word] = b"".join(map(packed, ids))
         for piece, ws in zip(pieces, parts):
-            ids = known[ws[0]] if len(ws) == 1 else [t for w in ws for t in known[w]]
-            self.cache[piece] = np.array(ids, "<u4").tobytes()
+            if len(ws) > 1:
+                cache[piece] = b"".join([cache[w] for w in ws])
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, packed as little-endian unsigned 32-bit integers."""
         if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
+            self.cache, self.old_cache = {}, self.cache
         plans: list[list] = []
         unseen: dict[str, None] = {}
         for text in texts:

@@ -189,7 +189,7 @@ def mixed_documents(
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source,
-         CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')) AS BIGINT) AS size,
+         CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size,
          substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 16) AS key
   FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

@@ -81,12 +81,12 @@ pref AS (
   SELECT i, shard, CAST('0x' || substr(md5('offset:' || shard), 1, 15) AS BIGINT) % {SLOTS} AS o,
          CAST('0x' || substr(md5('skip:' || shard), 1, 15) AS BIGINT) % {SLOTS - 1} + 1 AS s FROM names),
 perms AS (
-  SELECT list(list_transform(range({SLOTS}), j -> (o + j * s) % {SLOTS}) ORDER BY i) AS p FROM pref),
+  SELECT list(list_transform(range({SLOTS}), lambda j: (o + j * s) % {SLOTS}) ORDER BY i) AS p FROM pref),
 fill AS (
-  SELECT 0 AS turn, list_transform(range({SLOTS}), j -> -1) AS owner, CAST(NULL AS BIGINT) AS slot, CAST(NULL AS BIGINT) AS i
+  SELECT 0 AS turn, list_transform(range({SLOTS}), lambda j: -1) AS owner, CAST(NULL AS BIGINT) AS slot, CAST(NULL AS BIGINT) AS i
   UNION ALL
   SELECT turn + 1, owner[:pick] || [turn % {len(SHARDS)}] || owner[pick + 2:], pick, turn % {len(SHARDS)}
-  FROM (SELECT turn, owner, list_filter(p[turn % {len(SHARDS)} + 1], x -> owner[x + 1] = -1)[1] AS pick
+  FROM (SELECT turn, owner, list_filter(p[turn % {len(SHARDS)} + 1], lambda x: owner[x + 1] = -1)[1] AS pick
         FROM fill, perms WHERE turn < {SLOTS})),
 slots AS (SELECT slot, i FROM fill WHERE slot IS NOT NULL),
 placed AS (
