@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.llm import bpe, mixing, sharding
+from daylake.llm import bpe, mixing, quality_rules, secret_ledger, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,22 +24,44 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("row.doc_id", *counts, "base_failed", "kept")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.place(_table(spark, sf_dir, "documents").select("doc_id"))
     return placed.select("row.doc_id", "slot", "shard")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_ledger.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = tuple(r.kind for r in secret_ledger.BASE_RULES)
+    counts = [secret_ledger.count_of(F.col("spans"), k).alias(f"n_{k}") for k in base]
+    return found.select(
+        "row.doc_id",
+        *counts,
+        F.sha2(secret_ledger.joined(F.col("spans"), base), 256).alias("base_sha256"),
+        secret_ledger.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_quality_rules": op2_quality_rules,
     "op6_sharding": op6_sharding,
+    "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_quality_rules": quality_rules.ORACLE,
     "op6_sharding": sharding.ORACLE,
+    "op8_secrets": secret_ledger.ORACLE,
     "op9_mixing": mixing.ORACLE,
 }
