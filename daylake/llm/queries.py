@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.llm import bpe, mixing, quality_rules, secret_ledger, sharding
+from daylake.llm import bpe, license_scan, mixing, quality_rules, secret_ledger, sharding, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", *counts, "base_failed", "kept")
 
 
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.place(_table(spark, sf_dir, "documents").select("doc_id"))
     return placed.select("row.doc_id", "slot", "shard")
@@ -51,16 +56,25 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.transform("licenses", lambda x: F.concat_ws(":", x["license"], x["start"], x["end"]))
+    return found.select("doc_id", "license", "dice", F.array_join(spans, ",").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_rules": op2_quality_rules,
+    "op5_urls": op5_urls,
     "op6_sharding": op6_sharding,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": quality_rules.ORACLE,
+    "op5_urls": url_filter.ORACLE,
     "op6_sharding": sharding.ORACLE,
     "op8_secrets": secret_ledger.ORACLE,
     "op9_mixing": mixing.ORACLE,
