@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.llm import bpe, license_scan, mixing, quality_rules, secret_ledger, sharding, url_filter
+from daylake.llm import bpe, license_scan, mixing, ordinal_quality, quality_rules, secret_ledger, sharding, spotsigs, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", *counts, "base_failed", "kept")
 
 
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = spotsigs.compare_with_next(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return compared.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -40,6 +47,18 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("row.doc_id", "slot", "shard")
 
 
+def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grade = ordinal_quality.grade_of(F.col("quality"), F.col("toxic")).alias("grade")
+    return _table(spark, sf_dir, "labels").select("doc_id", grade)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ordinal_quality.train(docs, rated(spark, sf_dir))
+    scored = ordinal_quality.score(docs, model)
+    return scored.select("doc_id", "expected_grade", "p_top", "kept")
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_ledger.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = tuple(r.kind for r in secret_ledger.BASE_RULES)
@@ -65,8 +84,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_rules": op2_quality_rules,
+    "op3_spotsigs": op3_spotsigs,
     "op5_urls": op5_urls,
     "op6_sharding": op6_sharding,
+    "op7_quality": op7_quality,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
