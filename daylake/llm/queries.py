@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.llm import bpe, license_scan, mixing, ordinal_quality, quality_rules, secret_ledger, sharding, spotsigs, url_filter
+from daylake.llm import bpe, license_scan, mixing, ngram_join, ordinal_quality, quality_rules, secret_ledger, sharding, spotsigs, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_rules": op2_quality_rules,
     "op3_spotsigs": op3_spotsigs,
+    "op4_ngram_join": op4_ngram_join,
     "op5_urls": op5_urls,
     "op6_sharding": op6_sharding,
     "op7_quality": op7_quality,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": quality_rules.ORACLE,
+    "op4_ngram_join": ngram_join.ORACLE,
     "op5_urls": url_filter.ORACLE,
     "op6_sharding": sharding.ORACLE,
     "op8_secrets": secret_ledger.ORACLE,
