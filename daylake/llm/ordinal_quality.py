@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daylake.llm.common import as_row, field
+
 BUCKETS = 1 << 18
 MAX_RATED = 10_000
 SEED = 17
@@ -225,3 +227,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", min_tail: float
             yield pa.RecordBatch.from_arrays(arrays, [f.name for f in kept + added])
 
     return docs.mapInArrow(run, T.StructType(kept + added))
+
+
+def select(docs: DataFrame, model: Model, text_col: str = "text", min_tail: float = MIN_TAIL) -> DataFrame:
+    """The documents kept, with their own columns only."""
+    rows = as_row(docs).withColumn("text", field(text_col))
+    return score(rows, model, "text", min_tail).where("kept").select("row.*")
