@@ -299,7 +299,8 @@ def merge_lists(lists: list[list[int]], need: int) -> tuple[list[int], list[int]
             target = max(heap[0][0], least + 1)
         for _, i, at in popped:
             x = lists[i]
-            at = at + 1 if at + 1 < len(x) and x[at + 1] >= target else bisect_left(x, target, at)
+            if x[at] < target:
+                at = bisect_left(x, target, at + 1)
             if at < len(x):
                 heapq.heappush(heap, (x[at], i, at))
     return ids, counts
@@ -397,7 +398,8 @@ def _class_links(sets: DataFrame, percent: int) -> DataFrame:
         return links
     # Large regions: blocks of about BLOCK_SHINGLES; the pivots, then the queries of all that is not settled, go to every block.
     n_blocks = F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int")
-    blocks = large.withColumn("block", F.pmod(F.xxhash64("c"), n_blocks).cast("int"))
+    # A frame of its own: one side of the cogroups below.
+    blocks = large.toDF(*large.columns).withColumn("block", F.pmod(F.xxhash64("c"), n_blocks).cast("int"))
     salted = large.withColumn("salt", F.pmod(F.xxhash64("c", F.lit(1)), F.lit(PIVOTS)))
     best = salted.groupBy("region", "salt").agg(F.min(F.struct((F.col("rare") / F.col("n")).alias("r"), "c")).alias("p"))
     pivots = large.join(best.select(F.col("p.c").alias("c")), "c")

@@ -187,8 +187,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, top: int, l2: float = L2, st
 
 
 def grade_of(quality: Column, toxic: Column) -> Column:
-    """0: poor; 1: good but toxic; 2: good."""
-    return F.when(quality.isNull(), F.lit(None)).when(quality <= 0, 0).when(F.coalesce(toxic, F.lit(0)) > 0, 1).otherwise(2)
+    """0: toxic; 1: poor; 2: good.  Toxic is the lowest: each toxic word more speaks for it, with no grade to overshoot."""
+    return F.when(quality.isNull(), F.lit(None)).when(F.coalesce(toxic, F.lit(0)) > 0, 0).when(quality <= 0, 1).otherwise(2)
 
 
 def train(docs: DataFrame, rated: DataFrame, top: int = 2, id_col: str = "doc_id", text_col: str = "text", max_rated: int = MAX_RATED, **options) -> Model:

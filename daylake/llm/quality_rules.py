@@ -167,7 +167,7 @@ def distances(
         # Each common word's count, then what is left, as one array; the reference beside it.
         n = F.greatest(F.col("n_letter_words"), F.lit(1)).cast("double")
         counts = F.transform(F.array(*[F.lit(w) for w in ref]), lambda r: F.size(F.filter(F.col("common"), lambda x: x == r)))
-        p = F.concat(counts, F.array(F.col("n_letter_words") - F.aggregate(counts, F.lit(0), lambda a, x: a + x)))
+        p = F.concat(counts, F.array(F.greatest(F.col("n_letter_words"), F.lit(1)) - F.aggregate(counts, F.lit(0), lambda a, x: a + x)))
         q = F.array(*[F.lit(float(v)) for v in ref.values()], F.lit(1.0 - sum(ref.values())))
         terms = F.zip_with(p, q, lambda a, b: _half(a / n, b) + _half(b, a / n))
         return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
