@@ -21,7 +21,8 @@ from daylake.sources.catalog import Catalog
 # Fixed patterns of the text forms.
 DATE_GUARD = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 LIST_BODY = r"(?s)^\s*\[(.*)\]\s*$"
-LIST_TOKEN = r"""(?s)\s*('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^,]*)\s*(?:,|$)"""
+# Possessive repeats: the matcher walks a quoted element in a loop, so its length costs no stack.
+LIST_TOKEN = r"""(?s)\s*('[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^,]*)\s*(?:,|$)"""
 QUOTED = r"""(?s)^('.*'|".*")$"""
 ESCAPED_CHAR = r"(?s)\\(.)"
 

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 MAX_LIST = 500  # longest list one row may hold (the export contract's visit limit)
+SPLIT_ROWS = 1_000_000  # keys with more rows are numbered by several tasks
 
 
 def link_array_to_key(left: DataFrame, array_col: str, right: DataFrame, key: str,
@@ -27,26 +29,38 @@ def link_array_to_key(left: DataFrame, array_col: str, right: DataFrame, key: st
 
 
 def bounded_lists(df: DataFrame, keys: list[str], order: list[str], values: list[str],
-                  max_len: int = MAX_LIST, part_col: str = "list_part") -> DataFrame:
+                  max_len: int = MAX_LIST, part_col: str = "list_part",
+                  split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Per key, ordered lists of ``values`` (``<value>`` -> array column of the same name).
 
-    No list holds more than ``max_len`` elements and no task has to hold a
-    whole hot key: a key with ``n > max_len`` rows is spread over
-    ``ceil(n / max_len)`` hash buckets, rows are numbered inside each
-    (key, bucket) and cut into parts of at most ``max_len``.  A key at or
-    below the bound keeps exactly one part (``list_part = 0``), in order.
+    The grain is (key, ``list_part``) whatever the size: part ``p`` holds the rows at the
+    order positions ``p * max_len`` to ``(p + 1) * max_len - 1`` of its key, so the parts of a
+    key, taken in order, are its one list.  Equal rows take positions of their own.
+
+    Positions are row numbers inside ranges of the first order column.  A key with more than
+    ``split_rows`` rows is cut into 32 such ranges (quantiles of that key), each numbered by
+    its own task, and a range starts where the ranges before it end; other keys are one range.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    buckets = F.ceil(F.col("_n") / F.lit(max_len))
     fields = list(dict.fromkeys(order + values))
-    bucket = F.when(buckets > 1, F.pmod(F.xxhash64(*[F.col(c) for c in fields]), buckets)).otherwise(F.lit(0))
-    tagged = df.join(counts, keys).withColumn("_b", bucket.cast("long"))
-    w = Window.partitionBy(*keys, "_b").orderBy(*[F.col(c) for c in fields])
-    numbered = tagged.withColumn(
-        part_col, F.col("_b") * F.lit(1 << 20)
-        + F.floor((F.row_number().over(w) - 1) / F.lit(max_len)).cast("long"))
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows).select(*keys)
+    kind = df.schema[order[0]].dataType
+    if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        steps = [i / 32 for i in range(1, 32)]
+        cuts = df.join(hot, keys, "left_semi").groupBy(*keys).agg(F.percentile_approx(order[0], steps).alias("_cuts"))
+    else:
+        cuts = hot.select(*keys, F.array().cast(T.ArrayType(kind)).alias("_cuts"))
+    above = F.filter(F.col("_cuts"), lambda c: c < F.col(order[0]))
+    ranged = df.join(cuts, keys, "left").withColumn("_r", F.coalesce(F.array_size(above), F.lit(0))).drop("_cuts")
+    before = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (ranged.join(hot, keys, "left_semi").groupBy(*keys, "_r").agg(F.count(F.lit(1)).alias("_c"))
+              .select(*keys, "_r", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start")))
+    inside = Window.partitionBy(*keys, "_r").orderBy(*[F.col(c) for c in fields])
+    numbered = (ranged.withColumn("_i", F.row_number().over(inside) - 1)
+                .join(starts, [*keys, "_r"], "left")
+                .withColumn("_i", F.col("_i") + F.coalesce("_start", F.lit(0)))
+                .withColumn(part_col, F.floor(F.col("_i") / max_len).cast("int")))
     grouped = (numbered.groupBy(*keys, part_col)
-               .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in fields]))).alias("_items")))
+               .agg(F.array_sort(F.collect_list(F.struct("_i", *[F.col(c) for c in values]))).alias("_items")))
     return grouped.select(*keys, part_col, *[F.col("_items")[v].alias(v) for v in values])
 
 

@@ -83,6 +83,16 @@ def sample(df: DataFrame, n=None) -> DataFrame:
     return df.limit(sample_size(n))
 
 
+def csv_cell(c, kind: T.DataType):
+    """CSV has no list type: lists are written as the list text the typed layer reads.
+    Times are written as SQL text (``2024-01-05 10:00:00``), not in the ``T`` form."""
+    if isinstance(kind, T.ArrayType):
+        return array_text(c, quote=isinstance(kind.elementType, T.StringType))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return c.cast("string")
+    return c
+
+
 def export(df: DataFrame, path: str, fmt: str | None = None) -> int:
     """Write the result once and count it in the same pass.
 
@@ -97,16 +107,15 @@ def export(df: DataFrame, path: str, fmt: str | None = None) -> int:
         # Same value rules as the inline JSON: NaN/Inf -> null, date/time -> ISO text.
         df = df.select(*json_ready(df))
     elif fmt == "csv":
-        # CSV has no list type: lists are written as the list text the typed layer reads.
-        df = df.select(*[array_text(F.col(f"`{f.name}`"), quote=isinstance(f.dataType.elementType, T.StringType))
-                         .alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f"`{f.name}`")
-                         for f in df.schema.fields])
+        df = df.select(*[csv_cell(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
     obs = Observation("export")
     counted = df.observe(obs, F.count(F.lit(1)).alias("n"))
     w = counted.write.mode("errorifexists")
     if fmt == "csv":
         # RFC-4180: a quote inside a quoted cell is doubled (Spark's default is a backslash).
-        w.option("header", True).option("escape", '"').csv(path)
+        # Cells keep their white space; NULL is nothing, the empty string is "".
+        (w.option("header", True).option("escape", '"').option("emptyValue", '""').option("nullValue", "")
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     elif fmt == "parquet":
         w.parquet(path)
     elif fmt == "json":
@@ -122,19 +131,23 @@ class QueryResult:
     rows: DataFrame | None
     total_rows: int
     path: str | None
+    has_more: bool = False
+    next_offset: int | None = None
 
 
 def run_query(df: DataFrame, export_path: str, limit=None) -> QueryResult:
     """More than 500 rows -> file + status; up to 500 -> rows inline (paged by G1).
 
-    Only ``limit(501)`` is evaluated to decide; the export itself counts its rows.
+    The first 501 rows decide.  They are the inline answer when they are 500 or fewer, so
+    the query runs once for it; the export counts its rows as it writes them.
     """
-    over = df.limit(AUTO_EXPORT_THRESHOLD + 1).count() > AUTO_EXPORT_THRESHOLD
-    if over:
+    spark = df.sparkSession
+    head = df.limit(AUTO_EXPORT_THRESHOLD + 1).collect()
+    if len(head) > AUTO_EXPORT_THRESHOLD:
         n = export(df, export_path)
         return QueryResult("file", None, n, export_path)
-    pg = page(df, limit)
-    return QueryResult("inline", pg.rows, pg.total_rows, None)
+    pg = Page(spark.createDataFrame(head[: clamp_limit(limit)], df.schema), len(head), clamp_limit(limit), 0)
+    return QueryResult("inline", pg.rows, pg.total_rows, None, pg.has_more, pg.next_offset)
 
 
 def render(df: DataFrame, limit=None, fmt: str = "json") -> str:

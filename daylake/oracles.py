@@ -12,6 +12,9 @@ _LINE_ORDER = ("l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_exte
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
            "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 _DAY_COUNTS = "SELECT CAST(ts AS DATE) AS load_date, count(*) AS n FROM events GROUP BY 1"
+# Rows of the orders view: one per order and part of 500 lines.
+_ORDER_ROWS = ("SELECT CAST(sum(greatest(1, ceil(n / 500.0))) AS BIGINT) FROM (SELECT count(l_orderkey) AS n "
+               "FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey)")
 _FAULT_DAYS = "(DATE '2024-01-05', DATE '2024-01-06')"
 _RECON_BAD = "(DATE '2024-01-03', DATE '2024-01-04', DATE '2024-01-08', DATE '2024-01-09', DATE '2024-01-11')"
 _LINEITEM_TYPES = [
@@ -180,15 +183,16 @@ ORACLES = {
         "CAST(min(ts) AS VARCHAR) AS min_value, CAST(max(ts) AS VARCHAR) AS max_value FROM events "
         "UNION ALL SELECT 'lineitem', count(*), 'l_shipdate', CAST(min(l_shipdate) AS VARCHAR), "
         "CAST(max(l_shipdate) AS VARCHAR) FROM lineitem "
-        "UNION ALL SELECT 'orders', count(*), 'o_orderdate', CAST(min(o_orderdate) AS VARCHAR), "
+        f"UNION ALL SELECT 'orders', ({_ORDER_ROWS}), 'o_orderdate', CAST(min(o_orderdate) AS VARCHAR), "
         "CAST(max(o_orderdate) AS VARCHAR) FROM orders"),
     "schema_listing": _schema_listing(),
     "summarize_exact": _summarize_exact(),
     "page_meta": ("SELECT count(*) AS total_rows, CAST(100 AS INTEGER) AS page_limit, "
                   "count(*) > 100 AS has_more, CASE WHEN count(*) > 100 THEN CAST(100 AS INTEGER) END "
                   "AS next_offset FROM orders"),
+    "sample_n": "SELECT least(5, count(*)) AS n, least(5, count(*)) AS n_orders FROM orders",
     "page_rows": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 100",
-    "export_counts": ("SELECT 'orders' AS object, 'file' AS mode, count(*) AS \"rows\" FROM orders "
+    "export_counts": (f"SELECT 'orders' AS object, 'file' AS mode, ({_ORDER_ROWS}) AS \"rows\" "
                       "UNION ALL SELECT 'region', 'inline', count(*) FROM region"),
     "encode_json": ("SELECT c_custkey, CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, "
                     "'c_nationkey': c_nationkey, 'c_mktsegment': c_mktsegment}) AS VARCHAR) AS json "

@@ -90,9 +90,17 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
                        spark.read.format("binaryFile").load(source_dir(landing, source))
                        .where(day_in(days)).groupBy(DAY).count().collect()}
             batches = [(b, None) for b in day_batches(per_day, days, max_files)]
-    reports = [_load_batch(spark, lake, landing, catalog, source, b, files=f,
-                           run_id=f"{run_id}-{i}" if run_id else None, rebalance=rebalance)
-               for i, (b, f) in enumerate(batches)]
+    reports = []
+    for i, (b, f) in enumerate(batches):
+        try:
+            reports.append(_load_batch(spark, lake, landing, catalog, source, b, files=f,
+                                       run_id=f"{run_id}-{i}" if run_id else None, rebalance=rebalance))
+        except Exception as exc:
+            if len(batches) == 1:
+                raise
+            # The days are marked failed; the other batches are still tried.
+            reports.append(_report(spark, [(source, _dt.date.fromisoformat(d), 0, None, None, "failed",
+                                            f"{type(exc).__name__}: {exc}"[:500]) for d in b]))
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)
@@ -187,6 +195,9 @@ def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
         if r["n_headers"] > 1:
             res["error"] = "parts of the day have different headers"
             continue
+        if not r["text_ok"]:
+            res["error"] = "the text is not UTF-8"
+            continue
         if not r["width_ok"]:
             res["error"] = "a row is not as wide as its header"
             continue
@@ -302,7 +313,7 @@ def ingest_range(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
                                                hot_window_days=hot_window_days,
                                                anchor=anchor).collect()]
     all_days = [str(d1 + _dt.timedelta(days=i)) for i in range((d2 - d1).days + 1)]
-    report = load_days(spark, lake, landing, catalog, source, chosen).checkpoint()
+    report = load_days(spark, lake, landing, catalog, source, chosen)
     st = {str(r[DAY]): (r["status"], r["actual"]) for r in report.select(DAY, "status", "actual").collect()}
     loaded = [d for d in chosen if st[d][0] == "loaded"]
     # A registered view keeps its file listing: re-register after publishing.

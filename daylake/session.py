@@ -77,6 +77,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="daylake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

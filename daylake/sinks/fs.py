@@ -30,17 +30,6 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
-    """Move folder ``src`` to ``dst``, replacing ``dst`` (day-level publish)."""
-    fs, s = _fs(spark, src)
-    d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
-    if fs.exists(d):
-        fs.delete(d, True)
-    fs.mkdirs(d.getParent())
-    if not fs.rename(s, d):
-        raise IOError(f"could not move {src} to {dst}")
-
-
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = _fs(spark, src)
     d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)

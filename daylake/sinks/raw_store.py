@@ -8,6 +8,9 @@ days are never touched and a failed day keeps its former state.
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +21,8 @@ from daylake.sources.raw import DAY, raw_dir
 
 # Raw days are text only: zstd keeps them small at rest (reads are IO bound).
 RAW_COMPRESSION = "zstd"
+# Day folders moved side by side when a load is published.
+PUBLISH_THREADS = 16
 
 
 def storage_mapping(catalog: Catalog, source: str, header: list[str]) -> dict[str, int]:
@@ -91,7 +96,23 @@ def publish_days(spark: SparkSession, lake: str, source: str, stage: str, days:
         return
     existing = set(fs.list_children(spark, root))
     fs.mkdirs(spark, root)
-    for name in sorted(wanted):
-        if name in existing:
-            fs.delete(spark, f"{root}/{name}")
+    with ThreadPoolExecutor(max_workers=PUBLISH_THREADS) as pool:
+        # Every day is tried; the first failure is raised when all are done.
+        for done in [pool.submit(_publish_day, spark, stage, root, n, n in existing) for n in sorted(wanted)]:
+            done.result()
+
+
+def _publish_day(spark: SparkSession, stage: str, root: str, name: str, replaces: bool) -> None:
+    """Put a staged day in place.  The former day is set aside under a hidden name (which reads
+    skip) until the new one is there, and put back if that fails."""
+    if not replaces:
+        fs.rename(spark, f"{stage}/{name}", f"{root}/{name}")
+        return
+    aside = f"{root}/.former-{name}-{uuid.uuid4().hex[:8]}"
+    fs.rename(spark, f"{root}/{name}", aside)
+    try:
         fs.rename(spark, f"{stage}/{name}", f"{root}/{name}")
+    except Exception:
+        fs.rename(spark, aside, f"{root}/{name}")
+        raise
+    fs.delete(spark, aside)

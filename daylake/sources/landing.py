@@ -140,11 +140,12 @@ def part_stats(lines: DataFrame) -> DataFrame:
     first = F.min(F.when(F.col("blk") == 0, F.struct(F.col("rid"), F.col("line"))))
     return (lines.groupBy(DAY, "file")
             .agg(F.count(F.lit(1)).alias("n_lines"), first.alias("head"),
-                 F.min(tabs).alias("min_tabs"), F.max(tabs).alias("max_tabs"))
+                 F.min(tabs).alias("min_tabs"), F.max(tabs).alias("max_tabs"),
+                 F.bool_and(F.is_valid_utf8("line")).alias("text_ok"))
             .select(DAY, "file", "n_lines",
                     F.col("head.rid").alias("header_rid"), F.col("head.line").alias("header"),
                     F.greatest(F.lit(0), F.col("n_lines") - 1).alias("rows"),
-                    (F.col("min_tabs") == F.col("max_tabs")).alias("width_ok")))
+                    (F.col("min_tabs") == F.col("max_tabs")).alias("width_ok"), "text_ok"))
 
 
 def day_expectations(stats: DataFrame) -> DataFrame:
@@ -153,7 +154,7 @@ def day_expectations(stats: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_parts"), F.sum("rows").alias("expected"),
                  F.count_distinct("header").alias("n_headers"),
                  F.min(F.col("header")).alias("header"),
-                 F.bool_and("width_ok").alias("width_ok")))
+                 F.bool_and("width_ok").alias("width_ok"), F.bool_and("text_ok").alias("text_ok")))
 
 
 def write_raw_part(spark: SparkSession, landing_root: str, source: str, day: str,

@@ -11,6 +11,8 @@ shared root, so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +41,12 @@ def start_landing_stream(spark: SparkSession, lake: str, landing: str, catalog:
         # One row per landed day of this batch (bounded by the days that got files).
         days = [str(r[DAY]) for r in batch.select(DAY).distinct().collect()]
         if days:
-            load_days(spark, lake, landing, catalog, source, days, run_id=f"stream-{batch_id}")
+            run = f"stream-{source}-{batch_id}-{uuid.uuid4().hex[:8]}"
+            report = load_days(spark, lake, landing, catalog, source, days, run_id=run)
+            failed = report.where("status <> 'loaded'").select(F.col(DAY).cast("string"), "error").limit(5).collect()
+            if failed:
+                # The batch is not committed: the stream stops here and tries these days again when it is started again.
+                raise RuntimeError("; ".join(f"{source} {day}: {error}" for day, error in failed))
 
     writer = arrivals.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

@@ -59,7 +59,7 @@ def lineitem_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their lines as parallel arrays (bounded list parts per order)."""
+    """Orders with their lines as parallel arrays, one row per (order, ``list_part``)."""
     li = lineitem_frame(spark, sf_dir)
     part = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name",
@@ -74,7 +74,8 @@ def orders_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = F.array()
     return j.select(
         (_base_id() + F.col("o_orderkey")).cast("decimal(38,0)").alias("order_id"),
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+        "o_orderkey", F.coalesce("list_part", F.lit(0)).alias("list_part"),
+        "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
         F.to_date("o_orderdate").alias("date"), "o_orderpriority",
         (F.col("o_orderpriority") == "1-URGENT").alias("is_urgent"),
         F.coalesce(F.array_size("line_id"), F.lit(0)).cast("smallint").alias("n_lines"),

@@ -7,12 +7,19 @@ from daylake.operators.relations import bounded_lists, link_array_to_key, zipped
 def test_bounded_lists_split_hot_key(spark):
     rows = [(1, i, f"x{i}") for i in range(10)] + [(2, 0, "y")]
     df = spark.createDataFrame(rows, "k long, pos long, v string")
-    out = bounded_lists(df, ["k"], ["pos"], ["v"], max_len=3).collect()
-    hot = [r for r in out if r["k"] == 1]
-    assert len(hot) >= 4 and all(len(r["v"]) <= 3 for r in hot)
-    assert sorted(x for r in hot for x in r["v"]) == sorted(f"x{i}" for i in range(10))
-    cold = [r for r in out if r["k"] == 2]
-    assert len(cold) == 1 and cold[0]["list_part"] == 0 and cold[0]["v"] == ["y"]
+    for split_rows in (1_000_000, 4):
+        out = bounded_lists(df, ["k"], ["pos"], ["v"], max_len=3, split_rows=split_rows).collect()
+        got = sorted((r["k"], r["list_part"], r["v"]) for r in out)
+        assert got == [(1, 0, ["x0", "x1", "x2"]), (1, 1, ["x3", "x4", "x5"]), (1, 2, ["x6", "x7", "x8"]), (1, 3, ["x9"]), (2, 0, ["y"])]
+
+
+def test_bounded_lists_equal_rows_and_text_order(spark):
+    rows = [(1, 5, "same")] * 200 + [(1, i, f"v{i}") for i in range(1000)] + [(None, 1, "n")]
+    df = spark.createDataFrame(rows, "k long, pos long, v string")
+    want = [v for _, _, v in sorted((r for r in rows if r[0]), key=lambda r: (r[1], r[2]))]
+    for split_rows in (1_000_000, 100):
+        out = sorted((r["list_part"], r["v"]) for r in bounded_lists(df.where("k = 1"), ["k"], ["pos"], ["v"], split_rows=split_rows).collect())
+        assert [len(v) for _, v in out] == [500, 500, 200] and [x for _, v in out for x in v] == want
 
 
 def test_link_and_zip(spark):
@@ -29,10 +36,11 @@ def test_link_and_zip(spark):
 
 def test_driver_contract(spark):
     import __spark_entry__ as E
+    from daylake.registry import QUERIES
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    # Only these are checked on rows alone (catalog meanings, approximate stats, unordered sample).
-    assert set(q) - set(o) == {"view_semantics", "drift_report", "summarize", "sample_n"}
+    assert set(o) <= set(q) and set(QUERIES) <= set(q)
+    # Only these are checked on rows alone (catalog meanings, approximate stats).
+    assert set(QUERIES) - set(o) == {"view_semantics", "drift_report", "summarize"}
     df = E.entry(spark)
     assert df.columns == ["date", "n"]
     rows = df.collect()
