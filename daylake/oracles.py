@@ -1,11 +1,14 @@
 """DuckDB oracles: for each registered query, the same result straight from the tables.
 
-Queries without an entry (approximate statistics, catalog-dependent listings,
-unordered samples) are checked on rows only.
+Estimates and unordered samples are checked through what must hold for them.
 """
 
 from __future__ import annotations
 
+import csv
+import io
+from importlib.resources import files
+
 _BASE = "CAST('17298374650000000000' AS HUGEINT)"
 _LINE_ORDER = ("l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice, "
                "l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate")
@@ -83,6 +86,48 @@ def _summarize_exact() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+_CONTEXT = (
+    "SELECT 'events' AS object, count(*) AS row_count, 'ts' AS date_column, "
+    "CAST(min(ts) AS VARCHAR) AS min_value, CAST(max(ts) AS VARCHAR) AS max_value FROM events "
+    "UNION ALL SELECT 'lineitem', count(*), 'l_shipdate', CAST(min(l_shipdate) AS VARCHAR), "
+    "CAST(max(l_shipdate) AS VARCHAR) FROM lineitem "
+    f"UNION ALL SELECT 'orders', ({_ORDER_ROWS}), 'o_orderdate', CAST(min(o_orderdate) AS VARCHAR), "
+    "CAST(max(o_orderdate) AS VARCHAR) FROM orders")
+
+
+def _catalog() -> str:
+    """The packaged catalog's rows for the driver tables, as a values list."""
+    text = files("daylake").joinpath("catalogs/tables.csv").read_text("utf-8")
+    rows, at = [], {}
+    for r in csv.DictReader(io.StringIO(text)):
+        at[r["source"]] = at.get(r["source"], 0) + 1
+        cells = (r["source"], r["storage_name"], r["type"], r["description"] or "")
+        rows.append("(" + ", ".join("'" + c.replace("'", "''") + "'" for c in cells) + f", {at[r['source']]})")
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) t(source, name, type, description, position) WHERE source IN ('events', 'lineitem', 'orders')"
+
+
+def _view_semantics() -> str:
+    return ("SELECT source AS table_name, name AS column_name, CAST(position AS INTEGER) AS ordinal_position, type AS data_type, "
+            "nullif(trim(description), '') AS semantics, row_count, date_column, min_value, max_value "
+            f"FROM ({_catalog()}) JOIN ({_CONTEXT}) ON object = source")
+
+
+def _summarize() -> str:
+    columns = [("event_id", "BIGINT"), ("ts", "TIMESTAMP"), ("date", "DATE"), ("user_id", "BIGINT"),
+               ("event_type", "VARCHAR"), ("value", "DOUBLE"), ("props", "VARCHAR")]
+    parts = []
+    for name, kind in columns:
+        c = "CAST(ts AS DATE)" if name == "date" else name
+        numeric = kind in ("BIGINT", "DOUBLE")
+        parts.append(
+            f"SELECT '{name}' AS column_name, '{kind}' AS column_type, CAST(min({c}) AS VARCHAR) AS \"min\", "
+            f"CAST(max({c}) AS VARCHAR) AS \"max\", "
+            + (f"round(avg({c}), 4) AS avg, round(stddev({c}), 4) AS std, " if numeric else "CAST(NULL AS DOUBLE) AS avg, CAST(NULL AS DOUBLE) AS std, ")
+            + f"count(*) AS \"count\", round(100.0 * count(*) FILTER ({c} IS NULL) / count(*), 2)::DOUBLE AS null_percentage, "
+            "true AS distinct_ok, true AS quartiles_ok FROM events")
+    return " UNION ALL ".join(parts)
+
+
 ORACLES = {
     "daily_counts": "SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1 ORDER BY 1",
     "day_filter": ("SELECT event_type, count(*) AS n, round(sum(value), 2) AS total_value FROM events "
@@ -178,31 +223,53 @@ ORACLES = {
         "UNION ALL SELECT CAST(2 AS INTEGER), CAST(3 AS BIGINT), CAST(27 AS BIGINT), CAST(0 AS BIGINT), count(*) "
         "FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-28'"),
     "stream_daily_counts": "SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1",
-    "context_profile": (
-        "SELECT 'events' AS object, count(*) AS row_count, 'ts' AS date_column, "
-        "CAST(min(ts) AS VARCHAR) AS min_value, CAST(max(ts) AS VARCHAR) AS max_value FROM events "
-        "UNION ALL SELECT 'lineitem', count(*), 'l_shipdate', CAST(min(l_shipdate) AS VARCHAR), "
-        "CAST(max(l_shipdate) AS VARCHAR) FROM lineitem "
-        f"UNION ALL SELECT 'orders', ({_ORDER_ROWS}), 'o_orderdate', CAST(min(o_orderdate) AS VARCHAR), "
-        "CAST(max(o_orderdate) AS VARCHAR) FROM orders"),
+    "context_profile": _CONTEXT,
     "schema_listing": _schema_listing(),
     "summarize_exact": _summarize_exact(),
     "page_meta": ("SELECT count(*) AS total_rows, CAST(100 AS INTEGER) AS page_limit, "
                   "count(*) > 100 AS has_more, CASE WHEN count(*) > 100 THEN CAST(100 AS INTEGER) END "
                   "AS next_offset FROM orders"),
+    "view_semantics": _view_semantics(),
+    "drift_report": (f"SELECT source AS table_name, name AS column_name, 'column without description' AS issue "
+                     f"FROM ({_catalog()}) WHERE trim(description) = ''"),
+    "summarize": _summarize(),
+    "load_state_view": (
+        f"WITH c AS ({_DAY_COUNTS}), s AS (SELECT CASE WHEN load_date IN {_FAULT_DAYS} THEN 'failed' ELSE 'loaded' END AS status, n FROM c) "
+        "SELECT 'events' AS source, status, count(*) AS days, CASE WHEN status = 'loaded' THEN CAST(sum(n) AS BIGINT) END AS total_rows, "
+        "count(*) FILTER (status = 'loaded') AS timed FROM s GROUP BY status"),
+    "update_summary": (
+        "SELECT 'events' AS source, count(DISTINCT CAST(ts AS DATE)) AS loaded_days, CAST(0 AS BIGINT) AS failed_days, "
+        "count(*) AS total_rows, count(*) AS journal_rows, false AS stopped FROM events "
+        "UNION ALL SELECT 'lineitem', 0, 30, 0, NULL, false UNION ALL SELECT 'unknown', 0, 0, 0, NULL, true"),
+    "load_edge_days": (
+        f"WITH c AS ({_DAY_COUNTS}) SELECT load_date, "
+        "CASE WHEN load_date = DATE '2024-01-05' THEN 0 WHEN load_date = DATE '2024-01-06' THEN 1 ELSE n END AS expected, "
+        "CASE WHEN load_date = DATE '2024-01-05' THEN 0 WHEN load_date IN (DATE '2024-01-06', DATE '2024-01-07') THEN NULL ELSE n END AS actual, "
+        "CASE WHEN load_date IN (DATE '2024-01-06', DATE '2024-01-07') THEN 'failed' ELSE 'loaded' END AS status FROM c"),
+    "window_ranks": (
+        "SELECT event_id, row_number() OVER w AS n, lag(event_type) OVER w AS before, "
+        "round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS last_three "
+        "FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"),
+    "set_operations": " UNION ALL ".join(
+        f"SELECT '{op}' AS op, count(*) AS n FROM (SELECT user_id FROM events {op.upper()} SELECT o_custkey FROM orders)"
+        for op in ("union", "union all", "intersect", "except", "intersect all", "except all")),
+    "grouping_sets": " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, event_type, date, count(*) AS n FROM (SELECT *, CAST(ts AS DATE) AS date FROM events) GROUP BY {sets}"
+        for kind, sets in (("cube", "CUBE (event_type, date)"), ("rollup", "ROLLUP (event_type, date)"),
+                           ("sets", "GROUPING SETS ((event_type), (date), ())"))),
     "sample_n": "SELECT least(5, count(*)) AS n, least(5, count(*)) AS n_orders FROM orders",
     "page_rows": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 100",
     "export_counts": (f"SELECT 'orders' AS object, 'file' AS mode, ({_ORDER_ROWS}) AS \"rows\" "
                       "UNION ALL SELECT 'region', 'inline', count(*) FROM region"),
     "encode_json": ("SELECT c_custkey, CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, "
-                    "'c_nationkey': c_nationkey, 'c_mktsegment': c_mktsegment}) AS VARCHAR) AS json "
+                    "'c_nationkey': c_nationkey, 'c_acctbal': c_acctbal, 'c_mktsegment': c_mktsegment}) AS VARCHAR) AS json "
                     "FROM customer"),
     "encode_json_events": (
         f"SELECT event_id, CAST(to_json({{'event_id': event_id, 'ts': {_iso_ts('ts')}, "
         f"'date': strftime(CAST(ts AS DATE), '%Y-%m-%d'), 'event_type': event_type}}) AS VARCHAR) AS json "
         f"FROM events"),
     "encode_csv": (f"SELECT doc_id, concat_ws(',', CAST(doc_id AS VARCHAR), {_csv_q('lang')}, "
-                   f"{_csv_q('source')}, {_csv_q('text')}) AS csv FROM documents"),
-    "encode_md": (f"SELECT doc_id, '| ' || CAST(doc_id AS VARCHAR) || ' | ' || {_md('lang')} || ' | ' "
-                  f"|| {_md('text')} || ' |' AS md FROM documents"),
+                   f"{_csv_q('source')}, CAST(n_chars AS VARCHAR), {_csv_q('text')}) AS csv FROM documents"),
+    "encode_md": (f"SELECT doc_id, '| ' || CAST(doc_id AS VARCHAR) || ' | ' || {_md('lang')} || ' | ' || {_md('source')} || ' | ' "
+                  f"|| CAST(n_chars AS VARCHAR) || ' | ' || {_md('text')} || ' |' AS md FROM documents"),
 }

@@ -80,39 +80,37 @@ def history(spark: SparkSession, lake: str) -> DataFrame:
 
 def current(spark: SparkSession, lake: str) -> DataFrame:
     """K1: latest mark per (source, day); tombstoned days are absent."""
+    return _latest(history(spark, lake))
+
+
+def _latest(marks: DataFrame) -> DataFrame:
     last = F.max_by(F.struct("row_count", "loaded_at", "status", "seq"), F.col("seq"))
-    return (history(spark, lake).groupBy("source", DAY).agg(last.alias("m"))
+    return (marks.groupBy("source", DAY).agg(last.alias("m"))
             .select("source", DAY, "m.row_count", "m.loaded_at", "m.status", "m.seq")
             .where(F.col("status") != REMOVED))
 
 
-def compact(spark: SparkSession, lake: str, target: str) -> None:
-    """Write the current state as a new journal (one mark folder; bounded size for old lakes)."""
-    (current(spark, lake).drop("seq").coalesce(1).write.mode("errorifexists")
-     .parquet(f"{journal_dir(target)}/seq={next_seq()}"))
-
-
 def compact_in_place(spark: SparkSession, lake: str) -> int:
-    """Replace the journal by its current state; returns the number of folders removed.
+    """Replace the listed mark folders by one that holds their state; returns the number of folders removed.
 
-    The snapshot is written as the newest mark folder first, so ``current`` is
-    the same before, during and after; then the older folders are dropped
-    (tombstoned days have no row in the snapshot, and their old rows go with
-    the old folders).
+    Only the folders listed at the start are read, and the snapshot goes into the newest of them,
+    so it ranks as that mark does: a mark appended meanwhile has a higher ``seq`` and stays the
+    current one.  Then the older listed folders are dropped (a tombstoned day has no row in the
+    snapshot; its tombstone goes with its old rows, or stays in the newest folder).
     """
     root = journal_dir(lake)
-    old = [n for n in fs.list_children(spark, root) if n.startswith("seq=")]
+    old = sorted((n for n in fs.list_children(spark, root) if n.startswith("seq=")),
+                 key=lambda n: int(n.split("=", 1)[1]))
     if len(old) <= 1:
         return 0
-    snap = current(spark, lake).drop("seq").coalesce(1)
-    snap_seq = next_seq()
-    snap.write.mode("errorifexists").parquet(f"{root}/seq={snap_seq}")
-    removed = 0
-    for n in old:
-        if int(n.split("=", 1)[1]) < snap_seq:
-            fs.delete(spark, f"{root}/{n}")
-            removed += 1
-    return removed
+    listed = (spark.read.schema(JOURNAL_SCHEMA).option("basePath", root)
+              .parquet(*[f"{root}/{n}" for n in old]))
+    newest = int(old[-1].split("=", 1)[1])
+    snapshot = _latest(listed).where(F.col("seq") < newest).drop("seq")
+    snapshot.coalesce(1).write.mode("append").parquet(f"{root}/{old[-1]}")
+    for n in old[:-1]:
+        fs.delete(spark, f"{root}/{n}")
+    return len(old) - 1
 
 
 def maybe_compact(spark: SparkSession, lake: str, max_folders: int = 500) -> None:
@@ -146,16 +144,18 @@ def reconcile_frame(spark: SparkSession, lake: str, catalog: Catalog, sources,
                     .alias("removed"))
 
 
-def reconcile(spark: SparkSession, lake: str, catalog: Catalog, sources, d1=None, d2=None) -> DataFrame:
+def reconcile(spark: SparkSession, lake: str, catalog: Catalog, sources, d1=None, d2=None,
+              path: str | None = None) -> DataFrame:
     """K2: check every known day (or the days of a range), drop journal rows that
     disagree with the facts.  Returns the report, materialised before the
-    tombstones are appended; ``confirmed`` days are the loaded set.
+    tombstones are appended; ``confirmed`` days are the loaded set.  The report is a table
+    at ``path`` (default: a new folder of the lake's staging area); who names it may remove it after use.
     """
     maybe_compact(spark, lake)
     # Written as a small table (one row per day) to the lake's run folder: the
     # report must not change when the tombstones are appended, and no cached
     # plan over day files may outlive the next publish.
-    path = f"{lake.rstrip('/')}/staging/reconcile-{next_seq()}"
+    path = path or f"{lake.rstrip('/')}/staging/reconcile-{next_seq()}"
     reconcile_frame(spark, lake, catalog, sources, d1, d2).write.parquet(path)
     report = spark.read.parquet(path)
     stale = report.where("removed").select("source", DAY, F.lit(None).cast("long").alias("row_count"),

@@ -172,13 +172,13 @@ def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
     parts_path = f"{run_dir}/_parts/{source}"
     if files is None:
         files = part_files(spark, landing, source, days)
-    if not files:
-        journal.mark(spark, lake, source, days, journal.FAILED)
-        return _report(spark, [(source, _dt.date.fromisoformat(d), 0, None, None, "failed",
-                                "no landed parts") for d in days])
-    part_stats(scan_lines(spark, landing, source, files=files)).write.mode("overwrite").parquet(parts_path)
-    stats = spark.read.parquet(parts_path)
-    per_day = {str(r[DAY]): r for r in day_expectations(stats).collect()}
+    per_day = {}
+    if files:
+        part_stats(scan_lines(spark, landing, source, files=files)).write.mode("overwrite").parquet(parts_path)
+        stats = spark.read.parquet(parts_path)
+        per_day = {str(r[DAY]): r for r in day_expectations(stats).collect()}
+    # A landed day without a single line (all its parts are empty) is a day of 0 rows.
+    blank: list[str] = []
 
     result: dict[str, dict] = {}
     headers: list[str] = []
@@ -189,7 +189,13 @@ def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
         res = {"n_parts": 0, "expected": None, "actual": None, "status": "failed", "error": None}
         result[d] = res
         if r is None:
-            res["error"] = "no landed parts"
+            folder = f"{source_dir(landing, source)}/{DAY}={d}"
+            parts = [n for n in fs.list_children(spark, folder) if not n.startswith(("_", "."))]
+            if parts:
+                res["n_parts"], res["expected"] = len(parts), 0
+                blank.append(d)
+            else:
+                res["error"] = "no landed parts"
             continue
         res["n_parts"], res["expected"] = r["n_parts"], r["expected"]
         if r["n_headers"] > 1:
@@ -256,9 +262,11 @@ def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
         if rebalance:
             staged = staged.hint("rebalance", DAY)
         write_staged(staged, stage)
+
+    if good or blank:
         write_empty_days(spark, catalog, source, stage,
-                         [d for d in good if per_day[d]["expected"] == 0])
-        expected = spark.createDataFrame([(d, per_day[d]["expected"]) for d in good],
+                         blank + [d for d in good if per_day[d]["expected"] == 0])
+        expected = spark.createDataFrame([(d, result[d]["expected"]) for d in good + blank],
                                          "load_date string, expected long").withColumn(
             DAY, F.col(DAY).cast("date"))
         checked = check_frame(expected, staged_counts(spark, catalog, source, stage)).collect()
@@ -307,11 +315,13 @@ def ingest_range(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
     else:
         from daylake.functions.dates import business_yesterday
         anchor = business_yesterday()
-    rec = journal.reconcile(spark, lake, catalog, [source], d1, d2)
+    rec_path = f"{lake.rstrip('/')}/staging/reconcile-{source}-{uuid.uuid4().hex[:12]}"
+    rec = journal.reconcile(spark, lake, catalog, [source], d1, d2, path=rec_path)
     confirmed = rec.where("confirmed").select("source", DAY)
     chosen = [str(r[DAY]) for r in select_days(spark, source, confirmed, d1, d2,
                                                hot_window_days=hot_window_days,
                                                anchor=anchor).collect()]
+    fs.delete(spark, rec_path)
     all_days = [str(d1 + _dt.timedelta(days=i)) for i in range((d2 - d1).days + 1)]
     report = load_days(spark, lake, landing, catalog, source, chosen)
     st = {str(r[DAY]): (r["status"], r["actual"]) for r in report.select(DAY, "status", "actual").collect()}

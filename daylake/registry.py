@@ -18,14 +18,15 @@ from daylake.functions.encode import csv_row, json_row, md_row
 from daylake.functions.typing import typed_scalar
 from daylake.operators import profile as prof
 from daylake.operators import result as res
+from daylake.operators.reshape import pivot, unpivot
 from daylake.operators.relations import array_sum, link_array_to_key, zipped_rows
 from daylake.plans import journal
-from daylake.plans.load import ingest_range, load_days
+from daylake.plans.load import ingest_range, load_days, update_all
 from daylake.plans.select import select_days
 from daylake.sinks import fs
 from daylake.sources.landing import write_landing, write_raw_part
 from daylake.sources.raw import raw_dir, scan_raw
-from daylake.views import where_days
+from daylake.views import load_state, register_views, where_days
 from daylake.workloads import (base_lake, base_views, events_frame, land, load_all, memo, new_lake,
                                table)
 
@@ -160,18 +161,13 @@ def q_sql_from_first(spark, sf):
 
 def q_pivot_types(spark, sf):
     ev = base_views(spark, sf, ["events"])["events"]
-    types = sorted(r[0] for r in ev.select("event_type").distinct().collect())
-    p = ev.groupBy("date").pivot("event_type", types).agg(F.count(F.lit(1)))
-    return p.select("date", *[F.coalesce(F.col(t), F.lit(0)).alias(t) for t in types])
+    return pivot(ev, "event_type", F.count(F.lit(1)), ["date"], fill=0)
 
 
 def q_unpivot_counts(spark, sf):
     ev = base_views(spark, sf, ["events"])["events"]
-    types = sorted(r[0] for r in ev.select("event_type").distinct().collect())
-    ev.groupBy("date").pivot("event_type", types).agg(F.count(F.lit(1))).createOrReplaceTempView(
-        "events_by_type")
-    return spark.sql(f"SELECT date, event_type, n FROM events_by_type "
-                     f"UNPIVOT (n FOR event_type IN ({', '.join(types)}))")
+    wide = pivot(ev, "event_type", F.count(F.lit(1)), ["date"])
+    return unpivot(wide, wide.columns[1:], "event_type", "n")
 
 
 def q_props_json(spark, sf):
@@ -372,7 +368,96 @@ def q_summarize_exact(spark, sf):
 
 
 def q_summarize(spark, sf):
-    return prof.summarize(base_views(spark, sf, ["events"])["events"])
+    """SUMMARIZE of events: exact figures as they are, estimates as "within the stated error"
+    of the exact ones (distinct: 15 %; quartiles: by rank, one percent)."""
+    ev = base_views(spark, sf, ["events"])["events"]
+    told = prof.summarize(ev)
+    quartiles = {r.column_name: (r.q25, r.q50, r.q75) for r in told.where("q50 IS NOT NULL").collect()}
+    checks = []
+    for f in ev.schema.fields:
+        c = F.col(f"`{f.name}`")
+        marks = [F.abs(F.avg((c.cast("double") <= q).cast("double")) - share) <= 0.01
+                 for q, share in zip(quartiles.get(f.name, ()), (0.25, 0.5, 0.75))]
+        ok = F.lit(True)
+        for m in marks:
+            # Values that many rows share move a rank at one step: the quartile lies on such a value.
+            ok = ok & m
+        checks.append(F.struct(F.lit(f.name).alias("column_name"), F.count_distinct(c).alias("exact"),
+                               (ok if f.name in ("event_id", "value") else F.lit(True)).alias("quartiles_ok")))
+    exact = ev.agg(F.array(*checks).alias("c")).select(F.inline("c"))
+    near = F.abs(F.col("approx_unique") - F.col("exact")) <= F.col("exact") * 0.15
+    return told.join(exact, "column_name").select(
+        "column_name", "column_type", "min", "max", F.round("avg", 4).alias("avg"), F.round("std", 4).alias("std"),
+        "count", "null_percentage", near.alias("distinct_ok"), "quartiles_ok")
+
+
+def q_load_state_view(spark, sf):
+    """The journal read by SQL, beside the typed views: loaded days and rows per source."""
+    lake, _ = _faults_lake(spark, sf)
+    register_views(spark, lake.lake, lake.catalog, ["events"], prefix="faults_")
+    return spark.sql("SELECT source, status, count(*) AS days, sum(row_count) AS total_rows, "
+                     "count(loaded_at) AS timed FROM faults_load_state GROUP BY source, status")
+
+
+def q_update_summary(spark, sf):
+    """K6 + E10: three sources in one run; one has no landed day, one is not in the catalog."""
+    def build():
+        lake = new_lake(spark, sf, "update")
+        land(spark, lake, "events")
+        return update_all(spark, lake.lake, lake.landing, lake.catalog, ["events", "lineitem", "unknown"],
+                          "2024-01-01", "2024-01-30", hot_window_days=3, today=_dt.date(2024, 1, 31)), lake
+    summary, lake = memo(spark, ("update", sf), build)
+    state = load_state(spark, lake.lake).where("status = 'loaded'").groupBy("source").agg(
+        F.sum("row_count").alias("journal_rows"))
+    return summary.join(state, "source", "left").select(
+        "source", "loaded_days", "failed_days", "total_rows", "journal_rows",
+        F.col("error").isNotNull().alias("stopped"))
+
+
+def q_load_edge_days(spark, sf):
+    """A day of one empty file, one with bytes that are no UTF-8, one whose parts have different headers; the others load."""
+    def build():
+        lake = new_lake(spark, sf, "edge")
+        gone = ["2024-01-05", "2024-01-06"]
+        land(spark, lake, "events", events_frame(spark, sf).where(~F.col(DAY_COL).cast("string").isin(gone)))
+        header = "\t".join(f.native_field for f in lake.catalog.fields_for("events"))
+        folder = f"{lake.landing}/events/{DAY_COL}="
+        fs.write_bytes(spark, f"{folder}2024-01-05/part.tsv", b"")
+        width = header.count("\t")
+        fs.write_bytes(spark, f"{folder}2024-01-06/part.tsv", header.encode() + b"\n\xff\xfe" + b"\t" * width + b"\n")
+        write_raw_part(spark, lake.landing, "events", "2024-01-07", ["\t".join(reversed(header.split("\t")))])
+        return load_all(spark, lake, "events")
+    return memo(spark, ("edge", sf), build).select(DAY_COL, "expected", "actual", "status")
+
+
+def q_window_ranks(spark, sf):
+    """F: running totals and ranks over a typed view."""
+    ev = base_views(spark, sf, ["events"])["events"]
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return ev.select("event_id", F.row_number().over(w).cast("long").alias("n"),
+                     F.lag("event_type").over(w).alias("before"),
+                     F.round(F.sum("value").over(w.rowsBetween(-2, 0)), 4).alias("last_three"))
+
+
+def q_set_operations(spark, sf):
+    """H4: union, intersect and except over typed views, with multiplicities."""
+    base_views(spark, sf, ["events", "orders"])
+    return spark.sql("""
+        SELECT 'union' AS op, count(*) AS n FROM (SELECT user_id FROM events UNION SELECT o_custkey FROM orders)
+        UNION ALL SELECT 'union all', count(*) FROM (SELECT user_id FROM events UNION ALL SELECT o_custkey FROM orders WHERE list_part = 0)
+        UNION ALL SELECT 'intersect', count(*) FROM (SELECT user_id FROM events INTERSECT SELECT o_custkey FROM orders)
+        UNION ALL SELECT 'except', count(*) FROM (SELECT user_id FROM events EXCEPT SELECT o_custkey FROM orders)
+        UNION ALL SELECT 'intersect all', count(*) FROM (SELECT user_id FROM events INTERSECT ALL SELECT o_custkey FROM orders WHERE list_part = 0)
+        UNION ALL SELECT 'except all', count(*) FROM (SELECT user_id FROM events EXCEPT ALL SELECT o_custkey FROM orders WHERE list_part = 0)""")
+
+
+def q_grouping_sets(spark, sf):
+    """Grouping sets, rollup and cube over a typed view."""
+    base_views(spark, sf, ["events"])
+    return spark.sql("""
+        SELECT 'cube' AS kind, event_type, date, count(*) AS n FROM events GROUP BY CUBE (event_type, date)
+        UNION ALL SELECT 'rollup', event_type, date, count(*) FROM events GROUP BY ROLLUP (event_type, date)
+        UNION ALL SELECT 'sets', event_type, date, count(*) FROM events GROUP BY GROUPING SETS ((event_type), (date), ())""")
 
 
 def q_page_meta(spark, sf):
@@ -406,7 +491,7 @@ def q_export_counts(spark, sf):
 
 def q_encode_json(spark, sf):
     c = table(spark, sf, "customer")
-    return c.select("c_custkey", json_row(c.select("c_custkey", "c_name", "c_nationkey",
+    return c.select("c_custkey", json_row(c.select("c_custkey", "c_name", "c_nationkey", "c_acctbal",
                                                    "c_mktsegment")).alias("json"))
 
 
@@ -416,12 +501,12 @@ def q_encode_json_events(spark, sf):
 
 
 def q_encode_csv(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", "text")
     return d.select("doc_id", csv_row(d).alias("csv"))
 
 
 def q_encode_md(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", "text")
     return d.select("doc_id", md_row(d).alias("md"))
 
 
@@ -460,6 +545,12 @@ QUERIES = {
     "drift_report": q_drift_report,
     "summarize_exact": q_summarize_exact,
     "summarize": q_summarize,
+    "load_state_view": q_load_state_view,
+    "update_summary": q_update_summary,
+    "load_edge_days": q_load_edge_days,
+    "window_ranks": q_window_ranks,
+    "set_operations": q_set_operations,
+    "grouping_sets": q_grouping_sets,
     "page_meta": q_page_meta,
     "page_rows": q_page_rows,
     "sample_n": q_sample_n,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from daylake.functions.dates import register_today
 from daylake.functions.typing import typed_projection
+from daylake.plans import journal
 from daylake.sources.catalog import Catalog
 from daylake.sources.raw import DAY, scan_raw
 
@@ -25,6 +26,14 @@ def typed_source(spark: SparkSession, lake: str, catalog: Catalog, source: str,
     return typed_projection(raw, catalog, source, keep=(DAY,) if keep_day else ())
 
 
+LOAD_STATE = "load_state"
+
+
+def load_state(spark: SparkSession, lake: str) -> DataFrame:
+    """The journal as an object: the current mark of each source and day."""
+    return journal.current(spark, lake).select("source", DAY, "row_count", "loaded_at", "status")
+
+
 def register_views(spark: SparkSession, lake: str, catalog: Catalog, sources=None,
                    prefix: str = "", keep_day: bool = False) -> dict[str, DataFrame]:
     """Build every view first, then register them all (no half-registered layer)."""
@@ -32,6 +41,7 @@ def register_views(spark: SparkSession, lake: str, catalog: Catalog, sources=Non
               for s in (sources or catalog.sources())}
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
+    load_state(spark, lake).createOrReplaceTempView(f"{prefix}{LOAD_STATE}")
     register_today(spark)
     return frames
 

@@ -61,17 +61,22 @@ def test_day_fact_ignores_hidden_files(spark, mini_catalog, lake_dirs):
     assert [(str(r["load_date"]), r["fact"]) for r in facts] == [("2026-05-01", 1)]
 
 
-def test_compact_keeps_current_state(spark, lake_dirs, tmp_path):
+def test_mark_appended_while_compacting_stays_current(spark, lake_dirs, monkeypatch):
     lake, _ = lake_dirs
     journal.mark(spark, lake, "hits", ["2026-05-01", "2026-05-02"], journal.LOADING)
     journal.mark(spark, lake, "hits", ["2026-05-01"], journal.LOADED, {"2026-05-01": 3})
-    journal.mark(spark, lake, "hits", ["2026-05-02"], journal.FAILED)
-    target = str(tmp_path / "compacted")
-    journal.compact(spark, lake, target)
-    before = sorted((str(r["load_date"]), r["status"], r["row_count"]) for r in journal.current(spark, lake).collect())
-    after = sorted((str(r["load_date"]), r["status"], r["row_count"]) for r in journal.current(spark, target).collect())
-    assert before == after == [("2026-05-01", "loaded", 3), ("2026-05-02", "failed", None)]
-    assert journal.history(spark, target).count() == 2
+    listed = fs.list_children
+
+    def then_mark(s, path):
+        names = listed(s, path)
+        monkeypatch.undo()
+        journal.mark(s, lake, "hits", ["2026-05-01"], journal.LOADED, {"2026-05-01": 9})
+        return names
+
+    monkeypatch.setattr(journal.fs, "list_children", then_mark)
+    assert journal.compact_in_place(spark, lake) == 1
+    state = sorted((str(r["load_date"]), r["status"], r["row_count"]) for r in journal.current(spark, lake).collect())
+    assert state == [("2026-05-01", "loaded", 9), ("2026-05-02", "loading", None)]
 
 
 def test_compact_in_place(spark, lake_dirs):
@@ -82,11 +87,11 @@ def test_compact_in_place(spark, lake_dirs):
     journal.mark(spark, lake, "hits", ["2026-05-02"], journal.FAILED)
     journal.mark(spark, lake, "hits", ["2026-05-03"], journal.REMOVED)
     before = sorted((str(r["load_date"]), r["status"], r["row_count"]) for r in journal.current(spark, lake).collect())
-    assert journal.compact_in_place(spark, lake) == 4
+    assert journal.compact_in_place(spark, lake) == 3
     after = sorted((str(r["load_date"]), r["status"], r["row_count"]) for r in journal.current(spark, lake).collect())
     assert before == after == [("2026-05-01", "loaded", 3), ("2026-05-02", "failed", None)]
     assert len(fs.list_children(spark, journal.journal_dir(lake))) == 1
-    assert journal.history(spark, lake).count() == 2
+    assert journal.history(spark, lake).count() == 3  # the state and the newest mark, a tombstone
     journal.mark(spark, lake, "hits", ["2026-05-02"], journal.LOADED, {"2026-05-02": 1})
     assert {str(r["load_date"]): r["status"] for r in journal.current(spark, lake).collect()} == {
         "2026-05-01": "loaded", "2026-05-02": "loaded"}

@@ -111,3 +111,24 @@ def test_order_of_1200_lines(spark, tmp_path):
         quoted = ", ".join(f'"{c}"' for c in order)
         assert norm(df.select(*order).collect()) == norm(con.sql(f"SELECT {quoted} FROM ({ORACLES[name]})").fetchall()), name
         assert sorted(want.columns) == order
+
+
+def test_landed_day_of_empty_parts_is_an_empty_day(spark, mini_catalog, lake_dirs):
+    lake, landing = lake_dirs
+    write_part(landing, "visits", "2026-05-01", "a.tsv", "")
+    write_part(landing, "visits", "2026-05-01", "b.tsv", "\r\n\n")
+    got = _load(spark, lake_dirs, mini_catalog, ["2026-05-01", "2026-05-02"])
+    assert got == {"2026-05-01": ("loaded", 0), "2026-05-02": ("failed", None)}
+    assert scan_raw(spark, lake, mini_catalog, "visits").count() == 0
+
+
+def test_pivot_and_unpivot(spark):
+    from daylake.operators.reshape import pivot, unpivot
+
+    df = spark.createDataFrame([(1, "a", 2), (1, "b", 3), (2, "a", 4), (2, None, 9)], "k int, t string, v int")
+    wide = pivot(df, "t", F.sum("v"), ["k"]).orderBy("k")
+    assert [tuple(r) for r in wide.collect()] == [(1, 2, 3), (2, 4, None)]
+    assert sorted(map(tuple, unpivot(wide, ["a", "b"], "t", "v").collect())) == [(1, "a", 2), (1, "b", 3), (2, "a", 4)]
+    assert len(unpivot(wide, ["a", "b"], "t", "v", keep_null=True).collect()) == 4
+    with pytest.raises(ValueError, match="more than 1"):
+        pivot(df, "t", F.sum("v"), ["k"], max_values=1)
