@@ -363,8 +363,10 @@ def _links_of_block(queries: pd.DataFrame, block: pd.DataFrame, percent: int, sc
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def _class_links(sets: DataFrame, percent: int) -> DataFrame:
-    """``sets(c, n, tokens)``, one row a class -> ``a, b``: links that join the classes as all links would."""
+def links_of_sets(sets: DataFrame, percent: int) -> DataFrame:
+    """``sets(c, n, tokens)``, one row a class -> ``a, b``: links that join the classes as all links would.
+
+    ``n`` is the size of the whole set; ``tokens`` may leave out members that no other set has."""
     spark = sets.sparkSession
     postings = sets.select("c", "n", F.explode("tokens").alias("token"))
     lists = postings.groupBy("token").agg(F.count("*").alias("df"), F.min("c").alias("first")).where("df > 1")
@@ -435,7 +437,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     sets = _sets(again, shingle).join(chosen.select("k1", "k2"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     sets = sets.withColumn("c", F.col("k1"))
     sets = keep_table(spark, sets, "ngram-sets")
-    links = _class_links(sets.select("c", "n", "tokens"), percent)
+    links = links_of_sets(sets.select("c", "n", "tokens"), percent)
     found = components(spark, links, "ngram-links").select(F.col("node").alias("k1"), "component")
     named = classes.join(found, "k1").groupBy("component").agg(F.min("least").alias("component_id"))
     labels = found.join(named, "component").select("k1", "component_id")

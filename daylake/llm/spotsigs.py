@@ -31,6 +31,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daylake.llm import ngram_join
+from daylake.llm.common import keep_table
+from daylake.llm.components import components
+
 # Common words of the languages at hand.
 ANCHORS = frozenset(
     "the of and to a in is that it for was on with as be by are this at from"
@@ -157,3 +161,48 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     schema = f"`{id_col}` {kind}, n_chars bigint, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return pairs.mapInArrow(run, schema)
+
+
+def length_bounds(percent: int, most: int = 1 << 31) -> list[int]:
+    """First lengths of the ranges: a set links only to sets of its own range and the ones beside it."""
+    bounds = [1]
+    while bounds[-1] < most:
+        bounds.append(max(bounds[-1] + 1, -(-bounds[-1] * 100 // percent)))
+    return bounds
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """``<id_col>, n_spots, component_id`` of every document: the smallest id reachable through pairs whose
+    sets have a Jaccard coefficient of ``percent`` / 100 or more, its own included.
+
+    Sets are partitioned by length: cell j holds the ranges j and j + 1, so a set is in two cells and each
+    pair that can link meets in one.  Inside the cells the search prunes by the rarest signatures and by length.
+    Documents without words link to nothing.
+    """
+    spark = docs.sparkSession
+    kind = docs.select(id_col).schema[0].dataType.simpleString()
+    prints = fingerprints(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id", "text")
+    prints = keep_table(spark, prints.withColumn("c", F.xxhash64("fingerprint")), "spots-prints")
+    hexes = F.sequence(F.lit(1), F.length("fingerprint") - 7, F.lit(8))
+    tokens = F.transform(hexes, lambda i: F.conv(F.substring("fingerprint", i, F.lit(8)), 16, 10).cast("long"))
+    # Equal fingerprints are one set.
+    sets = prints.where("n_spots > 0").groupBy("c").agg(F.min("id").alias("least"), F.max("n_spots").cast("long").alias("n"), F.max("fingerprint").alias("fingerprint"))
+    sets = sets.select("c", "least", "n", tokens.alias("tokens"))
+    ranges = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in length_bounds(percent)]), lambda b: b <= F.col("n")))
+    cells = sets.withColumn("cell", F.explode(F.array(ranges - 1, ranges)))
+    cells = cells.select(
+        F.xxhash64("c", "cell").alias("in_cell"), F.col("c").alias("set"), "n", F.transform("tokens", lambda t: F.xxhash64(t, F.col("cell"))).alias("tokens")
+    )
+    cells = keep_table(spark, cells, "spots-cells")
+    links = ngram_join.links_of_sets(cells.select(F.col("in_cell").alias("c"), "n", "tokens"), percent)
+    names = cells.select("in_cell", "set")
+    links = links.join(names.toDF("a", "x"), "a").join(names.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    found = components(spark, links, "spots-links").select(F.col("node").alias("c"), "component")
+    named = sets.select("c", "least").join(found, "c").groupBy("component").agg(F.min("least").alias("component_id"))
+    labels = sets.select("c", "least").join(found.join(named, "component").select("c", "component_id"), "c", "left")
+    labels = labels.select("c", F.coalesce("component_id", "least").alias("component_id"))
+    return prints.join(labels, "c", "left").select(
+        F.col("id").cast(kind).alias(id_col),
+        "n_spots",
+        F.when(F.col("n_spots") > 0, F.col("component_id")).otherwise(F.col("id")).cast(kind).alias("component_id"),
+    )

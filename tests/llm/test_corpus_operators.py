@@ -141,6 +141,40 @@ def test_spotsigs_next_document(spark, monkeypatch):
     assert spotsigs.compare_with_next(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_spotsigs_near_duplicates_equal_brute_force(spark):
+    rnd = random.Random(12)
+    words = "the of and a in is cat dog sat mat red blue sky sea sun moon tree leaf bird fish".split()
+    texts = [None, "", "x", "X", "the of"]
+    for _ in range(10):
+        base = rnd.choices(words, k=rnd.randint(8, 90))
+        for _ in range(7):
+            copy = list(base)
+            for _ in range(rnd.choice([0, 0, 1, 2, 4])):
+                copy[rnd.randrange(len(copy))] = rnd.choice(words)
+            texts.append(" ".join(copy))
+    sets = [set(spotsigs.signatures(t).tolist()) for t in texts]
+    up = list(range(len(texts)))
+
+    def root(i):
+        return i if up[i] == i else root(up[i])
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_spots, r.component_id) for r in spotsigs.near_duplicates(df).collect()}
+    assert [got[i] for i in range(len(texts))] == [(len(s), root(i)) for i, s in enumerate(sets)]
+
+
+def test_length_bounds_keep_links_in_neighbouring_ranges():
+    bounds = spotsigs.length_bounds(80, 5000)
+    place = lambda n: sum(b <= n for b in bounds)
+    assert all(place(-(-n * 100 // 80) if n * 100 % 80 == 0 else n * 100 // 80) - place(n) <= 1 for n in range(1, 3000))
+
+
 def test_spot_signatures_by_hand():
     digest = spotsigs.xxhash.xxh32_intdigest
     got = set(spotsigs.signatures("The cat, a of DOG sat the end").tolist())
