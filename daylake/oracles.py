@@ -65,12 +65,15 @@ _COLUMNS = {
 }
 
 
-def _schema_listing() -> str:
-    counts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS non_null FROM {t}"
+def _column_counts() -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS non_null FROM {t}"
                                 for t, cols in _COLUMNS.items() for c in cols)
+
+
+def _schema_listing() -> str:
+    names = ", ".join(f"'{t}'" for t in _COLUMNS)
     return ("SELECT c.table_name, c.column_name, CAST(c.ordinal_position AS INTEGER) AS ordinal_position, "
-            f"c.data_type, n.non_null FROM information_schema.columns c JOIN ({counts}) n "
-            "ON n.table_name = c.table_name AND n.column_name = c.column_name")
+            f"c.data_type FROM information_schema.columns c WHERE c.table_name IN ({names})")
 
 
 def _summarize_exact() -> str:
@@ -225,6 +228,7 @@ ORACLES = {
     "stream_daily_counts": "SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1",
     "context_profile": _CONTEXT,
     "schema_listing": _schema_listing(),
+    "column_counts": _column_counts(),
     "summarize_exact": _summarize_exact(),
     "page_meta": ("SELECT count(*) AS total_rows, CAST(100 AS INTEGER) AS page_limit, "
                   "count(*) > 100 AS has_more, CASE WHEN count(*) > 100 THEN CAST(100 AS INTEGER) END "

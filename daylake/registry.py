@@ -310,17 +310,14 @@ def q_range_load_summary(spark, sf):
     def build():
         lake = new_lake(spark, sf, "range")
         land(spark, lake, "events")
-        rows = []
-        for run in (1, 2):
-            r = ingest_range(spark, lake.lake, lake.landing, lake.catalog, "events",
-                             "2024-01-01", "2024-01-30", hot_window_days=3,
-                             today=_dt.date(2024, 1, 31))
-            rows.append((run, len(r.loaded_days), len(r.skipped_days), len(r.failed_days),
-                         r.total_rows))
-        return rows
-    rows = memo(spark, ("range", sf), build)
-    return spark.createDataFrame(rows, "run int, loaded_days long, skipped_days long, "
-                                       "failed_days long, total_rows long")
+        return [ingest_range(spark, lake.lake, lake.landing, lake.catalog, "events", "2024-01-01", "2024-01-30",
+                             hot_window_days=3, today=_dt.date(2024, 1, 31)).report for _ in (1, 2)]
+    # Each run's report has a row per day it tried; the other days of the range were skipped.
+    first, second = (r.withColumn("run", F.lit(i + 1)) for i, r in enumerate(memo(spark, ("range", sf), build)))
+    loaded = F.col("status") == "loaded"
+    return first.unionByName(second).groupBy("run").agg(
+        F.count_if(loaded).alias("loaded_days"), (F.lit(30) - F.count(F.lit(1))).cast("long").alias("skipped_days"),
+        F.count_if(~loaded).alias("failed_days"), F.sum(F.when(loaded, F.col("actual"))).alias("total_rows"))
 
 
 def q_stream_daily_counts(spark, sf):
@@ -346,10 +343,13 @@ def q_context_profile(spark, sf):
 
 
 def q_schema_listing(spark, sf):
-    """L2 over every given table, with the non-NULL count of each column."""
-    frames = {t: table(spark, sf, t) for t in TABLES}
-    return prof.schema_listing(spark, frames).join(
-        prof.column_counts(frames), ["table_name", "column_name"], "left")
+    """L2 over every given table: from the schemas alone."""
+    return prof.schema_listing(spark, {t: table(spark, sf, t) for t in TABLES})
+
+
+def q_column_counts(spark, sf):
+    """Non-NULL values of each column of every given table."""
+    return prof.column_counts({t: table(spark, sf, t) for t in TABLES})
 
 
 def q_view_semantics(spark, sf):
@@ -541,6 +541,7 @@ QUERIES = {
     "stream_daily_counts": q_stream_daily_counts,
     "context_profile": q_context_profile,
     "schema_listing": q_schema_listing,
+    "column_counts": q_column_counts,
     "view_semantics": q_view_semantics,
     "drift_report": q_drift_report,
     "summarize_exact": q_summarize_exact,

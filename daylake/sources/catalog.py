@@ -13,6 +13,7 @@ import csv
 import io
 from dataclasses import dataclass, field
 from functools import reduce
+from importlib.resources import files
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -161,19 +162,23 @@ class Catalog:
                   "type string, description string")
 
 
-def _read_catalog_frame(spark: SparkSession, path: str, native_column: str) -> DataFrame:
+def _read_catalog_frame(spark: SparkSession, path: str | None, native_column: str) -> DataFrame:
     """A1: RFC-4180 CSV, header exactly the five columns, records in file order.
 
-    The catalog is metadata (one row per field): the driver reads it through
-    the cluster file system, so a catalog shipped inside the package or kept
-    on shared storage works the same, and the rules then run as DataFrame
+    The catalog is metadata (one row per field): the driver reads it, a given path through
+    the cluster file system and the packaged one as a resource, and the rules then run as DataFrame
     filters.  ``line_no`` counts records (blank lines skipped), header = 1.
     """
     header_cols = (CATALOG_COLUMNS[0], CATALOG_COLUMNS[1], native_column) + CATALOG_COLUMNS[3:]
-    try:
-        text = fs.read_text(spark, path)
-    except FileNotFoundError:
-        raise ValueError(f"catalog not found (missing file or broken link): {path}") from None
+    if path is None:
+        # The catalog shipped inside the package is no file of the cluster's file system.
+        path = "tables.csv (packaged)"
+        text = files("daylake").joinpath("catalogs/tables.csv").read_text("utf-8")
+    else:
+        try:
+            text = fs.read_text(spark, path)
+        except FileNotFoundError:
+            raise ValueError(f"catalog not found (missing file or broken link): {path}") from None
     records = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
     if not records:
         raise ValueError(f"catalog {path} is empty")
@@ -252,7 +257,7 @@ def load_catalog(spark: SparkSession, path: str | Path | None = None, *,
                  native_column: str = "native_field", allowed_sources=None,
                  prefixes: dict | None = None) -> Catalog:
     """A1 + A2: read, check (fail loud on the first bad row) and return the catalog."""
-    path = str(path or DEFAULT_CATALOG)
+    path = None if path is None else str(path)
     df = _read_catalog_frame(spark, path, native_column)
     bad = _first_violation(catalog_violations(df, allowed_sources=allowed_sources, prefixes=prefixes))
     if bad is not None:
@@ -271,6 +276,3 @@ def catalog_from_rows(spark: SparkSession, rows, *, allowed_sources=None,
     if bad is not None:
         raise ValueError(f"catalog line {bad['line_no']}: {bad['rule']}: {bad['detail']}")
     return _build([r.asDict() for r in df.orderBy("line_no").collect()], allowed_sources, prefixes)
-
-
-DEFAULT_CATALOG = str(Path(__file__).resolve().parents[1] / "catalogs" / "tables.csv")

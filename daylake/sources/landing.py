@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daylake.functions.typing import array_text
+from daylake.sinks import fs
 from daylake.sources.catalog import Catalog
 
 DAY = "load_date"
@@ -95,8 +96,15 @@ def part_files(spark: SparkSession, landing_root: str, source: str, days) -> lis
 def list_parts(spark: SparkSession, landing_root: str, source: str, days,
                limit: int | None = None) -> list[tuple[str, str]]:
     """``(path, day)`` of the part files of the given days (at most ``limit`` + 1)."""
-    listing = (spark.read.format("binaryFile").load(source_dir(landing_root, source))
-               .where(day_in(days)).select("path", F.col(DAY).cast("string")))
+    root = source_dir(landing_root, source)
+    day_in(days)  # checks the form of the days
+    # Only the requested day folders are listed, not the whole landing tree.
+    wanted = {f"{DAY}={d}" for d in days}
+    folders = sorted(wanted.intersection(fs.list_children(spark, root)))
+    if not folders:
+        return []
+    listing = (spark.read.format("binaryFile").option("basePath", root)
+               .load([f"{root}/{n}" for n in folders]).select("path", F.col(DAY).cast("string")))
     if limit is not None:
         listing = listing.limit(limit + 1)
     return [(r[0], r[1]) for r in listing.collect()]
