@@ -45,8 +45,11 @@ ANCHORS = frozenset(
 CHAIN = 2
 DISTANCE = 1
 WORD = re.compile(r"[^\W_]+")
-# Rows are put in order in this many ranges of ids.
-RANGES = 512
+# Documents are put in order in ranges of about so many, found from so many quantiles of their ids.
+QUANTILES = 512
+RANGE_ROWS = 20_000
+# The first documents of so many ranges are broadcast; more are joined by a shuffle.
+BROADCAST_HEADS = 5_000_000
 
 
 def signatures(text: str | None, anchors: frozenset[str] = ANCHORS, chain: int = CHAIN, distance: int = DISTANCE) -> np.ndarray:
@@ -104,24 +107,33 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, text, next_text``: each document with the next one by id (after the last: the first).
 
-    Ids are cut into ranges by quantiles; a range's first document goes to the range before, too, so ranges are
-    put in order alone and every text moves once.
+    Ids are cut into ranges of about ``RANGE_ROWS`` documents: first by quantiles, then into equal steps between
+    two quantiles.  Each range is put in order alone, with the first document of the next range at its end,
+    so every text moves once.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    cuts = rows.select(F.percentile_approx("id", [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("q")).first()["q"] or []
-    cuts = sorted(set(cuts))
-    # The number of cuts is bounded by RANGES; ids up to a cut belong to its range.
-    place = F.lit(0)
-    if cuts:
-        place = F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("id"))), F.lit(0))
-    ranged = rows.select(F.col("id"), F.xxhash64("text").alias("mark"), place.alias("range"))
-    first = F.min(F.struct(F.col("id").isNotNull().alias("given"), "id", "mark")).alias("f")
-    firsts = ranged.groupBy("range").agg(first).select("range", "f.id", "f.mark").orderBy("range").collect()
-    # The first document of each range goes to the end of the range before, too (that of the first range: of the last).
-    heads = [(firsts[i]["id"], firsts[i]["mark"], firsts[i - 1]["range"]) for i in range(len(firsts))]
-    kind = rows.schema["id"].dataType.simpleString()
-    heads = F.broadcast(docs.sparkSession.createDataFrame(heads, f"hid {kind}, hmark bigint, hrange int"))
+    steps = [i / QUANTILES for i in range(1, QUANTILES)]
+    told = rows.select("id").agg(F.count("*"), F.min("id"), F.max("id"), F.percentile_approx("id", steps, 10 * QUANTILES)).first()
+    n, low, high, cuts = told
+    place = F.lit(0).cast("long")
+    if low is not None:
+        cuts = sorted(set(cuts))
+        fine = -(-n // (QUANTILES * RANGE_ROWS))
+        quantile = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("id")))
+        edges = F.array(*[F.lit(c) for c in [low - 1, *cuts, high]])
+        below, upto = F.get(edges, quantile), F.get(edges, quantile + 1)
+        step = F.floor((F.col("id") - below - 1) * fine / F.greatest(upto - below, F.lit(1)))
+        place = F.when(F.col("id").isNull(), F.lit(0)).otherwise(quantile * fine + F.least(step, F.lit(fine - 1))).cast("long")
     tagged = rows.withColumns({"mark": F.xxhash64("text"), "range": place})
+    # The first document of each range also goes to the range before (that of the first range: to the last).
+    first = F.min(F.struct(F.col("id").isNotNull().alias("given"), "id", "mark")).alias("f")
+    heads = tagged.groupBy("range").agg(first).select("range", F.col("f.id").alias("hid"), F.col("f.mark").alias("hmark"))
+    order = Window.orderBy("range")
+    last = F.max("range").over(Window.partitionBy())
+    heads = heads.select("hid", "hmark", F.coalesce(F.lag("range").over(order), last).alias("hrange"))
+    heads = keep_table(docs.sparkSession, heads, "spots-heads")
+    if n <= BROADCAST_HEADS * RANGE_ROWS:
+        heads = F.broadcast(heads)
     tagged = tagged.join(heads, F.col("id").eqNullSafe(F.col("hid")) & (F.col("mark") == F.col("hmark")), "left")
     places = F.array(F.struct(F.col("range"), F.lit(False).alias("head")), F.struct(F.col("hrange").alias("range"), F.lit(True).alias("head")))
     put = tagged.select("id", "text", "mark", F.explode(F.filter(places, lambda x: x["range"].isNotNull())).alias("to"))
