@@ -43,22 +43,23 @@ def bounded_lists(df: DataFrame, keys: list[str], order: list[str], values: list
     """
     fields = list(dict.fromkeys(order + values))
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows).select(*keys)
+    ranged = df.withColumn("_r", F.lit(0))
+    split = not hot.isEmpty()
     kind = df.schema[order[0]].dataType
-    if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+    if split and isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         steps = [i / 32 for i in range(1, 32)]
         cuts = df.join(hot, keys, "left_semi").groupBy(*keys).agg(F.percentile_approx(order[0], steps).alias("_cuts"))
-    else:
-        cuts = hot.select(*keys, F.array().cast(T.ArrayType(kind)).alias("_cuts"))
-    above = F.filter(F.col("_cuts"), lambda c: c < F.col(order[0]))
-    ranged = df.join(cuts, keys, "left").withColumn("_r", F.coalesce(F.array_size(above), F.lit(0))).drop("_cuts")
-    before = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (ranged.join(hot, keys, "left_semi").groupBy(*keys, "_r").agg(F.count(F.lit(1)).alias("_c"))
-              .select(*keys, "_r", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start")))
+        above = F.filter(F.col("_cuts"), lambda c: c < F.col(order[0]))
+        ranged = df.join(cuts, keys, "left").withColumn("_r", F.coalesce(F.array_size(above), F.lit(0))).drop("_cuts")
     inside = Window.partitionBy(*keys, "_r").orderBy(*[F.col(c) for c in fields])
-    numbered = (ranged.withColumn("_i", F.row_number().over(inside) - 1)
-                .join(starts, [*keys, "_r"], "left")
-                .withColumn("_i", F.col("_i") + F.coalesce("_start", F.lit(0)))
-                .withColumn(part_col, F.floor(F.col("_i") / max_len).cast("int")))
+    numbered = ranged.withColumn("_i", (F.row_number().over(inside) - 1).cast("long"))
+    if split:
+        before = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+        starts = (ranged.join(hot, keys, "left_semi").groupBy(*keys, "_r").agg(F.count(F.lit(1)).alias("_c"))
+                  .select(*keys, "_r", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start")))
+        numbered = (numbered.join(starts, [*keys, "_r"], "left")
+                    .withColumn("_i", F.col("_i") + F.coalesce("_start", F.lit(0))))
+    numbered = numbered.withColumn(part_col, F.floor(F.col("_i") / max_len).cast("int"))
     grouped = (numbered.groupBy(*keys, part_col)
                .agg(F.array_sort(F.collect_list(F.struct("_i", *[F.col(c) for c in values]))).alias("_items")))
     return grouped.select(*keys, part_col, *[F.col("_items")[v].alias(v) for v in values])
