@@ -41,7 +41,7 @@ CACHE_PIECES = 350_000
 FAR = np.int64(1) << 40
 
 # Unicode white space.
-SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # A text falls into runs without white space (each with one space before it, if there is one)
 # and the rest of the white space; contractions, letters, digits and signs are told apart inside a run.
 RUNS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
