@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 DAY = "load_date"
 
 
-class RowCountMismatch(RuntimeError):
-    """Expected and written row counts of a day differ."""
-
-
 def check_frame(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Per day: expected, actual (0 when nothing was written) and ``ok``.
 
@@ -27,11 +23,3 @@ def check_frame(expected: DataFrame, actual: DataFrame) -> DataFrame:
     act = F.coalesce(F.col("actual"), F.lit(0)).cast("long")
     ok = (F.col("expected") >= 0) & (act >= 0) & (F.col("expected") == act)
     return j.withColumn("actual", act).withColumn("ok", ok)
-
-
-def verify_row_count(expected: int, actual: int, *, source: str, day: str) -> None:
-    """Scalar form: negative counts are bad input, a mismatch raises."""
-    if expected < 0 or actual < 0:
-        raise ValueError(f"negative row count: expected={expected} actual={actual} ({source} {day})")
-    if expected != actual:
-        raise RowCountMismatch(f"{source} {day}: source has {expected} rows, written {actual}")

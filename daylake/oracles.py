@@ -265,6 +265,9 @@ ORACLES = {
     "page_rows": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 100",
     "export_counts": (f"SELECT 'orders' AS object, 'file' AS mode, ({_ORDER_ROWS}) AS \"rows\" "
                       "UNION ALL SELECT 'region', 'inline', count(*) FROM region"),
+    "export_roundtrip": " UNION ALL ".join(
+        f"SELECT '{t}' AS object, '{fmt}' AS format, count(*) AS \"rows\", true AS same FROM {t}"
+        for t in ("documents", "customer", "events") for fmt in ("csv", "json", "parquet")),
     "encode_json": ("SELECT c_custkey, CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, "
                     "'c_nationkey': c_nationkey, 'c_acctbal': c_acctbal, 'c_mktsegment': c_mktsegment}) AS VARCHAR) AS json "
                     "FROM customer"),

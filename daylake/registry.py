@@ -489,6 +489,31 @@ def q_export_counts(spark, sf):
     return spark.createDataFrame(rows, "object string, mode string, rows long")
 
 
+def q_export_roundtrip(spark, sf):
+    """Whole tables written in each format and read back; ``same``: every cell is as it was."""
+    from daylake.session import new_work_dir
+    out = new_work_dir(spark, "roundtrip")
+    objects = {"documents": table(spark, sf, "documents"), "customer": table(spark, sf, "customer"),
+               "events": base_views(spark, sf, ["events"])["events"]}
+    rows = None
+    for name, df in objects.items():
+        cells = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in df.columns]).cast("decimal(38,0)")
+        total = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(cells), F.lit(0)).alias("cells")]
+        before = df.agg(*total)
+        for fmt in ("csv", "json", "parquet"):
+            res.export(df, f"{out}/{name}.{fmt}")
+            text = ", ".join(f"`{c}` string" for c in df.columns)
+            reader = spark.read if fmt == "parquet" else spark.read.schema(text)
+            reader = reader.options(header=True, multiLine=True, escape='"') if fmt == "csv" else reader
+            back = getattr(reader, fmt)(f"{out}/{name}.{fmt}")
+            back = back.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in df.schema.fields])
+            told = before.unionByName(back.agg(*total)).agg(
+                F.max("rows").alias("rows"), (F.count_distinct("rows", "cells") == 1).alias("same"))
+            told = told.select(F.lit(name).alias("object"), F.lit(fmt).alias("format"), "rows", "same")
+            rows = told if rows is None else rows.unionByName(told)
+    return rows
+
+
 def q_encode_json(spark, sf):
     c = table(spark, sf, "customer")
     return c.select("c_custkey", json_row(c.select("c_custkey", "c_name", "c_nationkey", "c_acctbal",
@@ -556,6 +581,7 @@ QUERIES = {
     "page_rows": q_page_rows,
     "sample_n": q_sample_n,
     "export_counts": q_export_counts,
+    "export_roundtrip": q_export_roundtrip,
     "encode_json": q_encode_json,
     "encode_json_events": q_encode_json_events,
     "encode_csv": q_encode_csv,
