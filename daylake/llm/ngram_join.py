@@ -49,11 +49,13 @@ PERCENT = 85
 # Ids known to be this few are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 # Shingles that a map task settles among themselves.
-CHUNK_SHINGLES = 1_500_000
+CHUNK_SHINGLES = 1_000_000
 # A region of more shingles is split into blocks of about so many.
 BLOCK_SHINGLES = 4_000_000
 # Central classes of a region that are compared with all of it.
 PIVOTS = 16
+# Entries of short lists that are merged by a heap; more are counted by one pass over an array.
+HEAP_ENTRIES = 2_000
 # DivideSkip: a query sets T / (SHARE * log2(longest list) + 1) lists aside as long.
 SHARE = 0.0085
 
@@ -77,7 +79,7 @@ def slack(n):
 class Shingler:
     """Text -> sorted distinct 64-bit hashes of its shingles.  Remembers words' hashes, up to a bound."""
 
-    def __init__(self, size: int, words: int = 400_000):
+    def __init__(self, size: int, words: int = 200_000):
         self.size, self.bound, self.known = size, words, {}
         self.steps = [np.uint64((STEP * (2 * i + 1)) & 0xFFFFFFFFFFFFFFFF) for i in range(size)]
 
@@ -259,18 +261,24 @@ class Index:
         aside = min(need - 1, int(need / (SHARE * np.log2(max(longest, 2)) + 1)))
         lists = [self.owners[self.ends[i] : self.ends[i + 1]] for i in hit]
         short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
-        found, counts = merge_lists([x.tolist() for x in short], need - aside)
-        if not found:
-            return np.empty(0, np.int64)
-        sets, shared = np.array(found), np.array(counts)
+        if sum(map(len, short)) <= HEAP_ENTRIES:
+            found, counts = merge_lists([x.tolist() for x in short], need - aside)
+            sets, shared = np.array(found, np.int64), np.array(counts, np.int64)
+        else:  # the same merge for many entries: count each set's entries at once
+            counts = np.bincount(np.concatenate(short), minlength=len(self.tokens))
+            sets = np.flatnonzero(counts >= need - aside)
+            shared = counts[sets]
         # The coefficient bounds the sizes of linked sets.
         fits = (100 * self.sizes[sets] >= self.percent * size) & (100 * size >= self.percent * self.sizes[sets])
         sets, shared = sets[fits], shared[fits]
-        for left, x in zip(range(len(long), 0, -1), long):
-            open_ = shared + left >= need
+        for done, x in enumerate(long):
+            open_ = shared + len(long) - done >= need
             sets, shared = sets[open_], shared[open_]
             if not len(sets):
                 break
+            if len(sets) * 16 > len(self.tokens):  # so many sets left that reading the lists is cheaper than probing them
+                shared = shared + np.bincount(np.concatenate(long[done:]), minlength=len(self.tokens))[sets]
+                break
             i = np.minimum(np.searchsorted(x, sets), len(x) - 1)
             shared = shared + (x[i] == sets)
         return sets[self.linked(shared, size, sets)]
@@ -337,15 +345,16 @@ def _links_of_region(group: pd.DataFrame, percent: int) -> pd.DataFrame:
             if forest.join(i, j):
                 links.append((ids[i], ids[j]))
 
+    order = np.argsort(group["rare"].to_numpy() / np.maximum(sizes, 1), kind="stable").tolist()
     if len(ids) > 2 * PIVOTS:
-        central = np.argsort(group["rare"].to_numpy() / np.maximum(sizes, 1), kind="stable")
-        for i in central[:PIVOTS].tolist():
+        for i in order[:PIVOTS]:
             take(i, index.scan(tokens[i], int(sizes[i])))
-    roots = np.array([forest.root(i) for i in range(len(ids))])
-    largest = np.bincount(roots).argmax()
-    # Any link not yet known has an end outside the largest part.
-    for i in np.flatnonzero(roots != largest).tolist() if len(ids) > 2 else [0]:
-        take(i, index.search(tokens[i], int(sizes[i])))
+    home = int(np.bincount([forest.root(i) for i in range(len(ids))]).argmax())
+    # Any link not yet known has an end outside home.  A set that comes home meanwhile needs no query: its links to sets
+    # that stay outside are found by theirs.
+    for i in order:
+        if forest.root(i) != forest.root(home):
+            take(i, index.search(tokens[i], int(sizes[i])))
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 

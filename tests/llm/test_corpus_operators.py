@@ -57,6 +57,7 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch, seed, shingle, percen
         monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", block)
         monkeypatch.setattr(ngram_join, "CHUNK_SHINGLES", 500)
         monkeypatch.setattr(ngram_join, "PIVOTS", 3)
+        monkeypatch.setattr(ngram_join, "HEAP_ENTRIES", 20)
     texts = near_corpus(seed)
     df = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, component_id int").repartition(3)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link(df, shingle=shingle, percent=percent).collect()}
@@ -120,7 +121,8 @@ def test_components_of_chains_and_stars(spark):
 
 
 def test_spotsigs_next_document(spark, monkeypatch):
-    monkeypatch.setattr(spotsigs, "RANGES", 7)
+    monkeypatch.setattr(spotsigs, "QUANTILES", 4)
+    monkeypatch.setattr(spotsigs, "RANGE_ROWS", 3)
     rnd = random.Random(2)
     texts = [None, "", "the a of", "x", "x"] + [" ".join(rnd.choices("the of cat dog sat mat in red blue ÄÖ 🎉".split(), k=rnd.randint(1, 50))) for _ in range(60)]
     rows = [(3 * i + 1 if i else None, t, "own") for i, t in enumerate(texts)]
