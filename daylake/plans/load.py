@@ -343,11 +343,16 @@ def update_all(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
     sources do not leave a large cluster idle.
     """
     def one(s):
+        start = journal.next_seq()
         try:
             r = ingest_range(spark, lake, landing, catalog, s, date1, date2, **kw)
             return (s, len(r.loaded_days), len(r.skipped_days), len(r.failed_days), r.total_rows, None)
         except Exception as exc:  # noqa: BLE001 - one source must not stop the others
-            return (s, 0, 0, 0, 0, f"{type(exc).__name__}: {exc}")
+            # What had been published before the error is loaded: the journal tells.
+            done = journal.current(spark, lake).where(
+                (F.col("source") == s) & (F.col("status") == journal.LOADED) & (F.col("seq") > start)
+            ).agg(F.count(F.lit(1)), F.sum("row_count")).first()
+            return (s, done[0], 0, 0, done[1] or 0, f"{type(exc).__name__}: {exc}")
 
     sources = list(sources)
     if parallel_sources > 1:

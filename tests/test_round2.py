@@ -132,3 +132,18 @@ def test_pivot_and_unpivot(spark):
     assert len(unpivot(wide, ["a", "b"], "t", "v", keep_null=True).collect()) == 4
     with pytest.raises(ValueError, match="more than 1"):
         pivot(df, "t", F.sum("v"), ["k"], max_values=1)
+
+
+def test_summary_after_a_late_error_tells_what_is_loaded(spark, mini_catalog, lake_dirs, monkeypatch):
+    import daylake.views
+    from daylake.plans.load import update_all
+
+    lake, landing = lake_dirs
+    write_part(landing, "visits", "2026-05-01", "a.tsv", HEAD + ROW.format(1) + ROW.format(2))
+
+    def broken(*a, **k):
+        raise RuntimeError("late")
+
+    monkeypatch.setattr(daylake.views, "register_views", broken)
+    rows = update_all(spark, lake, landing, mini_catalog, ["visits", "nosuch"], "2026-05-01", "2026-05-01", today=dt.date(2026, 5, 3)).collect()
+    assert [(r.source, r.loaded_days, r.total_rows, r.error is None) for r in rows] == [("visits", 1, 2, False), ("nosuch", 0, 0, False)]
