@@ -20,7 +20,7 @@ import threading
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daylake.functions.dates import clamp_range
@@ -244,10 +244,16 @@ def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
         n_files = sum(per_day[d]["n_parts"] for d in good)
         if n_files <= BROADCAST_FILES_MAX:
             part_table = F.broadcast(part_table)
+        # Guard of the row ids: what is dropped must be the header, once for every part.
+        is_header = F.col("rid") == F.col("header_rid")
+        header_text = F.element_at(F.array(*[F.lit(h) for h in headers]), F.col("hid").cast("int") + 1)
+        dropped = Observation()
         rows = (scan_lines(spark, landing, source, files=files)
                 .where(day_in(good))
                 .join(part_table, "file")
-                .where(F.col("rid") != F.col("header_rid"))
+                .observe(dropped, F.count_if(is_header).alias("headers"),
+                         F.count_if(is_header & (F.col("line") != header_text)).alias("others"))
+                .where(~is_header)
                 .select(DAY, "hid", cells(F.col("line")).alias("cells")))
         out = []
         for f in catalog.fields_for(source):
@@ -262,6 +268,8 @@ def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
         if rebalance:
             staged = staged.hint("rebalance", DAY)
         write_staged(staged, stage)
+        if dropped.get["others"] or dropped.get["headers"] < n_files:
+            raise RuntimeError(f"{source}: the second pass did not find the headers of the first")
 
     if good or blank:
         write_empty_days(spark, catalog, source, stage,
