@@ -45,7 +45,7 @@ MIN_ERRORS = 4.0
 L2 = 0.1
 STEPS = 250
 MIN_TAIL = 0.5
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 CORE = re.compile(r"[^\W_]+")
 RUN = re.compile(r"(.)\1+")
