@@ -80,7 +80,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), templates=license_scan.production())
     spans = F.transform("licenses", lambda x: F.concat_ws(":", x["license"], x["start"], x["end"]))
     return found.select("doc_id", "license", "dice", F.array_join(spans, ",").alias("spans"))
 

@@ -152,6 +152,43 @@ def test_license_scan_equals_brute_force(texts, spark):
     assert len(kept) == len(TEXTS) and {r.row for r in kept} == {"own"}
 
 
+def test_license_query_knows_families_and_whole_texts(spark, tmp_path):
+    from daylake.llm.queries import op10_licenses
+
+    body = lambda name: license_scan.production()[name][-1]
+    want = {
+        "x Licensed under CC BY-NC 4.0. y": "CC-BY-NC-4.0",
+        "free as CC BY-NC-SA 4.0, they say": "CC-BY-NC-SA-4.0",
+        "see CC BY 4.0": "CC-BY-4.0",
+        "Licensed under CC BY-ND 3.0.": "CC-BY-ND-3.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "Creative Commons Attribution-NonCommercial 2.5 Generic License": "CC-BY-NC-2.5",
+        "CC0 1.0 Universal": "CC0-1.0",
+        "Copyright A. All rights reserved.": "proprietary",
+        "All rights reserved. Released under the MIT License.": "MIT",
+        "prices grew by 4.0 percent, all other rights too": None,
+        **{f"Copyright (c) 2020 A. All rights reserved.\n\n{body(n)}\nint main;": n for n in license_scan.WHOLE_TEXTS},
+        "# " + body("MIT").replace("\n", "\n# ") + " the end": "MIT",
+    }
+    spark.createDataFrame(list(enumerate(want)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.license for r in op10_licenses(spark, str(tmp_path)).collect()}
+    assert {t: got[i] for i, t in enumerate(want)} == want
+
+
+def test_license_best_window_equals_a_plain_search():
+    rnd = random.Random(4)
+    for _ in range(150):
+        words = "a b c d".split()
+        template = license_scan.Template("t", " ".join(rnd.choices(words, k=rnd.randint(2, 14))), least := rnd.choice([0.5, 0.8]))
+        text = rnd.choices([*words, "x"], k=rnd.randint(2, 40))
+        grams = license_scan.bigrams(text)
+        spans = [(license_scan.dice(Counter(grams[a:b]), template.grams), -a, -b) for a in range(len(grams)) for b in range(a + 1, len(grams) + 1)]
+        score, a, b = max(spans)
+        hit = {i: g for i, g in enumerate(grams) if g in template.grams}
+        got = template.best(list(hit), hit, least)
+        assert got == ((score, -a, -b - 1) if score >= least else None)
+
+
 def test_url_filter(spark):
     urls = [
         None, "", "no scheme/x", "http://", "https://A.Example.ORG/es/x?q#f", "https://example.org/en/12", "http://example.org",
