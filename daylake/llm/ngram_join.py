@@ -22,7 +22,8 @@ Defined cases
   null or blank text       the empty set, linked with nothing
   fewer words than a shingle   the whole sequence is the one shingle
   null id                  takes part; a component's name is its smallest id, null if all are null
-  repeated rows            are equal sets: one class
+  repeated rows            are equal sets: one class; :func:`without_copies` keeps one row of them
+  one id, several texts    each row is judged by its own text
   empty table              no rows
   extra columns            ignored by :func:`link`, kept by :func:`without_copies`
 """
@@ -41,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daylake.llm.common import keep_table
+from daylake.llm.common import as_row, field, keep_table
 from daylake.llm.components import components
 
 SHINGLE = 4
@@ -113,11 +114,12 @@ def _set_keys(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def _first_pass(shingle: int, percent: int, id_type: pa.DataType):
-    """Per document: id, n, key of its set (k1, k2), the first shingles that no other set of the task's chunk has
+    """Per document: id, name of the row (r1, r2), n, key of its set (k1, k2), the first shingles that no other set of the task's chunk has
     (``alone``), how many others there are (``met``), and the marks sent for those (``marks``: shingle, lowest and highest k1, flat)."""
-    names = ["id", "n", "k1", "k2", "met", "alone", "marks"]
+    names = ["id", "r1", "r2", "n", "k1", "k2", "met", "alone", "marks"]
 
     def settle(ids, sizes, keys, firsts) -> pa.RecordBatch:
+        ids, r1, r2 = zip(*ids)
         k1 = np.array([k[0] for k in keys], np.int64)
         # Copies in a chunk are one set: only the first of each key sends shingles.
         _, lead = np.unique(k1, return_index=True)
@@ -147,14 +149,14 @@ def _first_pass(shingle: int, percent: int, id_type: pa.DataType):
         marks = pa.ListArray.from_arrays(ends, pa.array(triple[by].reshape(-1)))
         met = pa.array(np.where(is_lead, met, 0), pa.int32())
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, id_type), pa.array(sizes, pa.int64()), pa.array(k1), pa.array([k[1] for k in keys], pa.int64()), met, alone, marks], names
+            [pa.array(ids, id_type), pa.array(r1, pa.int64()), pa.array(r2, pa.int64()), pa.array(sizes, pa.int64()), pa.array(k1), pa.array([k[1] for k in keys], pa.int64()), met, alone, marks], names
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles_of = Shingler(shingle)
         ids, sizes, keys, firsts, held = [], [], [], [], 0
         for batch in batches:
-            for ident, text in zip(batch.column("id").to_pylist(), batch.column("text")):
+            for ident, text in zip(zip(*(batch.column(c).to_pylist() for c in ("id", "r1", "r2"))), batch.column("text")):
                 all_of = shingles_of(text.as_py())
                 n = len(all_of)
                 first = all_of[: n - least_shared(n, percent) + slack(n)] if n else all_of
@@ -193,12 +195,17 @@ def _staying(rows: DataFrame, percent: int) -> DataFrame:
     return counts.join(sizes, "k1").where(F.col("met") >= F.floor(least / 10) + 1).select("k1")
 
 
-def _only(df: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
+def _only(df: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
     """Semi or anti join with a key table: broadcast if it is counted small, else shuffled and hashed."""
     small = keys.count() <= BROADCAST_IDS
-    right = keys.select(F.col(on).alias("_key"))
+    right = keys.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(on)])
     right = F.broadcast(right) if small else right.hint("shuffle_hash")
-    return df.join(right, df[on].eqNullSafe(right["_key"]), how)
+    return df.join(right, [df[c].eqNullSafe(right[f"_key{i}"]) for i, c in enumerate(on)], how)
+
+
+def _row_name(ident, text) -> list:
+    """128 bits that name rows of one id and one text, as two long columns ``r1, r2``."""
+    return [F.xxhash64(ident, text).alias("r1"), F.xxhash64(F.lit(1), ident, text).alias("r2")]
 
 
 def _sets(rows: DataFrame, shingle: int) -> DataFrame:
@@ -430,44 +437,60 @@ def links_of_sets(sets: DataFrame, percent: int) -> DataFrame:
     return links.unionByName(first).unionByName(rest)
 
 
-def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``<id_col>, n_shingles, component_id`` of every document: the smallest id reachable by links, its own included."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """``id, r1, r2, n, component_id, first`` of every row: its name, the smallest id reachable by links, and the
+    least (id, name) reachable, null ids last (both null for the empty set)."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = texts.select("id", "text", *_row_name(F.col("id"), F.col("text")))
     run = _first_pass(shingle, percent, pa.int64())
-    rows = texts.mapInArrow(run, "id long, n long, k1 long, k2 long, met int, alone array<long>, marks array<long>")
+    rows = texts.mapInArrow(run, "id long, r1 long, r2 long, n long, k1 long, k2 long, met int, alone array<long>, marks array<long>")
     rows = keep_table(spark, rows, "ngram-first")
     staying = keep_table(spark, _staying(rows, percent), "ngram-staying")
-    classes = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("least"))
-    chosen = _only(classes, staying, "k1").select("k1", "k2", "least")
+    classes = rows.where("n > 0").groupBy("k1", "k2").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "r1", "r2")).alias("first"))
+    chosen = _only(classes, staying, ["k1"]).select("k1", "k2", "first.r1", "first.r2")
     chosen = keep_table(spark, chosen, "ngram-chosen")
     # One document of each staying class brings its whole set; equal sets count once.
-    again = _only(texts, chosen.select(F.col("least").alias("id")).distinct(), "id")
+    again = _only(texts, chosen.select("r1", "r2"), ["r1", "r2"])
     sets = _sets(again, shingle).join(chosen.select("k1", "k2"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     sets = sets.withColumn("c", F.col("k1"))
     sets = keep_table(spark, sets, "ngram-sets")
     links = links_of_sets(sets.select("c", "n", "tokens"), percent)
     found = components(spark, links, "ngram-links").select(F.col("node").alias("k1"), "component")
-    named = classes.join(found, "k1").groupBy("component").agg(F.min("least").alias("component_id"))
-    labels = found.join(named, "component").select("k1", "component_id")
-    classes = classes.join(labels, "k1", "left").select("k1", "k2", F.coalesce("component_id", "least").alias("component_id"))
+    named = classes.join(found, "k1").groupBy("component").agg(F.min("first").alias("named"))
+    labels = found.join(named, "component").select("k1", "named")
+    classes = classes.join(labels, "k1", "left").select("k1", "k2", F.coalesce("named", "first").alias("first"))
+    labelled = rows.select("id", "r1", "r2", "n", "k1", "k2").join(classes, ["k1", "k2"], "left")
+    return labelled.select("id", "r1", "r2", "n", F.col("first.id").alias("component_id"), "first")
+
+
+def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``<id_col>, n_shingles, component_id`` of every document: the smallest id reachable by links, its own included."""
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return (
-        rows.select("id", "n", "k1", "k2")
-        .join(classes, ["k1", "k2"], "left")
-        .select(
-            F.col("id").cast(kind).alias(id_col),
-            F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).cast(kind).alias("component_id"),
-        )
+    return _labelled(docs, id_col, text_col, shingle, percent).select(
+        F.col("id").cast(kind).alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).cast(kind).alias("component_id"),
     )
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that link to one with a smaller id, directly or through others."""
-    linked = link(docs, id_col, text_col, shingle, percent)
-    dropped = linked.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return _only(docs, keep_table(docs.sparkSession, dropped, "ngram-dropped"), id_col, "left_anti")
+    """One row of each group of ``docs`` whose texts link, directly or through others: one with the smallest id (null last),
+    among several texts of this id the one least by hash.  Rows whose texts have no words link to nothing and stay."""
+    spark = docs.sparkSession
+    linked = _labelled(docs, id_col, text_col, shingle, percent).where("n > 0")
+    named = linked.groupBy("r1", "r2", ((F.col("r1") == F.col("first.r1")) & (F.col("r2") == F.col("first.r2"))).alias("stays"))
+    # Small: only rows that go, and the names that several rows have.
+    told = keep_table(spark, named.agg(F.count("*").alias("k")).where("not stays or k > 1"), "ngram-told")
+    rows = as_row(docs)
+    rows = rows.select("row", *_row_name(field(id_col).cast("long"), field(text_col)))
+    kept = _only(rows, told, ["r1", "r2"], "left_anti").select("row")
+    again = keep_table(spark, told.where("stays"), "ngram-repeated")
+    if not again.isEmpty():
+        # Each task brings one row of a name at most, so a text of very many rows is no large group.
+        one = _only(rows, again, ["r1", "r2"]).groupBy("r1", "r2").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+        kept = kept.unionByName(one.select("row"))
+    return kept.select("row.*")
 
 
 ORACLE = rf"""

@@ -87,6 +87,23 @@ def test_ngram_join_edge_cases(spark):
     assert Counter(map(tuple, got)) == Counter([(None, 2, 3), (3, 2, 3), (3, 2, 3), (2, 0, 2), (None, 0, None), (1, 1, 1)])
 
 
+def test_without_copies_judges_rows(spark):
+    words = [f"w{i}" for i in range(40)]
+    a, near, b, c = " ".join(words), " ".join([*words[:-1], "z"]), " ".join(words[::-1]), " ".join(words[::2])
+    rows = [
+        (3, a, "x"), (3, a, "x"), (3, a, "y"), (7, near, "x"), (None, a, "x"),  # one row of id 3 stays
+        (None, b, "x"), (None, b, "x"), (None, b.upper(), "x"),  # only null ids: one row stays
+        (8, a, "x"), (8, c, "clean"),  # one id, two texts: the copy goes
+        (9, "other words here", "x"), (9, "other words here", "x"),
+        (10, None, "x"), (10, None, "x"), (11, " ", "x"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, r1 string").repartition(4)
+    got = ngram_join.without_copies(df)
+    assert got.schema == df.schema
+    got = Counter((r.doc_id, (r.text or "").lower().strip()) for r in got.collect())
+    assert got == Counter([(3, a), (None, b), (8, c), (9, "other words here"), (10, ""), (10, ""), (11, "")])
+
+
 def test_merge_lists_counts_as_a_plain_count_does():
     rnd = random.Random(3)
     for _ in range(300):
