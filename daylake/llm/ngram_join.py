@@ -15,7 +15,7 @@ They then share at least T = ceil(percent * n / 100) shingles, n the size of eit
    classes met often enough are probed in the long lists by binary search.  A few central classes are
    first compared with the whole region.  What hangs together by that needs no queries of its own: any link not yet known
    has an end outside.  So a region of copies costs a few passes, not all pairs.
-   Large regions are split into blocks; the queries go to every block.
+   Large regions are split into blocks, and their queries into chunks of the same size; every chunk meets every block.
 5. Links of all blocks are joined to components.
 
 Defined cases
@@ -423,8 +423,14 @@ def links_of_sets(sets: DataFrame, percent: int) -> DataFrame:
     pivots = large.join(best.select(F.col("p.c").alias("c")), "c")
 
     def against_blocks(queries: DataFrame, scan: bool) -> DataFrame:
-        sent = queries.withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-        left, right = sent.groupBy("region", "block"), blocks.groupBy("region", "block")
+        # The queries are cut into chunks, too: both frames of a group hold about BLOCK_SHINGLES.
+        chunks = queries.groupBy("region").agg(F.ceil(F.sum(F.size("tokens")) / BLOCK_SHINGLES).cast("int").alias("n_chunks"))
+        chunks = keep_table(spark, chunks, "ngram-chunks")
+        sent = queries.join(chunks, "region").withColumn("chunk", F.pmod(F.xxhash64("c", F.lit(2)), "n_chunks").cast("int")).drop("n_chunks")
+        sent = sent.withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        met = blocks.join(chunks.toDF("region", "n_chunks"), "region")
+        met = met.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1))).drop("n_chunks")
+        left, right = sent.groupBy("region", "block", "chunk"), met.groupBy("region", "block", "chunk")
         return left.cogroup(right).applyInPandas(lambda q, b: _links_of_block(q, b, percent, scan), out)
 
     first = keep_table(spark, against_blocks(pivots, True), "ngram-pivot-links")

@@ -87,6 +87,31 @@ def test_ngram_join_edge_cases(spark):
     assert Counter(map(tuple, got)) == Counter([(None, 2, 3), (3, 2, 3), (3, 2, 3), (2, 0, 2), (None, 0, None), (1, 1, 1)])
 
 
+def test_ngram_join_bounds_both_sides_of_a_block(spark, monkeypatch):
+    # One region of pages that share a frame and mostly do not link.
+    rnd = random.Random(21)
+    frame = [f"f{i}" for i in range(60)]
+    texts = []
+    for k in range(150):
+        texts.append(" ".join(frame + [f"p{k if k % 10 else 7}x{i}" for i in range(30)] + [f"q{rnd.randrange(4)}"]))
+    block = 2000
+    plain = ngram_join._links_of_block
+
+    def bounded(queries, found, percent, scan):
+        for side in (queries, found):
+            held = sum(map(len, side["tokens"]))
+            if held > 2 * block:
+                raise ValueError(f"a frame of {held} shingles")
+        return plain(queries, found, percent, scan)
+
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 3)
+    monkeypatch.setattr(ngram_join, "_links_of_block", bounded)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link(df, shingle=2, percent=60).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_components(texts, 2, 60)
+
+
 def test_without_copies_judges_rows(spark):
     words = [f"w{i}" for i in range(40)]
     a, near, b, c = " ".join(words), " ".join([*words[:-1], "z"]), " ".join(words[::-1]), " ".join(words[::2])
