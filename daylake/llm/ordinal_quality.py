@@ -14,7 +14,7 @@ Defined cases
   null rating      not used; null toxicity counts as not toxic
   rated repeatedly the lowest grade counts
   one grade or none among the ratings   nothing to tell apart: every document gets that grade (or the top one) and is kept
-  repeated rows    scored each
+  repeated rows    scored each; of rows with one rated id the one with the least hash of its text is fitted
   empty table      no rows
   extra columns    kept; a column with the name of an output column is replaced
 """
@@ -199,15 +199,20 @@ def train(docs: DataFrame, rated: DataFrame, top: int = 2, id_col: str = "doc_id
         .orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(max_rated)
     )
     # The sample is bounded by its parameter, so it is broadcast; the texts stay where they are.
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark")).join(F.broadcast(sample), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
             made = [features(t).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.string()), batch.column("grade"), pa.array(made, pa.binary())], ["id", "grade", "x"])
-
-    rows = sorted(map(tuple, texts.mapInArrow(run, "id string, grade int, x binary").collect()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").cast(pa.string()), batch.column("grade"), batch.column("mark"), pa.array(made, pa.binary())], ["id", "grade", "mark", "x"]
+            )
+
+    # One row of each id, so the bound on ids is one on rows; a task sends one row of an id at most.
+    made = texts.mapInArrow(run, "id string, grade int, mark long, x binary")
+    one = made.groupBy("id", "grade").agg(F.min(F.struct("mark", "x")).alias("least"))
+    rows = sorted(map(tuple, one.select("id", "grade", "least.x").collect()))
     return fit([np.frombuffer(bytes(x), np.int32) for _, _, x in rows], np.array([g for _, g, _ in rows], int), top, **options)
 
 

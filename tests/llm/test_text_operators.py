@@ -259,6 +259,15 @@ def test_ordinal_edge_cases(texts, spark):
     assert ordinal_quality.score(texts.limit(0), model).count() == 0
 
 
+def test_ordinal_sample_takes_one_row_of_an_id(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(ordinal_quality, "fit", lambda rows, grades, top: taken.append((len(rows), grades.tolist())))
+    docs = [(1, f"text {i % 3}") for i in range(300)] + [(2, "b"), (2, None), (3, "c"), (3, "c"), (4, "not rated")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    ordinal_quality.train(docs, spark.createDataFrame([(1, 0), (2, 2), (2, 1), (3, 2)], "doc_id long, grade int"))
+    assert taken == [(3, [0, 1, 2])]
+
+
 def test_digest_columns(spark):
     from daylake.llm.queries import op1_bpe
 
