@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.llm import bpe, license_scan, mixing, ngram_join, ordinal_quality, quality_rules, secret_ledger, sharding, spotsigs, url_filter
+from daylake.llm import (
+    bpe,
+    filter_audit,
+    license_scan,
+    mixing,
+    ngram_join,
+    ordinal_quality,
+    quality_rules,
+    secret_ledger,
+    sharding,
+    spelling,
+    spotsigs,
+    url_filter,
+    window_dedup,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +99,20 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "license", "dice", F.array_join(spans, ",").alias("spans"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+def op12_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = window_dedup.cut_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_rules": op2_quality_rules,
@@ -96,6 +124,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_window_dedup": op12_window_dedup,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {
@@ -105,4 +136,6 @@ ORACLES: dict[str, str] = {
     "op6_sharding": sharding.ORACLE,
     "op8_secrets": secret_ledger.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op12_window_dedup": window_dedup.ORACLE,
 }
