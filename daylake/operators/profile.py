@@ -102,10 +102,12 @@ def context_columns(spark: SparkSession, frames: dict[str, DataFrame], catalog:
         context_profile(frames).withColumnRenamed("object", "table_name"), "table_name", "left")
 
 
-def drift_report(spark: SparkSession, frames: dict[str, DataFrame], catalog: Catalog) -> DataFrame:
-    """Both directions between catalogued views and described catalog rows, plus
-    catalogued columns that no loaded row fills (NULL everywhere, e.g. a field no
-    day's export carries)."""
+def drift_report(spark: SparkSession, frames: dict[str, DataFrame], catalog: Catalog,
+                 filled: DataFrame | None = None) -> DataFrame:
+    """Both directions between catalogued views and described catalog rows, from names alone.
+
+    With ``filled`` (``table_name, column_name, non_null``, as the day files' statistics tell it) also the
+    catalogued columns that no loaded row fills (NULL everywhere, e.g. a field no day's export carries)."""
     known = {n: df for n, df in frames.items() if n in catalog.sources()}
     listed = schema_listing(spark, known)
     cat = catalog.to_df(spark).select(F.col("source").alias("table_name"),
@@ -117,8 +119,8 @@ def drift_report(spark: SparkSession, frames: dict[str, DataFrame], catalog: Cat
                    .where(F.col("table_name").isin(list(frames)))
                    .select("table_name", "column_name", F.lit("catalog column not in view").alias("issue")))
     out = no_meaning.unionByName(not_in_view)
-    if known:
-        empty = (column_counts(known).where("non_null = 0")
+    if filled is not None:
+        empty = (filled.where("non_null = 0").where(F.col("table_name").isin(list(known)))
                  .select("table_name", "column_name", F.lit("no value in any row").alias("issue")))
         out = out.unionByName(empty)
     return out.orderBy("table_name", "column_name", "issue")

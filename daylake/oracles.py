@@ -131,6 +131,25 @@ def _summarize() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _context_tables() -> str:
+    dates = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
+    parts = []
+    for t in _TABLES:
+        d = dates.get(t)
+        told = f"'{d}', CAST(min({d}) AS VARCHAR), CAST(max({d}) AS VARCHAR)" if d else "CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)"
+        parts.append(f"SELECT '{t}', count(*), {told} FROM {t}")
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) x(object, row_count, date_column, min_value, max_value)"
+
+
+# Events with their session number: a gap of more than six hours begins a new one.
+_IN_SESSIONS = (
+    "WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= 21600000000 THEN 0 ELSE 1 END AS opens "
+    "FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), "
+    "e AS (SELECT *, CAST(sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_no FROM g)")
+_SESSIONS = ("SELECT user_id, session_no, min(ts) AS started, max(ts) AS ended, count(*) AS n_events, "
+             "string_agg(event_type, '>' ORDER BY ts, event_id) AS path FROM e GROUP BY user_id, session_no")
+
+
 ORACLES = {
     "daily_counts": "SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1 ORDER BY 1",
     "day_filter": ("SELECT event_type, count(*) AS n, round(sum(value), 2) AS total_value FROM events "
@@ -237,6 +256,23 @@ ORACLES = {
     "drift_report": (f"SELECT source AS table_name, name AS column_name, 'column without description' AS issue "
                      f"FROM ({_catalog()}) WHERE trim(description) = ''"),
     "summarize": _summarize(),
+    "summarize_merged": _summarize(),
+    "context_merged": _CONTEXT,
+    "context_tables": _context_tables(),
+    "filter_pruned": "SELECT event_id, ts, event_type, value, true AS few_files FROM events WHERE event_id BETWEEN 400 AND 600",
+    "object_listing": (f"SELECT 'listed_' || object AS table_name, row_count AS n FROM ({_CONTEXT}) UNION ALL SELECT 'listed_load_state', "
+                       "(SELECT count(DISTINCT CAST(ts AS DATE)) FROM events) + (SELECT count(DISTINCT CAST(l_shipdate AS DATE)) FROM lineitem) "
+                       "+ (SELECT count(DISTINCT CAST(o_orderdate AS DATE)) FROM orders)"),
+    "clamped_load": ("SELECT CAST(ts AS DATE) AS load_date, count(*) AS actual, 'loaded' AS status, 'rejected' AS late_range "
+                     "FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-19' GROUP BY 1"),
+    "session_paths": f"{_IN_SESSIONS} {_SESSIONS}",
+    "session_transitions": (
+        f"{_IN_SESSIONS} SELECT event_type AS step_from, step_to, count(*) AS n FROM (SELECT event_type, lead(event_type) OVER "
+        "(PARTITION BY user_id, session_no ORDER BY ts, event_id) AS step_to FROM e) GROUP BY 1, 2"),
+    "interval_join": (
+        f"{_IN_SESSIONS}, s AS ({_SESSIONS}) SELECT s.user_id, s.session_no, count(*) AS n_events, round(sum(o.value), 2) AS total_value, "
+        "min(o.event_id) AS first_event, max(o.event_id) AS last_event FROM s JOIN events o ON o.ts BETWEEN s.started AND s.ended "
+        "AND o.user_id <> s.user_id WHERE s.n_events > 1 GROUP BY 1, 2"),
     "load_state_view": (
         f"WITH c AS ({_DAY_COUNTS}), s AS (SELECT CASE WHEN load_date IN {_FAULT_DAYS} THEN 'failed' ELSE 'loaded' END AS status, n FROM c) "
         "SELECT 'events' AS source, status, count(*) AS days, CASE WHEN status = 'loaded' THEN CAST(sum(n) AS BIGINT) END AS total_rows, "

@@ -68,8 +68,11 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
     """K4 for many days at once; returns the per-day report (one row per requested day).
 
     Days whose part files exceed ``max_files`` are loaded in several batches,
-    each a complete load (days of an earlier batch stay committed if a later
-    batch fails); the plan needs only a per-day file count.
+    each a complete load; the plan needs only a per-day file count.
+
+    An error that stops a batch marks its days failed (days it had published stay); the other batches
+    are still tried, then the first error is raised, with the report of all days as its ``report``.  This does
+    not depend on how many batches there are.
 
     ``rebalance=True`` shuffles rows by day before the write (AQE sizes the
     files): one shuffle more, for sources whose exports come as many tiny parts.
@@ -91,19 +94,21 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
                        .where(day_in(days)).groupBy(DAY).count().collect()}
             batches = [(b, None) for b in day_batches(per_day, days, max_files)]
     reports = []
+    errors = []
     for i, (b, f) in enumerate(batches):
         try:
             reports.append(_load_batch(spark, lake, landing, catalog, source, b, files=f,
                                        run_id=f"{run_id}-{i}" if run_id else None, rebalance=rebalance))
-        except Exception as exc:
-            if len(batches) == 1:
-                raise
-            # The days are marked failed; the other batches are still tried.
+        except Exception as exc:  # noqa: BLE001 - raised again below
+            errors.append(exc)
             reports.append(_report(spark, [(source, _dt.date.fromisoformat(d), 0, None, None, "failed",
                                             f"{type(exc).__name__}: {exc}"[:500]) for d in b]))
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)
+    if errors:
+        errors[0].report = out
+        raise errors[0]
     return out
 
 

@@ -18,16 +18,18 @@ from daylake.functions.encode import csv_row, json_row, md_row
 from daylake.functions.typing import typed_scalar
 from daylake.operators import profile as prof
 from daylake.operators import result as res
+from daylake.operators.intervals import interval_join
 from daylake.operators.reshape import pivot, unpivot
 from daylake.operators.relations import array_sum, link_array_to_key, zipped_rows
-from daylake.plans import journal
+from daylake.operators.sessions import session_paths, transitions
+from daylake.plans import file_stats, journal
 from daylake.plans.load import ingest_range, load_days, update_all
 from daylake.plans.select import select_days
 from daylake.sinks import fs
 from daylake.sources.landing import write_landing, write_raw_part
 from daylake.sources.raw import raw_dir, scan_raw
 from daylake.views import load_state, register_views, where_days
-from daylake.workloads import (base_lake, base_views, events_frame, land, load_all, memo, new_lake,
+from daylake.workloads import (SOURCES, base_lake, base_views, events_frame, land, load_all, memo, new_lake,
                                table)
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -360,18 +362,17 @@ def q_view_semantics(spark, sf):
 
 def q_drift_report(spark, sf):
     lake = base_lake(spark, sf)
-    return prof.drift_report(spark, base_views(spark, sf), lake.catalog)
+    filled = file_stats.column_counts_merged(spark, lake.lake, lake.catalog, SOURCES)
+    return prof.drift_report(spark, base_views(spark, sf), lake.catalog, filled)
 
 
 def q_summarize_exact(spark, sf):
     return prof.summarize(base_views(spark, sf, ["lineitem"])["lineitem"], exact_only=True)
 
 
-def q_summarize(spark, sf):
-    """SUMMARIZE of events: exact figures as they are, estimates as "within the stated error"
-    of the exact ones (distinct: 15 %; quartiles: by rank, one percent)."""
-    ev = base_views(spark, sf, ["events"])["events"]
-    told = prof.summarize(ev)
+def _against_exact(ev, told):
+    """A SUMMARIZE of events with its estimates as "within the stated error" of the exact figures (distinct: 15 %;
+    quartiles: by rank, one percent)."""
     quartiles = {r.column_name: (r.q25, r.q50, r.q75) for r in told.where("q50 IS NOT NULL").collect()}
     checks = []
     for f in ev.schema.fields:
@@ -391,6 +392,98 @@ def q_summarize(spark, sf):
         "count", "null_percentage", near.alias("distinct_ok"), "quartiles_ok")
 
 
+def q_summarize(spark, sf):
+    """SUMMARIZE of events: exact figures as they are, estimates held against the exact ones."""
+    ev = base_views(spark, sf, ["events"])["events"]
+    return _against_exact(ev, prof.summarize(ev))
+
+
+def q_summarize_merged(spark, sf):
+    """The same from the day files' statistics."""
+    lake = base_lake(spark, sf, ["events"])
+    told = file_stats.summarize_merged(spark, lake.lake, lake.catalog, "events")
+    return _against_exact(base_views(spark, sf, ["events"])["events"], told)
+
+
+def q_context_merged(spark, sf):
+    """L4 of all sources from the day files' statistics."""
+    lake = base_lake(spark, sf)
+    return file_stats.context_merged(spark, lake.lake, lake.catalog, SOURCES)
+
+
+def q_context_tables(spark, sf):
+    """L4 over every given table."""
+    return prof.context_profile({t: table(spark, sf, t) for t in TABLES})
+
+
+def q_filter_pruned(spark, sf):
+    """A typed filter whose files are chosen by their typed bounds; ``few_files``: not all files were read."""
+    lake = base_lake(spark, sf, ["events"])
+    file_stats.refresh(spark, lake.lake, lake.catalog, "events")
+    hit = file_stats.where_between(spark, lake.lake, lake.catalog, "events", "event_id", 400, 600)
+    return hit.frame.select("event_id", "ts", "event_type", "value",
+                            F.lit(0 < hit.files < hit.all_files).alias("few_files"))
+
+
+def q_object_listing(spark, sf):
+    """L1: the registered objects (the load state among them) by name, with their rows."""
+    lake = base_lake(spark, sf)
+    register_views(spark, lake.lake, lake.catalog, SOURCES, prefix="listed_")
+    names = prof.list_objects(spark).where("table_name LIKE 'listed\\\\_%'")
+    rows = file_stats.context_merged(spark, lake.lake, lake.catalog, SOURCES).select(
+        F.concat(F.lit("listed_"), "object").alias("table_name"), F.col("row_count").alias("n"))
+    state = spark.table("listed_load_state").agg(F.count(F.lit(1)).alias("n")).select(F.lit("listed_load_state").alias("table_name"), "n")
+    return names.join(rows.unionByName(state), "table_name", "left").orderBy("table_name")
+
+
+def q_clamped_load(spark, sf):
+    """A range that ends after yesterday is loaded up to yesterday; one that begins after it is an error."""
+    def build():
+        lake = new_lake(spark, sf, "clamp")
+        land(spark, lake, "events")
+        args = (spark, lake.lake, lake.landing, lake.catalog, "events")
+        done = ingest_range(*args, "2024-01-05", "2024-02-10", hot_window_days=3, today=_dt.date(2024, 1, 20))
+        try:
+            ingest_range(*args, "2024-01-20", "2024-02-10", today=_dt.date(2024, 1, 20))
+            late = "loaded"
+        except ValueError:
+            late = "rejected"
+        return done.report, late
+    report, late = memo(spark, ("clamp", sf), build)
+    return report.select(DAY_COL, "actual", "status", F.lit(late).alias("late_range"))
+
+
+# ---------------------------------------------------------------- sessions and spans
+
+SESSION_GAP = 6 * 3600
+
+
+def _sessions(spark, sf):
+    ev = base_views(spark, sf, ["events"])["events"]
+    return session_paths(ev, "user_id", "ts", ["event_id"], "event_type", gap=SESSION_GAP)
+
+
+def q_session_paths(spark, sf):
+    """The path of events in each session of a user; a session ends before a gap of more than six hours."""
+    return _sessions(spark, sf)
+
+
+def q_session_transitions(spark, sf):
+    """How often an event type follows another in one session (NULL: the session ends there)."""
+    ev = base_views(spark, sf, ["events"])["events"]
+    return transitions(ev, "user_id", "ts", ["event_id"], "event_type", gap=SESSION_GAP)
+
+
+def q_interval_join(spark, sf):
+    """For each session of more than one event, what other users did while it lasted."""
+    ev = base_views(spark, sf, ["events"])["events"].select("event_id", "ts", F.col("user_id").alias("other"), "value")
+    spans = _sessions(spark, sf).where("n_events > 1").select("user_id", "session_no", "started", "ended")
+    inside = interval_join(ev, spans, "ts", "started", "ended", width=900.0)
+    return inside.where("other <> user_id").groupBy("user_id", "session_no").agg(
+        F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value"),
+        F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+
+
 def q_load_state_view(spark, sf):
     """The journal read by SQL, beside the typed views: loaded days and rows per source."""
     lake, _ = _faults_lake(spark, sf)
@@ -571,6 +664,15 @@ QUERIES = {
     "drift_report": q_drift_report,
     "summarize_exact": q_summarize_exact,
     "summarize": q_summarize,
+    "summarize_merged": q_summarize_merged,
+    "context_merged": q_context_merged,
+    "context_tables": q_context_tables,
+    "filter_pruned": q_filter_pruned,
+    "object_listing": q_object_listing,
+    "clamped_load": q_clamped_load,
+    "session_paths": q_session_paths,
+    "session_transitions": q_session_transitions,
+    "interval_join": q_interval_join,
     "load_state_view": q_load_state_view,
     "update_summary": q_update_summary,
     "load_edge_days": q_load_edge_days,

@@ -224,3 +224,29 @@ def test_rebalanced_load_gives_same_days(spark, mini_catalog, lake_dirs):
     assert sorted((str(r["load_date"]), r["status"], r["actual"]) for r in rep) == [
         ("2026-05-20", "loaded", 6), ("2026-05-21", "loaded", 6)]
     assert typed_source(spark, lake, mini_catalog, "hits").count() == 12
+
+
+def test_an_error_has_one_outcome_at_any_batch_size(spark, mini_catalog, tmp_path, monkeypatch):
+    """The same error on one day: raised, that batch's days failed, the report beside it, whatever ``max_files``."""
+    import pytest
+    from daylake.plans import load as L
+    real = L.write_staged
+    days = ["2026-05-20", "2026-05-21", "2026-05-22"]
+    for n, max_files in enumerate((100, 1)):
+        lake, landing = str(tmp_path / f"lake{n}"), str(tmp_path / f"landing{n}")
+        for d in days:
+            write_part(landing, "hits", d, "a.tsv", f"{HH}\n1\t[]\t{d}\n")
+
+        def broken(df, stage, **kw):
+            if df.where("load_date = '2026-05-21'").count():
+                raise OSError("disk gone")
+            return real(df, stage, **kw)
+        monkeypatch.setattr(L, "write_staged", broken)
+        with pytest.raises(OSError, match="disk gone") as caught:
+            load_days(spark, lake, landing, mini_catalog, "hits", days, max_files=max_files)
+        report = {str(r["load_date"]): (r["status"], r["error"]) for r in caught.value.report.collect()}
+        assert report["2026-05-21"] == ("failed", "OSError: disk gone")
+        marks = {str(r["load_date"]): r["status"] for r in journal.current(spark, lake).collect()}
+        assert marks == {d: s for d, (s, _) in report.items()}
+        # Days of other batches are loaded.
+        assert [marks[d] for d in days] == (["failed"] * 3 if max_files == 100 else ["loaded", "failed", "loaded"])
