@@ -316,3 +316,12 @@ ORACLES = {
     "encode_md": (f"SELECT doc_id, '| ' || CAST(doc_id AS VARCHAR) || ' | ' || {_md('lang')} || ' | ' || {_md('source')} || ' | ' "
                   f"|| CAST(n_chars AS VARCHAR) || ' | ' || {_md('text')} || ' |' AS md FROM documents"),
 }
+
+# Other ways to the same results.
+ORACLES["visit_hits_bucketed"] = ORACLES["visit_hits_join"]
+ORACLES["window_sliced"] = ORACLES["window_ranks"]
+ORACLES["lookup_hits"] = (
+    f"SELECT CAST({_BASE} + l_orderkey * 10 + l_linenumber AS VARCHAR) AS line_id, l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate "
+    "FROM lineitem WHERE l_orderkey BETWEEN 100 AND 199 AND l_orderkey IN (SELECT o_orderkey FROM orders)")
+ORACLES["page_seek"] = (
+    "SELECT o_custkey, o_orderkey, o_totalprice, CAST((row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1) // 10000 + 1 AS INTEGER) AS page FROM orders")

@@ -23,7 +23,7 @@ from daylake.functions.typing import typed_projection
 from daylake.operators.profile import first_date_like
 from daylake.sinks import fs
 from daylake.sources.catalog import Catalog, working_name
-from daylake.sources.raw import DAY, list_day_files, raw_dir, scan_raw
+from daylake.sources.raw import DAY, list_day_files, scan_files, scan_raw
 
 # Size of a KLL sketch: quartiles lie within half a percent by rank.
 KLL_K = 800
@@ -41,9 +41,21 @@ def _orderable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.ArrayType, T.MapType, T.StructType))
 
 
+def _whole(kind: T.DataType) -> bool:
+    return isinstance(kind, T.IntegralType) or (isinstance(kind, T.DecimalType) and kind.scale == 0)
+
+
+def _value(v, kind: T.DataType) -> Column:
+    """A value as a column of a type; whole numbers go as text, since they may not fit a long."""
+    return F.lit(str(v) if isinstance(v, int) and not isinstance(v, bool) else v).cast(kind)
+
+
 def _measures(name: str, kind: T.DataType) -> Column:
     c = F.col(f"`{name}`")
     parts = [F.count(c).alias("held")]
+    if _whole(kind):
+        # Values whose cell is not the number's own text ("007", " 7", "7.0").
+        parts.append(F.count_if(c.isNotNull() & (F.col(f"`_raw_{name}`") != c.cast("string"))).alias("odd"))
     if _orderable(kind):
         parts += [F.min(c).alias("min"), F.max(c).alias("max"), F.hll_sketch_agg(c.cast("string")).alias("hll")]
     if isinstance(kind, T.NumericType):
@@ -56,6 +68,8 @@ def _struct(catalog: Catalog, source: str) -> T.StructType:
     fields = [T.StructField("file", T.StringType()), T.StructField(DAY, T.DateType()), T.StructField("n", T.LongType())]
     for f in catalog.typed_schema(source).fields:
         parts = [T.StructField("held", T.LongType())]
+        if _whole(f.dataType):
+            parts.append(T.StructField("odd", T.LongType()))
         if _orderable(f.dataType):
             parts += [T.StructField("min", f.dataType), T.StructField("max", f.dataType), T.StructField("hll", T.BinaryType())]
         if isinstance(f.dataType, T.NumericType):
@@ -78,12 +92,14 @@ def refresh(spark: SparkSession, lake: str, catalog: Catalog, source: str, d1=No
     n = new.count()
     if not n:
         return 0
-    raw = scan_raw(spark, lake, catalog, source).withColumn("_file", F.col("_metadata.file_path"))
-    typed = typed_projection(raw, catalog, source, keep=(DAY, "_file"))
+    kinds = catalog.typed_schema(source).fields
+    whole = [f.name for f in kinds if _whole(f.dataType)]
+    raw = scan_raw(spark, lake, catalog, source, file_col="_file")
+    raw = raw.withColumns({f"_raw_{c}": F.col(f"`{c}`") for c in whole})
+    typed = typed_projection(raw, catalog, source, keep=(DAY, "_file", *[f"_raw_{c}" for c in whole]))
     told = new.select(F.col("file").alias("_file"), DAY)
     # The day in the join prunes folders; files without a row (empty days) are added after it.
     rows = typed.join(F.broadcast(told) if n <= BROADCAST_FILES else told, ["_file", DAY], "left_semi")
-    kinds = catalog.typed_schema(source).fields
     made = rows.groupBy(F.col("_file").alias("file"), DAY).agg(F.count(F.lit(1)).alias("n"), *[_measures(f.name, f.dataType) for f in kinds])
     made = new.join(made.drop(DAY), "file", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     made.write.mode("append").parquet(stats_dir(lake, source))
@@ -192,25 +208,65 @@ def where_between(spark: SparkSession, lake: str, catalog: Catalog, source: str,
     def both(lower: Column, upper: Column) -> Column:
         ok = F.lit(True)
         if low is not None:
-            ok = ok & (upper >= F.lit(low).cast(kind))
+            ok = ok & (upper >= _value(low, kind))
         if high is not None:
-            ok = ok & (lower <= F.lit(high).cast(kind))
+            ok = ok & (lower <= _value(high, kind))
         return ok
 
     stats = file_stats(spark, lake, catalog, source)
     meets = F.col("n").isNull() | ((F.col(f"`{column}`.held") > 0) & both(F.col(f"`{column}`.min"), F.col(f"`{column}`.max")))
     total, met = stats.agg(F.count(F.lit(1)), F.count_if(meets)).first()
-    raw = scan_raw(spark, lake, catalog, source)
-    if met < total:
-        root, schema = raw_dir(lake, source), raw.schema
-        reader = spark.read.schema(schema).option("basePath", root)
-        if not met:
-            raw = spark.createDataFrame([], schema)
-        elif met <= max_files:
-            raw = reader.parquet(*sorted(r[0] for r in stats.where(meets).select("file").collect()))
-        else:
-            listed = list_day_files(spark, lake, source).select(F.col("path").alias("file"), DAY)
-            raw = raw.join(F.broadcast(listed.join(stats.where(meets).select("file"), "file").select(DAY).distinct()), DAY, "left_semi")
+    if met <= max_files:
+        raw = scan_files(spark, lake, catalog, source, [r[0] for r in stats.where(meets).select("file").collect()])
+    else:
+        raw = scan_raw(spark, lake, catalog, source)
+        listed = list_day_files(spark, lake, source).select(F.col("path").alias("file"), DAY)
+        raw = raw.join(F.broadcast(listed.join(stats.where(meets).select("file"), "file").select(DAY).distinct()), DAY, "left_semi")
     typed = typed_projection(raw, catalog, source, keep=())
     return Pruned(typed.where(F.col(f"`{column}`").isNotNull() & both(F.col(f"`{column}`"), F.col(f"`{column}`"))), met, total)
 
+
+# Values looked up one by one; more are joined.
+MAX_VALUES = 1_000
+
+
+def lookup(spark: SparkSession, lake: str, catalog: Catalog, source: str, column: str, values: list, max_files: int = MAX_FILES) -> DataFrame:
+    """The typed rows whose ``column`` (whole numbers) is one of a few values.
+
+    The files' bounds choose the files.  In files where every cell is its number's own text the values are asked as text, by
+    equalities that reach the Parquet reader, where a column loaded as ``lookup`` has Bloom filters; other files,
+    and those without statistics, are filtered after typing.  The rows are the same either way.
+    """
+    kind = catalog.typed_schema(source)[column].dataType
+    if not _whole(kind):
+        raise ValueError(f"{column}: only columns of whole numbers are looked up, not {working_name(kind)}")
+    values = sorted({int(v) for v in values if v is not None})
+    if len(values) > MAX_VALUES:
+        raise ValueError(f"{len(values)} values: join them, a lookup takes {MAX_VALUES}")
+    none = typed_projection(scan_files(spark, lake, catalog, source, []), catalog, source, keep=())
+    if not values:
+        return none
+    stats = file_stats(spark, lake, catalog, source)
+    c = F.col(f"`{column}`")
+    bounds = F.array(*[_value(v, kind) for v in values])
+    meets = F.col("n").isNull() | F.exists(bounds, lambda v: (v >= F.col(f"`{column}`.min")) & (v <= F.col(f"`{column}`.max")))
+    plain = F.coalesce(F.col(f"`{column}`.odd") == 0, F.lit(False))
+    chosen = stats.where(meets).select("file", plain.alias("plain"))
+    by_kind = {r["plain"]: r["n"] for r in chosen.groupBy("plain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    typed_in = c.isin([_value(v, kind) for v in values])
+    if sum(by_kind.values()) > max_files:
+        return typed_projection(scan_raw(spark, lake, catalog, source), catalog, source, keep=()).where(typed_in)
+    files = {k: sorted(r[0] for r in chosen.where(F.col("plain") == k).select("file").collect()) for k in by_kind}
+    out = none
+    if files.get(True):
+        # Lists of ten stay lists of equalities on their way to the reader; a longer one becomes a range.
+        texts = [str(v) for v in values]
+        asked = None
+        for i in range(0, len(texts), 10):
+            part = c.isin(texts[i : i + 10])
+            asked = part if asked is None else asked | part
+        out = typed_projection(scan_files(spark, lake, catalog, source, files[True], asked), catalog, source, keep=())
+    if files.get(False):
+        rest = typed_projection(scan_files(spark, lake, catalog, source, files[False]), catalog, source, keep=()).where(typed_in)
+        out = out.unionByName(rest) if files.get(True) else rest
+    return out

@@ -4,12 +4,15 @@ The journal is append-only Parquet ``(source, load_date, row_count, loaded_at,
 status, seq)``; the current state of a day is the row with the highest
 ``seq`` (``max_by``), so an upsert is an append and a delete is a tombstone
 row with status ``removed``.  No MERGE and no rewrite is needed.
+
+Numbers come from the journal itself, not from a clock: a writer takes the first number above all there are
+by putting a claim file that must not exist yet, and tries the next one if another writer was faster.
+So marks rank in the order in which they were begun, however the writers' clocks differ.
 """
 
 from __future__ import annotations
 
-import threading
-import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,20 +25,31 @@ LOADING, LOADED, FAILED, REMOVED = "loading", "loaded", "failed", "removed"
 JOURNAL_SCHEMA = ("source string, load_date date, row_count long, "
                   "loaded_at timestamp_ntz, status string, seq long")
 
-_seq_lock = threading.Lock()
-_last_seq = [0]
+def journal_dir(lake: str) -> str:
+    return f"{lake.rstrip('/')}/journal"
 
 
-def next_seq() -> int:
-    """Strictly growing sequence: wall clock in microseconds, bumped on ties."""
-    with _seq_lock:
-        now = time.time_ns() // 1000
-        _last_seq[0] = max(now, _last_seq[0] + 1)
-        return _last_seq[0]
+def claims_dir(lake: str) -> str:
+    return f"{lake.rstrip('/')}/journal_claims"
 
 
-def journal_dir(lake: str) -> str:
-    return f"{lake.rstrip('/')}/journal"
+def _numbers(spark: SparkSession, lake: str) -> list[int]:
+    root = journal_dir(lake)
+    folders = [n.split("=", 1)[1] for n in fs.list_children(spark, root) if n.startswith("seq=")]
+    return [int(n) for n in folders + [c for c in fs.list_children(spark, claims_dir(lake)) if c.isdigit()]]
+
+
+def last_seq(spark: SparkSession, lake: str) -> int:
+    """The highest number taken so far (0: none)."""
+    return max(_numbers(spark, lake), default=0)
+
+
+def claim_seq(spark: SparkSession, lake: str) -> int:
+    """A number above all taken ones, for this writer alone."""
+    n = last_seq(spark, lake) + 1
+    while not fs.create_new(spark, f"{claims_dir(lake)}/{n}", uuid.uuid4().hex):
+        n += 1
+    return n
 
 
 def append_marks(spark: SparkSession, lake: str, marks: DataFrame) -> None:
@@ -47,7 +61,7 @@ def append_marks(spark: SparkSession, lake: str, marks: DataFrame) -> None:
     ``failed`` / ``removed`` carry no count and no time; ``loaded`` gets the
     time of the mark.
     """
-    seq = next_seq()
+    seq = claim_seq(spark, lake)
     done = F.col("status") == LOADED
     rows = marks.select(
         F.col("source").cast("string"), F.col(DAY).cast("date"),
@@ -110,6 +124,10 @@ def compact_in_place(spark: SparkSession, lake: str) -> int:
     snapshot.coalesce(1).write.mode("append").parquet(f"{root}/{old[-1]}")
     for n in old[:-1]:
         fs.delete(spark, f"{root}/{n}")
+    # Claims below the newest folder are taken for good; its number keeps them so.
+    for c in fs.list_children(spark, claims_dir(lake)):
+        if c.isdigit() and int(c) < newest:
+            fs.delete(spark, f"{claims_dir(lake)}/{c}")
     return len(old) - 1
 
 
@@ -155,7 +173,7 @@ def reconcile(spark: SparkSession, lake: str, catalog: Catalog, sources, d1=None
     # Written as a small table (one row per day) to the lake's run folder: the
     # report must not change when the tombstones are appended, and no cached
     # plan over day files may outlive the next publish.
-    path = path or f"{lake.rstrip('/')}/staging/reconcile-{next_seq()}"
+    path = path or f"{lake.rstrip('/')}/staging/reconcile-{uuid.uuid4().hex[:12]}"
     reconcile_frame(spark, lake, catalog, sources, d1, d2).write.parquet(path)
     report = spark.read.parquet(path)
     stale = report.where("removed").select("source", DAY, F.lit(None).cast("long").alias("row_count"),

@@ -5,9 +5,9 @@ jobs, whatever the number of days:
 
 1. text scan + hash aggregate -> one row per part file (header, line count,
    width check); no data row is shuffled;
-2. the same scan again, header lines removed by a join with the part table
-   (broadcast only below a checked file count), cells renamed by the catalog
-   (B1), ONE staged write for all days;
+2. the text again, without the lines equal to their day's header (a day's parts share one header), cells renamed
+   by the catalog (B1), ONE staged write for all days; a part in which its header's text comes again as a row
+   gets those rows back by a small second write.  Nothing ties the splits of the two passes together;
 3. staged files counted back per day (footers only) and compared with the
    text count (E3);
 4. verified days published by a folder move per day; journal marks per batch.
@@ -16,7 +16,6 @@ jobs, whatever the number of days:
 from __future__ import annotations
 
 import datetime as _dt
-import threading
 import uuid
 from dataclasses import dataclass
 
@@ -29,13 +28,12 @@ from daylake.plans import journal
 from daylake.plans.select import DEFAULT_HOT_WINDOW_DAYS, select_days
 from daylake.sinks import fs
 from daylake.sinks.raw_store import (publish_days, staged_counts, storage_mapping,
-                                     write_empty_days, write_staged)
+                                     sweep_days, write_empty_days, write_staged)
 from daylake.sources.catalog import Catalog
-from daylake.sources.landing import (cells, day_expectations, day_in, list_parts, part_files,
-                                     part_stats, scan_lines, source_dir, tab_count)
+from daylake.sources.landing import (cells, day_expectations, day_in, header_texts, lines_of,
+                                     open_parts, part_stats, parts_per_day, source_dir, tab_count)
 
 DAY = "load_date"
-BROADCAST_FILES_MAX = 200_000  # part-table rows (path + two longs) safe to broadcast
 BATCH_FILES_MAX = 100_000      # part files per load batch (bounds driver lists and staging)
 
 REPORT_SCHEMA = ("source string, load_date date, n_parts long, expected long, actual long, "
@@ -64,7 +62,7 @@ def day_batches(per_day: dict[str, int], days: list[str], max_files: int) -> lis
 
 def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
               days, *, run_id: str | None = None, max_files: int = BATCH_FILES_MAX,
-              rebalance: bool = False) -> DataFrame:
+              rebalance: bool = False, lookup: tuple[str, ...] = ()) -> DataFrame:
     """K4 for many days at once; returns the per-day report (one row per requested day).
 
     Days whose part files exceed ``max_files`` are loaded in several batches,
@@ -77,28 +75,28 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
     ``rebalance=True`` shuffles rows by day before the write (AQE sizes the
     files): one shuffle more, for sources whose exports come as many tiny parts.
     By default the write is map-only and files follow the input splits.
+    ``lookup``: columns that get Bloom filters (see ``file_stats.lookup``).
     """
     days = sorted({str(d) for d in days})
     if not days:
         return _report(spark, [])
     catalog.fields_for(source)
-    batches: list[tuple[list[str], list[str] | None]] = [(days, None)]
-    if fs.exists(spark, source_dir(landing, source)):
-        # One listing; only above the bound a per-day count plans the batches.
-        listed = list_parts(spark, landing, source, days, limit=max_files)
-        if len(listed) <= max_files:
-            batches = [(days, sorted(p for p, _ in listed))]
+    batches: list[tuple[list[str], DataFrame | None]] = [(days, None)]
+    parts = open_parts(spark, landing, source, days)
+    if parts is not None:
+        # The one listing plans the batches; a single batch reads it, too.
+        per_day = parts_per_day(parts)
+        if sum(per_day.get(d, 0) for d in days) <= max_files:
+            batches = [(days, parts)]
         else:
-            per_day = {str(r[DAY]): r["count"] for r in
-                       spark.read.format("binaryFile").load(source_dir(landing, source))
-                       .where(day_in(days)).groupBy(DAY).count().collect()}
             batches = [(b, None) for b in day_batches(per_day, days, max_files)]
+    sweep_days(spark, lake, source)
     reports = []
     errors = []
-    for i, (b, f) in enumerate(batches):
+    for i, (b, opened) in enumerate(batches):
         try:
-            reports.append(_load_batch(spark, lake, landing, catalog, source, b, files=f,
-                                       run_id=f"{run_id}-{i}" if run_id else None, rebalance=rebalance))
+            reports.append(_load_batch(spark, lake, landing, catalog, source, b, parts=opened,
+                                       run_id=f"{run_id}-{i}" if run_id else None, rebalance=rebalance, lookup=lookup))
         except Exception as exc:  # noqa: BLE001 - raised again below
             errors.append(exc)
             reports.append(_report(spark, [(source, _dt.date.fromisoformat(d), 0, None, None, "failed",
@@ -113,8 +111,8 @@ def load_days(spark: SparkSession, lake: str, landing: str, catalog: Catalog, so
 
 
 def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
-                days: list[str], *, files: list[str] | None = None,
-                run_id: str | None = None, rebalance: bool = False) -> DataFrame:
+                days: list[str], *, parts: DataFrame | None = None,
+                run_id: str | None = None, rebalance: bool = False, lookup: tuple[str, ...] = ()) -> DataFrame:
     """One batch: loading marks -> checks -> staged write -> row check -> publish -> marks.
 
     Any error marks every day of the batch ``failed`` and is raised again (days
@@ -124,48 +122,22 @@ def _load_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
     run_id = run_id or uuid.uuid4().hex[:12]
     run_dir = f"{lake.rstrip('/')}/staging/{run_id}"
     journal.mark(spark, lake, source, days, journal.LOADING)
-    _pin_splits(spark)
     try:
-        return _run_batch(spark, lake, landing, catalog, source, days, files, run_dir, rebalance)
+        return _run_batch(spark, lake, landing, catalog, source, days, parts, run_dir, rebalance, lookup)
     except Exception:
         journal.mark(spark, lake, source, days, journal.FAILED)
         raise
     finally:
-        _unpin_splits(spark)
         fs.delete(spark, run_dir)
 
 
-# Both passes of a load must cut the same files into the same splits (header
-# lines are found by their per-split order id).  Spark's split size depends on
-# the cluster's current parallelism, which moves when executors come and go,
-# so it is pinned while any load runs (only where the session leaves it unset).
-_PIN_KEY = "spark.sql.files.minPartitionNum"
-_pin_lock = threading.Lock()
-_pins = {"count": 0, "owned": False}
-
-
-def _pin_splits(spark: SparkSession) -> None:
-    with _pin_lock:
-        if _pins["count"] == 0 and spark.conf.get(_PIN_KEY, None) is None:
-            spark.conf.set(_PIN_KEY, str(max(1, spark.sparkContext.defaultParallelism)))
-            _pins["owned"] = True
-        _pins["count"] += 1
-
-
-def _unpin_splits(spark: SparkSession) -> None:
-    with _pin_lock:
-        _pins["count"] -= 1
-        if _pins["count"] == 0 and _pins["owned"]:
-            spark.conf.unset(_PIN_KEY)
-            _pins["owned"] = False
-
-
 def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
-               days: list[str], files: list[str] | None, run_dir: str,
-               rebalance: bool = False) -> DataFrame:
+               days: list[str], parts: DataFrame | None, run_dir: str,
+               rebalance: bool = False, lookup: tuple[str, ...] = ()) -> DataFrame:
     stage = f"{run_dir}/{source}"
 
-    if not fs.exists(spark, source_dir(landing, source)):
+    parts = parts if parts is not None else open_parts(spark, landing, source, days)
+    if parts is None:
         rows = [(source, _dt.date.fromisoformat(d), 0, None, None, "failed", "no landed parts")
                 for d in days]
         journal.mark(spark, lake, source, days, journal.FAILED)
@@ -175,13 +147,12 @@ def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
     # Written once to the run's folder (shared storage): later steps read the
     # small table instead of scanning the text again, and lineage is cut.
     parts_path = f"{run_dir}/_parts/{source}"
-    if files is None:
-        files = part_files(spark, landing, source, days)
-    per_day = {}
-    if files:
-        part_stats(scan_lines(spark, landing, source, files=files)).write.mode("overwrite").parquet(parts_path)
-        stats = spark.read.parquet(parts_path)
-        per_day = {str(r[DAY]): r for r in day_expectations(stats).collect()}
+    part_stats(lines_of(parts)).write.mode("overwrite").parquet(parts_path)
+    stats = spark.read.parquet(parts_path)
+    per_day = {str(r[DAY]): r for r in day_expectations(stats).collect()}
+    # One part for each header that a whole day shares (mostly one in all).
+    samples = {r["header_key"]: r["sample"] for r in per_day.values() if r["n_headers"] == 1}
+    texts = header_texts(spark, landing, source, samples)
     # A landed day without a single line (all its parts are empty) is a day of 0 rows.
     blank: list[str] = []
 
@@ -195,9 +166,9 @@ def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
         result[d] = res
         if r is None:
             folder = f"{source_dir(landing, source)}/{DAY}={d}"
-            parts = [n for n in fs.list_children(spark, folder) if not n.startswith(("_", "."))]
-            if parts:
-                res["n_parts"], res["expected"] = len(parts), 0
+            names = [n for n in fs.list_children(spark, folder) if not n.startswith(("_", "."))]
+            if names:
+                res["n_parts"], res["expected"] = len(names), 0
                 blank.append(d)
             else:
                 res["error"] = "no landed parts"
@@ -212,69 +183,65 @@ def _run_batch(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
         if not r["width_ok"]:
             res["error"] = "a row is not as wide as its header"
             continue
-        if r["header"] not in headers:
+        header = texts[r["header_key"]]
+        if header not in headers:
             try:
-                mappings.append(storage_mapping(catalog, source, r["header"].split("\t")))
+                mappings.append(storage_mapping(catalog, source, header.split("\t")))
             except ValueError as exc:
                 res["error"] = str(exc)
                 continue
-            headers.append(r["header"])
+            headers.append(header)
         good.append(d)
 
     wide = [d for d in days if result[d]["error"] == "a row is not as wide as its header"]
     if wide:
-        # Rare path: one small job names an example row per failed day (broadcast
-        # bound: one row per part file of the failed days, at most BATCH_FILES_MAX).
-        stats_w = stats.where(day_in(wide)).select("file", F.col("header").alias("h"))
-        tabs, htabs = tab_count(F.col("line")), tab_count(F.col("h"))
-        examples = (scan_lines(spark, landing, source, files=files).where(day_in(wide))
-                    .join(F.broadcast(stats_w), "file").where(tabs != htabs)
+        # Rare path: one small job names an example row per failed day.
+        shown = [h for h in {texts[per_day[d]["header_key"]] for d in wide}]
+        of_day = spark.createDataFrame([(d, shown.index(texts[per_day[d]["header_key"]])) for d in wide], "load_date string, hid int")
+        of_day = of_day.select(F.col(DAY).cast("date").alias(DAY), "hid")
+        width = F.element_at(F.array(*[F.lit(h.count("\t")) for h in shown]), F.col("hid") + 1)
+        examples = (lines_of(parts, ordered=False).where(day_in(wide))
+                    .join(F.broadcast(of_day), DAY).where(tab_count(F.col("line")) != width)
                     .groupBy(DAY).agg(F.min("line").alias("example")).collect())
         for r in examples:
             result[str(r[DAY])]["error"] += f"; e.g. {r['example'][:200]!r}"
 
     if good:
-        # Pass 2: same scan (same files, same splits, same ids), header lines dropped.
-        # Header id per day (all parts of a good day share one header), so the
-        # broadcast side holds only (file, header row id, header id); bound: one
-        # row per day of the batch.
+        # Pass 2.  All parts of a good day share one header: only (day, header id) is broadcast, a row per day of the batch.
         day_hid = spark.createDataFrame(
-            [(d, headers.index(per_day[d]["header"])) for d in good], "load_date string, hid int"
+            [(d, headers.index(texts[per_day[d]["header_key"]])) for d in good], "load_date string, hid int"
         ).select(F.col(DAY).cast("date").alias(DAY), "hid")
-        part_table = (stats.where(day_in(good)).select(DAY, "file", "header_rid")
-                      .join(F.broadcast(day_hid), DAY).select("file", "header_rid", "hid"))
-        # Batches hold at most BATCH_FILES_MAX part files, below the broadcast
-        # bound; only a single day with more parts than that falls back to a
-        # shuffle join on the file path.
-        n_files = sum(per_day[d]["n_parts"] for d in good)
-        if n_files <= BROADCAST_FILES_MAX:
-            part_table = F.broadcast(part_table)
-        # Guard of the row ids: what is dropped must be the header, once for every part.
-        is_header = F.col("rid") == F.col("header_rid")
-        header_text = F.element_at(F.array(*[F.lit(h) for h in headers]), F.col("hid").cast("int") + 1)
+        header_text = F.element_at(F.array(*[F.lit(h) for h in headers]), F.col("hid") + 1)
+        is_header = F.col("line") == header_text
+        lines = lines_of(parts, ordered=False).where(day_in(good)).join(F.broadcast(day_hid), DAY)
         dropped = Observation()
-        rows = (scan_lines(spark, landing, source, files=files)
-                .where(day_in(good))
-                .join(part_table, "file")
-                .observe(dropped, F.count_if(is_header).alias("headers"),
-                         F.count_if(is_header & (F.col("line") != header_text)).alias("others"))
-                .where(~is_header)
-                .select(DAY, "hid", cells(F.col("line")).alias("cells")))
-        out = []
-        for f in catalog.fields_for(source):
-            expr = None
-            for i, m in enumerate(mappings):
-                if f.storage_name in m:
-                    val = F.get(F.col("cells"), m[f.storage_name])
-                    expr = (F.when(F.col("hid") == i, val) if expr is None
-                            else expr.when(F.col("hid") == i, val))
-            out.append((expr if expr is not None else F.lit(None)).cast("string").alias(f.storage_name))
-        staged = rows.select(*out, DAY)
+        rows = lines.observe(dropped, F.count_if(is_header).alias("headers")).where(~is_header)
+
+        def stored(lines: DataFrame) -> DataFrame:
+            split = lines.select(DAY, "hid", cells(F.col("line")).alias("cells"))
+            out = []
+            for f in catalog.fields_for(source):
+                expr = None
+                for i, m in enumerate(mappings):
+                    if f.storage_name in m:
+                        val = F.get(F.col("cells"), m[f.storage_name])
+                        expr = (F.when(F.col("hid") == i, val) if expr is None
+                                else expr.when(F.col("hid") == i, val))
+                out.append((expr if expr is not None else F.lit(None)).cast("string").alias(f.storage_name))
+            return split.select(*out, DAY)
+
+        staged = stored(rows)
         if rebalance:
             staged = staged.hint("rebalance", DAY)
-        write_staged(staged, stage)
-        if dropped.get["others"] or dropped.get["headers"] < n_files:
+        write_staged(staged, stage, lookup=lookup)
+        n_files = sum(per_day[d]["n_parts"] for d in good)
+        if dropped.get["headers"] < n_files:
             raise RuntimeError(f"{source}: the second pass did not find the headers of the first")
+        if dropped.get["headers"] > n_files:
+            # Rare path: some part holds its header's text again.  All but the first of each part are rows like others.
+            again = (lines.where(is_header).groupBy(DAY, "hid", "file").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                     .select(DAY, "hid", header_text.alias("line"), F.explode(F.sequence(F.lit(2).cast("long"), F.col("n")))))
+            write_staged(stored(again), stage, mode="append", lookup=lookup)
 
     if good or blank:
         write_empty_days(spark, catalog, source, stage,
@@ -356,7 +323,7 @@ def update_all(spark: SparkSession, lake: str, landing: str, catalog: Catalog, s
     sources do not leave a large cluster idle.
     """
     def one(s):
-        start = journal.next_seq()
+        start = journal.last_seq(spark, lake)
         try:
             r = ingest_range(spark, lake, landing, catalog, s, date1, date2, **kw)
             return (s, len(r.loaded_days), len(r.skipped_days), len(r.failed_days), r.total_rows, None)

@@ -20,8 +20,10 @@ from daylake.operators import profile as prof
 from daylake.operators import result as res
 from daylake.operators.intervals import interval_join
 from daylake.operators.reshape import pivot, unpivot
-from daylake.operators.relations import array_sum, link_array_to_key, zipped_rows
+from daylake.operators.relations import (array_sum, link_array_to_key, read_linked, write_linked,
+                                         zipped_rows)
 from daylake.operators.sessions import session_paths, transitions
+from daylake.operators.windows import looking_back
 from daylake.plans import file_stats, journal
 from daylake.plans.load import ingest_range, load_days, update_all
 from daylake.plans.select import select_days
@@ -119,6 +121,37 @@ def q_visit_hits_join(spark, sf):
         F.round(F.coalesce(F.sum("q"), F.lit(0.0)), 2).alias("qty"))
 
 
+def q_visit_hits_bucketed(spark, sf):
+    """D1 laid out once: both sides bucketed by the id, joined with no shuffle."""
+    def build():
+        from daylake.session import new_work_dir
+        v = base_views(spark, sf, ["orders", "lineitem"])
+        per_id = v["lineitem"].groupBy("line_id").agg(F.count("l_quantity").alias("n"), F.sum("l_quantity").alias("q"))
+        path = new_work_dir(spark, "linked")
+        tag = path.rsplit("-", 1)[1]
+        tables = (f"visits_{tag}", f"hits_{tag}")
+        write_linked(v["orders"], "line_ids", per_id, "line_id", path, tables,
+                     buckets=int(spark.conf.get("spark.sql.shuffle.partitions")), keep=["o_orderkey"])
+        return tables
+    linked = read_linked(spark, memo(spark, ("linked", sf), build), "line_id")
+    return linked.groupBy("o_orderkey").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_hits"),
+        F.round(F.coalesce(F.sum("q"), F.lit(0.0)), 2).alias("qty"))
+
+
+def q_lookup_hits(spark, sf):
+    """D1 by key: the orders of 100 keys, then their lines by the ids that these hold."""
+    lake = base_lake(spark, sf, ["orders", "lineitem"])
+    for s in ("orders", "lineitem"):
+        file_stats.refresh(spark, lake.lake, lake.catalog, s)
+    args = (spark, lake.lake, lake.catalog)
+    visits = file_stats.lookup(*args, "orders", "o_orderkey", range(100, 200))
+    # The ids of a few orders: a bounded list, told to the second lookup.
+    ids = [r[0] for r in visits.select(F.explode("line_ids")).distinct().limit(file_stats.MAX_VALUES + 1).collect()]
+    hits = file_stats.lookup(*args, "lineitem", "line_id", ids)
+    return hits.select(F.col("line_id").cast("string").alias("line_id"), "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
+
+
 def q_typed_bad_cells(spark, sf):
     """Garbled cells (error events: value 'abc'; purchase events: date 'not-a-date') read as NULL."""
     def build():
@@ -532,6 +565,15 @@ def q_window_ranks(spark, sf):
                      F.round(F.sum("value").over(w.rowsBetween(-2, 0)), 4).alias("last_three"))
 
 
+def q_window_sliced(spark, sf):
+    """F: the same figures with a user's events cut into days, what a day must know of earlier ones carried over."""
+    ev = base_views(spark, sf, ["events"])["events"]
+    told = looking_back(ev, "user_id", "ts", ["event_id"], ["event_type", "value"], 2)
+    earlier = F.aggregate("previous", F.lit(0.0), lambda a, x: a + x["value"])
+    return told.select("event_id", F.col("running_no").alias("n"), F.try_element_at("previous", F.lit(-1))["event_type"].alias("before"),
+                       F.round(earlier + F.col("value"), 4).alias("last_three"))
+
+
 def q_set_operations(spark, sf):
     """H4: union, intersect and except over typed views, with multiplicities."""
     base_views(spark, sf, ["events", "orders"])
@@ -563,6 +605,18 @@ def q_page_rows(spark, sf):
     return res.page(o, 100, offset=100).rows
 
 
+def q_page_seek(spark, sf):
+    """G1: all pages of the orders, each sought by the last key of the one before."""
+    o = _orders(spark, sf).select("o_custkey", "o_orderkey", "o_totalprice")
+    pages, token, n = None, None, 0
+    while n == 0 or token is not None:
+        p = res.page_after(o, ["o_custkey", "o_orderkey"], res.MAX_LIMIT, token)
+        n, token = n + 1, p.token
+        told = p.rows.withColumn("page", F.lit(n))
+        pages = told if pages is None else pages.unionByName(told)
+    return pages
+
+
 def q_sample_n(spark, sf):
     """The sample's size, and how many of its rows are rows of the view: any five are right."""
     o = _orders(spark, sf).select("o_orderkey", "o_totalprice")
@@ -639,6 +693,8 @@ QUERIES = {
     "typed_arrays_str": q_typed_arrays_str,
     "zipped_arrays": q_zipped_arrays,
     "visit_hits_join": q_visit_hits_join,
+    "visit_hits_bucketed": q_visit_hits_bucketed,
+    "lookup_hits": q_lookup_hits,
     "typed_bad_cells": q_typed_bad_cells,
     "typed_int_rounding": q_typed_int_rounding,
     "strict_dates": q_strict_dates,
@@ -677,10 +733,12 @@ QUERIES = {
     "update_summary": q_update_summary,
     "load_edge_days": q_load_edge_days,
     "window_ranks": q_window_ranks,
+    "window_sliced": q_window_sliced,
     "set_operations": q_set_operations,
     "grouping_sets": q_grouping_sets,
     "page_meta": q_page_meta,
     "page_rows": q_page_rows,
+    "page_seek": q_page_seek,
     "sample_n": q_sample_n,
     "export_counts": q_export_counts,
     "export_roundtrip": q_export_roundtrip,

@@ -6,6 +6,7 @@ staged copy) and for listing; data is always read and written by Spark jobs.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -78,3 +79,23 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.write(bytearray(data))
     finally:
         out.close()
+
+
+def create_new(spark: SparkSession, path: str, content: str) -> bool:
+    """Put a small file if there is none of this name; False if another writer was first.
+
+    The file is read back: on a file system whose exclusive create is no single step the last writer wins,
+    and the other one sees that.
+    """
+    fs, p = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as taken:
+        if fs.exists(p):
+            return False
+        raise taken
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
+    return read_text(spark, path) == content

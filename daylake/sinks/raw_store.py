@@ -2,8 +2,8 @@
 
 A load writes all selected days of a source in ONE job into a staging folder,
 the row check (E3) reads the staged files back, and only verified days are
-published: each day folder replaces the old one by a folder move, so other
-days are never touched and a failed day keeps its former state.
+published: a new day by a folder move, a day that replaces another as a further version whose marker is put
+last, so readers never miss a day, other days are never touched and a failed day keeps its former state.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from daylake.sinks import fs
 from daylake.sources.catalog import Catalog
-from daylake.sources.raw import DAY, raw_dir
+from daylake.sources.raw import DAY, current_versions, raw_dir, versions_dir
 
 # Raw days are text only: zstd keeps them small at rest (reads are IO bound).
 RAW_COMPRESSION = "zstd"
@@ -45,13 +45,22 @@ def assert_all_strings(df: DataFrame) -> None:
         raise TypeError(f"raw store takes strings only; typed columns: {bad}")
 
 
-def write_staged(df: DataFrame, stage: str) -> None:
-    """One distributed write for all days; rows stay in their input splits (no shuffle)."""
+def write_staged(df: DataFrame, stage: str, mode: str = "overwrite", lookup: tuple[str, ...] = ()) -> None:
+    """One distributed write for all days; rows stay in their input splits (no shuffle).
+
+    ``lookup`` names columns by whose values single rows are asked: they get Bloom filters, as large as a file's
+    distinct values need (a multiple of candidates is filled and the smallest that fits is kept).
+    """
     assert_all_strings(df)
     # The staging folder is new for every run: a plain (static) write, no
     # second staging level of dynamic partition overwrite.
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .option("compression", RAW_COMPRESSION).partitionBy(DAY).parquet(stage))
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static").option("compression", RAW_COMPRESSION)
+    for c in lookup:
+        # Candidates from 512 bytes to a megabyte.
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.candidates.number#{c}", "12")
+    if lookup:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    writer.partitionBy(DAY).parquet(stage)
 
 
 def write_empty_days(spark: SparkSession, catalog: Catalog, source: str, stage: str,
@@ -80,7 +89,7 @@ def staged_counts(spark: SparkSession, catalog: Catalog, source: str, stage: str
 
 
 def publish_days(spark: SparkSession, lake: str, source: str, stage: str, days: list[str]) -> None:
-    """Move each verified staged day over its raw folder (per-day replace).
+    """Put each verified staged day in place (per-day replace).
 
     First load of a source (no raw folder yet, every staged day verified):
     the whole staging folder becomes the raw folder in one move.
@@ -90,29 +99,47 @@ def publish_days(spark: SparkSession, lake: str, source: str, stage: str, days:
     root = raw_dir(lake, source)
     wanted = {f"{DAY}={d}" for d in days}
     staged = {n for n in fs.list_children(spark, stage) if n.startswith(f"{DAY}=")}
-    if not fs.exists(spark, root) and staged == wanted:
+    versions = current_versions(spark, lake, source)
+    if not versions and not fs.exists(spark, root) and staged == wanted:
         fs.mkdirs(spark, root.rsplit("/", 1)[0])
         fs.rename(spark, stage, root)
         return
-    existing = set(fs.list_children(spark, root))
+    existing = {*fs.list_children(spark, root), *versions}
     fs.mkdirs(spark, root)
     with ThreadPoolExecutor(max_workers=PUBLISH_THREADS) as pool:
         # Every day is tried; the first failure is raised when all are done.
-        for done in [pool.submit(_publish_day, spark, stage, root, n, n in existing) for n in sorted(wanted)]:
+        for done in [pool.submit(_publish_day, spark, lake, source, stage, n, n in existing) for n in sorted(wanted)]:
             done.result()
 
 
-def _publish_day(spark: SparkSession, stage: str, root: str, name: str, replaces: bool) -> None:
-    """Put a staged day in place.  The former day is set aside under a hidden name (which reads
-    skip) until the new one is there, and put back if that fails."""
+def _publish_day(spark: SparkSession, lake: str, source: str, stage: str, name: str, replaces: bool) -> None:
+    """Put a staged day in place.  A new day is one move.  A day that replaces another is moved beside it as a further
+    version, which no reader sees until its marker is there; the former one is dropped by the next load (:func:`sweep_days`)."""
     if not replaces:
-        fs.rename(spark, f"{stage}/{name}", f"{root}/{name}")
+        fs.rename(spark, f"{stage}/{name}", f"{raw_dir(lake, source)}/{name}")
         return
-    aside = f"{root}/.former-{name}-{uuid.uuid4().hex[:8]}"
-    fs.rename(spark, f"{root}/{name}", aside)
-    try:
-        fs.rename(spark, f"{stage}/{name}", f"{root}/{name}")
-    except Exception:
-        fs.rename(spark, aside, f"{root}/{name}")
-        raise
-    fs.delete(spark, aside)
+    root = versions_dir(lake, source)
+    taken = [int(n[2:]) for n in fs.list_children(spark, f"{root}/{name}") if n.startswith("v=") and n[2:].isdigit()]
+    n = max(taken, default=0) + 1
+    fs.mkdirs(spark, f"{root}/{name}")
+    fs.rename(spark, f"{stage}/{name}", f"{root}/{name}/v={n}")
+    if not fs.create_new(spark, f"{root}/_current/{name}@{n}", uuid.uuid4().hex):
+        raise IOError(f"{source} {name}: another writer has published version {n}")
+
+
+def sweep_days(spark: SparkSession, lake: str, source: str) -> int:
+    """Drop what no reader asks for any more: former days, their markers, and versions that a killed publish left
+    without a marker.  Run when a load of the source begins; returns how many folders and markers went."""
+    root, versions = raw_dir(lake, source), current_versions(spark, lake, source)
+    gone = [f"{root}/{n}" for n in fs.list_children(spark, root) if n in versions]
+    above = versions_dir(lake, source)
+    for name in fs.list_children(spark, above):
+        if name.startswith(f"{DAY}="):
+            gone += [f"{above}/{name}/{v}" for v in fs.list_children(spark, f"{above}/{name}") if v != f"v={versions.get(name)}"]
+    for mark in fs.list_children(spark, f"{above}/_current"):
+        day, _, n = mark.rpartition("@")
+        if day in versions and n != str(versions[day]):
+            gone.append(f"{above}/_current/{mark}")
+    for path in gone:
+        fs.delete(spark, path)
+    return len(gone)

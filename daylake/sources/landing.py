@@ -84,87 +84,108 @@ def write_landing(df: DataFrame, landing_root: str, source: str, catalog: Catalo
         .csv(source_dir(landing_root, source)))
 
 
-def part_files(spark: SparkSession, landing_root: str, source: str, days) -> list[str]:
-    """The part files of the given days, listed once (one row per file, no content read).
+def open_parts(spark: SparkSession, landing_root: str, source: str, days=None,
+               files: list[str] | None = None) -> DataFrame | None:
+    """The part files of some days (default: all), or the files named, as raw lines; None if no day has landed.
 
-    Both passes of a load read exactly this list, so a part landing during the
-    load cannot change what (or how) the second pass reads.
+    The files are listed here, once: whatever is read from this frame later reads exactly these, so a part that
+    lands meanwhile is left.  A few of the landed days are listed by their folders, most of them as a whole.
     """
-    return sorted(p for p, _ in list_parts(spark, landing_root, source, days))
-
-
-def list_parts(spark: SparkSession, landing_root: str, source: str, days,
-               limit: int | None = None) -> list[tuple[str, str]]:
-    """``(path, day)`` of the part files of the given days (at most ``limit`` + 1)."""
     root = source_dir(landing_root, source)
-    day_in(days)  # checks the form of the days
-    # Only the requested day folders are listed, not the whole landing tree.
-    wanted = {f"{DAY}={d}" for d in days}
-    folders = sorted(wanted.intersection(fs.list_children(spark, root)))
-    if not folders:
-        return []
-    listing = (spark.read.format("binaryFile").option("basePath", root)
-               .load([f"{root}/{n}" for n in folders]).select("path", F.col(DAY).cast("string")))
-    if limit is not None:
-        listing = listing.limit(limit + 1)
-    return [(r[0], r[1]) for r in listing.collect()]
-
-
-def scan_lines(spark: SparkSession, landing_root: str, source: str, days=None,
-               files: list[str] | None = None) -> DataFrame:
-    """A3: non-empty lines with their part file, split start and a per-split order id."""
     reader = (spark.read.schema(T.StructType([T.StructField("value", T.StringType()),
                                               T.StructField(DAY, T.DateType())]))
-              .option("lineSep", "\n"))
+              .option("lineSep", "\n").option("basePath", root))
     if files is not None:
-        lines = reader.option("basePath", source_dir(landing_root, source)).text(files)
-    else:
-        lines = reader.text(source_dir(landing_root, source))
+        return reader.text(files)
+    landed = [n for n in fs.list_children(spark, root) if n.startswith(f"{DAY}=")]
+    wanted = sorted({f"{DAY}={d}" for d in days}.intersection(landed)) if days is not None else landed
     if days is not None:
-        lines = lines.where(day_in(days))
-    return (lines.select(
+        day_in(days)  # checks the form of the days
+    if not wanted:
+        return None
+    if len(wanted) <= len(landed) // 2:
+        return reader.text([f"{root}/{n}" for n in wanted])
+    return reader.text(root) if days is None else reader.text(root).where(day_in(days))
+
+
+def parts_per_day(parts: DataFrame) -> dict[str, int]:
+    """How many part files each day has, from the listing that the frame holds (it may list further days)."""
+    counts: dict[str, int] = {}
+    for path in parts.inputFiles():
+        day = path.rpartition(f"/{DAY}=")[2].split("/", 1)[0]
+        counts[day] = counts.get(day, 0) + 1
+    return counts
+
+
+def lines_of(parts: DataFrame, ordered: bool = True) -> DataFrame:
+    """A3: non-empty lines with their part file; ``ordered`` adds the split's start and an order id inside the split."""
+    extra = [F.col("_metadata.file_block_start").alias("blk"), F.monotonically_increasing_id().alias("rid")] if ordered else []
+    return (parts.select(
                 F.col(DAY),
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("blk"),
-                F.monotonically_increasing_id().alias("rid"),
+                F.col("_metadata.file_path").alias("file"), *extra,
                 F.expr("trim(TRAILING '\\r' FROM value)").alias("line"))
             .where(F.col("line") != ""))
 
 
+def scan_lines(spark: SparkSession, landing_root: str, source: str, days=None,
+               files: list[str] | None = None, ordered: bool = True) -> DataFrame:
+    """:func:`lines_of` the parts that have landed."""
+    return lines_of(open_parts(spark, landing_root, source, days, files), ordered)
+
+
 def tab_count(c: Column) -> Column:
     """Tabs in a line, by character mapping (no regex engine per line)."""
     return F.length(c) - F.length(F.translate(c, "\t", ""))
 
 
+_BITS = 30
+_LOW = (1 << _BITS) - 1
+
+
 def part_stats(lines: DataFrame) -> DataFrame:
-    """A4/A5/E1 per part file, one hash aggregate.
+    """A4/A5/E1 per part file, one hash aggregate of fixed-width values (no line is sorted or kept).
 
-    The header is the first non-empty line of the split that starts the file
-    (ids grow in read order inside a split).  Width is checked as "every line
-    of the part, header included, has the same number of tabs", which equals
-    "every row is as wide as the header".
+    The header is the first non-empty line of the split that starts the file (ids grow in read order
+    inside a split); it is told by 60 bits of its hash, each half carried below the line's place, so the least
+    value is the first line's.  Width is checked as "every line of the part, header included, has the
+    same number of tabs", which equals "every row is as wide as the header".
     """
     tabs = tab_count(F.col("line"))
-    first = F.min(F.when(F.col("blk") == 0, F.struct(F.col("rid"), F.col("line"))))
+    place = F.shiftleft(F.col("rid").bitwiseAND((1 << 33) - 1), _BITS)
+    hashed = F.xxhash64("line")
+
+    def first(shift: int) -> Column:
+        return F.min(F.when(F.col("blk") == 0, place.bitwiseOR(F.shiftrightunsigned(hashed, shift).bitwiseAND(_LOW))))
+
     return (lines.groupBy(DAY, "file")
-            .agg(F.count(F.lit(1)).alias("n_lines"), first.alias("head"),
+            .agg(F.count(F.lit(1)).alias("n_lines"), first(0).alias("low"), first(_BITS).alias("high"),
                  F.min(tabs).alias("min_tabs"), F.max(tabs).alias("max_tabs"),
                  F.bool_and(F.is_valid_utf8("line")).alias("text_ok"))
             .select(DAY, "file", "n_lines",
-                    F.col("head.rid").alias("header_rid"), F.col("head.line").alias("header"),
+                    F.shiftleft(F.col("high").bitwiseAND(_LOW), _BITS).bitwiseOR(F.col("low").bitwiseAND(_LOW)).alias("header_key"),
                     F.greatest(F.lit(0), F.col("n_lines") - 1).alias("rows"),
                     (F.col("min_tabs") == F.col("max_tabs")).alias("width_ok"), "text_ok"))
 
 
 def day_expectations(stats: DataFrame) -> DataFrame:
-    """Expected rows per day from the raw text, plus the day-level checks."""
+    """Expected rows per day from the raw text, plus the day-level checks; ``sample``: its shortest part."""
     return (stats.groupBy(DAY)
             .agg(F.count(F.lit(1)).alias("n_parts"), F.sum("rows").alias("expected"),
-                 F.count_distinct("header").alias("n_headers"),
-                 F.min(F.col("header")).alias("header"),
+                 F.count_distinct("header_key").alias("n_headers"),
+                 F.min("header_key").alias("header_key"), F.min_by("file", "n_lines").alias("sample"),
                  F.bool_and("width_ok").alias("width_ok"), F.bool_and("text_ok").alias("text_ok")))
 
 
+def header_texts(spark: SparkSession, landing_root: str, source: str, samples: dict[int, str]) -> dict[int, str]:
+    """The header's text for each header key, read from one part that has it."""
+    if not samples:
+        return {}
+    first = F.min(F.struct("rid", "line")).alias("head")
+    lines = scan_lines(spark, landing_root, source, files=sorted(set(samples.values()))).where("blk = 0")
+    by_file = {r["file"]: r["head"]["line"] for r in lines.groupBy("file").agg(first).collect()}
+    return {k: by_file[f] for k, f in samples.items()}
+
+
 def write_raw_part(spark: SparkSession, landing_root: str, source: str, day: str,
                    lines: list[str]) -> None:
     """Add one part file with the given lines (header included) to a landed day.

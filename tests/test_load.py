@@ -142,13 +142,13 @@ def test_part_landing_during_load_is_not_read(spark, mini_catalog, lake_dirs, mo
     lake, landing = lake_dirs
     for d in ("2026-05-20", "2026-05-21"):
         write_part(landing, "hits", d, "a.tsv", f"{HH}\n1\t[]\t{d}\n2\t[]\t{d}\n")
-    real = L.list_parts
+    real = L.open_parts
 
     def listed_then_more_lands(*a, **k):
         files = real(*a, **k)
         write_part(landing, "hits", "2026-05-20", "late.tsv", f"{HH}\n9\t[]\t2026-05-20\n" * 3)
         return files
-    monkeypatch.setattr(L, "list_parts", listed_then_more_lands)
+    monkeypatch.setattr(L, "open_parts", listed_then_more_lands)
     rep = {str(r["load_date"]): r for r in load_days(
         spark, lake, landing, mini_catalog, "hits", ["2026-05-20", "2026-05-21"]).collect()}
     assert [(rep[d]["status"], rep[d]["actual"]) for d in sorted(rep)] == [("loaded", 2), ("loaded", 2)]
@@ -197,21 +197,41 @@ def test_failure_marks_days_failed_and_cleans_staging(spark, mini_catalog, lake_
     assert fs.list_children(spark, f"{lake}/staging") == []
 
 
-def test_split_layout_is_pinned_during_a_load(spark, mini_catalog, lake_dirs, monkeypatch):
+def test_passes_may_split_files_differently(spark, mini_catalog, lake_dirs, monkeypatch):
+    """Headers are found again whatever the splits of the second pass; a header's text among the rows stays a row."""
     from daylake.plans import load as L
     lake, landing = lake_dirs
-    write_part(landing, "hits", "2026-05-20", "a.tsv", f"{HH}\n1\t[]\t2026-05-20\n")
-    seen = []
-    real = L.part_stats
-
-    def spy(lines):
-        seen.append(spark.conf.get("spark.sql.files.minPartitionNum", None))
-        return real(lines)
-    monkeypatch.setattr(L, "part_stats", spy)
-    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
-    load_days(spark, lake, landing, mini_catalog, "hits", ["2026-05-20"])
-    assert seen == [str(spark.sparkContext.defaultParallelism)]
-    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+    for k in range(4):
+        body = "".join(f"{k * 1000 + i}\t[]\t2026-05-20\n" for i in range(400))
+        write_part(landing, "hits", "2026-05-20", f"p{k}.tsv", f"\n\r\n{HH}\n{body}" + (f"{HH}\n" * k) + "7\t[]\t2026-05-20\n")
+    key = "spark.sql.files.maxPartitionBytes"
+    former = spark.conf.get(key)
+    real = L.header_texts
+
+    def resplit(*args):
+        # Called between the passes.
+        texts = real(*args)
+        spark.conf.set(key, "1000")
+        return texts
+    monkeypatch.setattr(L, "header_texts", resplit)
+    try:
+        rep = load_days(spark, lake, landing, mini_catalog, "hits", ["2026-05-20"]).first()
+    finally:
+        spark.conf.set(key, former)
+    want = 4 * 401 + 0 + 1 + 2 + 3
+    assert (rep["n_parts"], rep["expected"], rep["actual"], rep["status"]) == (4, want, want, "loaded")
+    raw = scan_raw(spark, lake, mini_catalog, "hits")
+    assert raw.where("watch_id = 'h:watchID' AND date = 'h:date'").count() == 6
+    assert raw.where("watch_id = '7'").count() == 5
+
+
+def test_a_day_above_the_file_bound_is_read_by_its_folder(spark, mini_catalog, lake_dirs):
+    lake, landing = lake_dirs
+    for k in range(5):
+        write_part(landing, "hits", "2026-05-20", f"p{k}.tsv", f"{HH}\n{k}\t[]\t2026-05-20\n")
+        write_part(landing, "hits", f"2026-05-2{k + 1}", "p.tsv", f"{HH}\n{k}\t[]\tx\n")
+    rep = load_days(spark, lake, landing, mini_catalog, "hits", ["2026-05-20", "2026-05-21"], max_files=2).collect()
+    assert sorted((r["status"], r["n_parts"], r["actual"]) for r in rep) == [("loaded", 1, 1), ("loaded", 5, 5)]
 
 
 def test_rebalanced_load_gives_same_days(spark, mini_catalog, lake_dirs):
