@@ -1,18 +1,21 @@
 r"""Quality rules by distribution divergence (DataFrame functions only).
 
 A document's histogram of character classes and its histogram of common words are compared with
-its language's reference by Jensen-Shannon distance (base 2, so 0 to 1, before the root).  A document is kept if its base
+its language's reference by Jensen-Shannon distance (root of the divergence, base 2, so 0 to 1).  A document is kept if its base
 counts pass and neither histogram is further from the reference than the limit.
 A document with fewer than ``MIN_LETTER_WORDS`` words of letters is too short for the word histogram, which is then not asked.
 Each row is judged alone: the plan is one scan with no shuffle.
 
-References are parameters; the default ones are rough shares in printed prose.  A language
+References are parameters; the default ones are rough shares in printed prose, and :func:`fit_references` measures
+them on a corpus.  A language
 without a reference (or null) is compared with each and judged by the nearest.
 
 Defined cases
   null text      no words, all counts 0, base_failed
   empty text     as null
+  very long text read whole; work grows with its length
   repeated rows  judged each
+  ties           none: rows are judged alone (of equally common words :func:`fit_references` takes the first by spelling)
   empty table    no rows
   extra columns  kept in ``row``
 """
@@ -22,25 +25,25 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daylake.llm.common import as_row, field, words
 
-# The character classes and what is in each.  What is in none is the last class, ``other``.
+# The character classes and what is in each, the most frequent first.  What is in none is the last class, ``other``.
 CLASSES = {
     "lower": r"\p{Ll}+",
+    "space": r"[\x20\x09-\x0D]+",
     "upper": r"\p{Lu}+",
     "digit": r"\p{Nd}+",
-    "space": r"[\x20\x09-\x0D]+",
     "mark": r"[.,;:!?'\"()’“”«»¿¡…–—-]+",
 }
 # Rough shares of the classes, ``other`` last.
 CLASS_SHARES = {
-    "en": (0.775, 0.025, 0.005, 0.175, 0.02, 0.0),
-    "de": (0.78, 0.05, 0.005, 0.145, 0.02, 0.0),
-    "fr": (0.775, 0.025, 0.005, 0.17, 0.025, 0.0),
-    "es": (0.785, 0.02, 0.005, 0.17, 0.02, 0.0),
+    "en": (0.775, 0.175, 0.025, 0.005, 0.02, 0.0),
+    "de": (0.78, 0.145, 0.05, 0.005, 0.02, 0.0),
+    "fr": (0.775, 0.17, 0.025, 0.005, 0.025, 0.0),
+    "es": (0.785, 0.17, 0.02, 0.005, 0.02, 0.0),
 }
 # Rough shares of the most common words among all words.
 WORD_SHARES = {
@@ -65,8 +68,8 @@ WORD_SHARES = {
         "su": 0.008, "es": 0.008, "al": 0.007, "lo": 0.006,
     },
 }
-MAX_CLASS_DISTANCE = 0.05
-MAX_WORD_DISTANCE = 0.15
+MAX_CLASS_DISTANCE = 0.2236
+MAX_WORD_DISTANCE = 0.3873
 MIN_WORDS = 50
 MIN_LETTER_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -94,43 +97,52 @@ def _by_language(lang: Column, made: dict[str, Column]) -> Column:
 
 
 def base_counts(df: DataFrame, text: str = "t") -> DataFrame:
-    """Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` of the column ``text``."""
+    """Adds ``n_words, n_dup_lines, n_repeat_words`` of the column ``text``."""
     t = F.col(text)
     lines = F.filter(F.split(t, "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
     df = df.withColumns({"w": words(t), "lines": lines})
     w = F.col("w")
-    three = F.transform(
-        F.sequence(F.lit(0), F.size(w) - 3),
-        lambda i: F.concat(F.get(w, i), F.lit(" "), F.get(w, i + 1), F.lit(" "), F.get(w, i + 2)),
-    )
+    places = F.sequence(F.lit(0), F.size(w) - 3)
     df = df.withColumns(
         {
             "n_words": F.size(w).cast("long"),
-            "word_chars": F.length(F.regexp_replace(t, r"[\x20\x09-\x0D]+", "")).cast("long"),
-            "n_symbols": F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", "")).cast("long"),
             "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-            "three": F.when(F.size(w) > 3, three),
+            "hashes": F.when(F.size(w) > 3, F.transform(places, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))),
         }
     )
-    # Only texts in which a window comes again are sorted: window, line feed (in no word), position.
-    again = F.size(F.array_distinct("three")) < F.size("three")
-    placed = F.transform(F.col("three"), lambda x, i: F.concat(x, F.lit("\n"), F.lpad(i.cast("string"), 9, "0")))
+    # Only texts in which a window comes again put their windows in order.  Windows are told apart by 64-bit hashes.
+    again = F.size(F.array_distinct("hashes")) < F.size("hashes")
+    placed = F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     df = df.withColumn("order", F.when(again, F.sort_array(placed)))
     order = F.col("order")
 
-    def window(x: Column) -> Column:
-        return F.substring_index(x, "\n", 1)
-
-    def comes_again(x: Column, i: Column) -> Column:
-        before = F.when(i > 0, window(F.get(order, i - 1)) == window(x)).otherwise(False)
-        return before | F.coalesce(window(F.get(order, i + 1)) == window(x), F.lit(False))
-
-    starts = F.transform(F.filter(order, comes_again), lambda x: F.substring_index(x, "\n", -1).cast("int"))
+    # Neighbours of one hash are two places of a window that comes again.
+    pairs = F.zip_with(order, F.slice(order, 2, F.size(order)), lambda x, y: F.when(x["h"] == y["h"], F.array(x["i"], y["i"])))
+    starts = F.array_distinct(F.flatten(F.array_compact(pairs)))
     df = df.withColumn("starts", F.when(order.isNotNull(), F.sort_array(starts)))
     s = F.col("starts")
     covered = F.transform(s, lambda p, i: F.least(F.lit(3), F.coalesce(F.get(s, i + 1) - p, F.lit(3))))
     repeated = F.aggregate(covered, F.lit(0), lambda a, x: a + x)
-    return df.withColumn("n_repeat_words", F.coalesce(repeated, F.lit(0)).cast("long")).drop("w", "lines", "three", "order", "starts")
+    return df.withColumn("n_repeat_words", F.coalesce(repeated, F.lit(0)).cast("long")).drop("w", "lines", "hashes", "order", "starts")
+
+
+def class_counts(df: DataFrame, text: str = "t") -> DataFrame:
+    """Adds ``c_<class>`` for each class and ``c_other`` of the column ``text``, ``word_chars`` and ``n_symbols``.
+
+    Each class is taken out of what the ones before it left, so only the first looks at the whole text."""
+    left = F.col(text)
+    sizes = [F.length(left)]
+    for i, pattern in enumerate(CLASSES.values()):
+        df = df.withColumn(f"left_{i}", F.regexp_replace(left, pattern, ""))
+        left = F.col(f"left_{i}")
+        sizes.append(F.length(left))
+    counts = {f"c_{c}": a - b for c, a, b in zip(CLASSES, sizes, sizes[1:])}
+    space = list(CLASSES).index("space")
+    counts["c_other"] = sizes[-1]
+    counts["word_chars"] = (sizes[0] - counts["c_space"]).cast("long")
+    # No symbol is a lower-case letter or white space.
+    counts["n_symbols"] = F.length(F.regexp_replace(F.col(f"left_{space}"), r"[^#*$%&|<>]+", "")).cast("long")
+    return df.withColumns(counts).drop(*[f"left_{i}" for i in range(len(CLASSES))])
 
 
 def distances(
@@ -140,45 +152,59 @@ def distances(
     class_shares: dict[str, tuple[float, ...]] = CLASS_SHARES,
     word_shares: dict[str, dict[str, float]] = WORD_SHARES,
 ) -> DataFrame:
-    """Adds ``class_distance``, ``word_distance`` and ``n_letter_words`` (words of letters)."""
-    t = F.col(text)
-    size = F.length(t)
-    common = sorted({w for shares in word_shares.values() for w in shares})
-    df = df.withColumns(
-        {
-            **{f"c_{c}": size - F.length(F.regexp_replace(t, pattern, "")) for c, pattern in CLASSES.items()},
-            "c_all": size,
-            "letters": F.regexp_extract_all(F.lower(t), F.lit(r"\p{L}+"), F.lit(0)),
-        }
-    )
-    df = df.withColumns(
-        {
-            "n_letter_words": F.size("letters"),
-            "common": F.filter(F.col("letters"), lambda x: x.isin(common)),
-        }
-    )
-    total = F.greatest(F.col("c_all"), F.lit(1)).cast("double")
-    shares = [F.col(f"c_{c}") / total for c in CLASSES]
-    shares.append((F.col("c_all") - reduce(add, [F.col(f"c_{c}") for c in CLASSES])) / total)
-    df = df.withColumns({f"s_{i}": s for i, s in enumerate(shares)})
-    classes = {k: divergence([F.col(f"s_{i}") for i in range(len(shares))], list(v)) for k, v in class_shares.items()}
+    """Adds ``class_distance``, ``word_distance`` and ``n_letter_words`` (words of letters); ``df`` has the :func:`class_counts`."""
+    classes = [*CLASSES, "other"]
+    total = F.greatest(reduce(add, [F.col(f"c_{c}") for c in classes]), F.lit(1)).cast("double")
+    df = df.withColumns({f"s_{i}": F.col(f"c_{c}") / total for i, c in enumerate(classes)})
+    by_class = {k: divergence([F.col(f"s_{i}") for i in range(len(classes))], list(v)) for k, v in class_shares.items()}
+    # Of a document's words of letters only the common ones of any language are kept, each between spaces of its own.
+    common = sorted({w for ref in word_shares.values() for w in ref})
+    letters = F.col("letters")
+    df = df.withColumns({"class_distance": F.sqrt(F.greatest(_by_language(F.col(lang), by_class), F.lit(0.0))), "letters": F.split(F.lower(F.col(text)), r"\P{L}+", -1)})
+    edges = [F.when(F.get(letters, F.lit(0)) == "", 1).otherwise(0), F.when((F.size(letters) > 1) & (F.get(letters, F.size(letters) - 1) == ""), 1).otherwise(0)]
+    kept = F.array_join(F.filter(letters, lambda x: x.isin(common)), "  ")
+    df = df.withColumns({"n_letter_words": F.size(letters) - edges[0] - edges[1], "kept": F.concat(F.lit(" "), kept, F.lit(" "))})
+    unknown = ~F.coalesce(F.col(lang).isin(list(word_shares)), F.lit(False))
 
-    def told(ref: dict[str, float]) -> Column:
+    def counted(ref: dict[str, float]) -> Column:
+        size = F.length("kept")
+        return F.array(*[((size - F.length(F.replace(F.col("kept"), F.lit(f" {w} ")))) / (len(w) + 2)).cast("int") for w in ref])
+
+    df = df.withColumns({f"h_{k}": F.when(unknown | (F.col(lang) == k), counted(v)) for k, v in word_shares.items()})
+
+    def told(k: str, ref: dict[str, float]) -> Column:
         # Each common word's count, then what is left, as one array; the reference beside it.
-        n = F.greatest(F.col("n_letter_words"), F.lit(1)).cast("double")
-        counts = F.transform(F.array(*[F.lit(w) for w in ref]), lambda r: F.size(F.filter(F.col("common"), lambda x: x == r)))
-        p = F.concat(counts, F.array(F.greatest(F.col("n_letter_words"), F.lit(1)) - F.aggregate(counts, F.lit(0), lambda a, x: a + x)))
+        hits, n = F.col(f"h_{k}"), F.greatest(F.col("n_letter_words"), F.lit(1))
+        p = F.concat(hits, F.array((n - F.aggregate(hits, F.lit(0), lambda a, x: a + x)).cast("int")))
         q = F.array(*[F.lit(float(v)) for v in ref.values()], F.lit(1.0 - sum(ref.values())))
         terms = F.zip_with(p, q, lambda a, b: _half(a / n, b) + _half(b, a / n))
         return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
 
-    df = df.withColumns(
-        {
-            "class_distance": _by_language(F.col(lang), classes),
-            "word_distance": _by_language(F.col(lang), {k: told(v) for k, v in word_shares.items()}),
-        }
-    )
-    return df.drop("letters", "common", "c_all", *[f"c_{c}" for c in CLASSES], *[f"s_{i}" for i in range(len(shares))])
+    word = _by_language(F.col(lang), {k: told(k, v) for k, v in word_shares.items()})
+    df = df.withColumn("word_distance", F.sqrt(F.greatest(word, F.lit(0.0))))
+    return df.drop("letters", "kept", *[f"h_{k}" for k in word_shares], *[f"c_{c}" for c in classes], *[f"s_{i}" for i in range(len(classes))])
+
+
+def fit_references(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", n_words: int = 20
+) -> tuple[dict[str, tuple[float, ...]], dict[str, dict[str, float]]]:
+    """``class_shares`` and ``word_shares`` as :func:`judge` takes them, measured on the documents of each language.
+
+    Counts are added up by Spark; what comes to the driver is one row and ``n_words`` words a language."""
+    df = as_row(docs).select(field(lang_col).alias("lang"), F.coalesce(field(text_col), F.lit("")).alias("t")).where("lang IS NOT NULL")
+    names = [*CLASSES, "other"]
+    sums = class_counts(df).groupBy("lang").agg(*[F.sum(f"c_{c}").cast("double").alias(c) for c in names]).collect()
+    class_shares = {r["lang"]: tuple(r[c] / max(sum(r[x] for x in names), 1.0) for c in names) for r in sorted(sums)}
+    found = df.select("lang", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+    counts = found.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    # Spark drops all but each task's first ``n_words`` of a language before they meet.
+    first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    top = counts.select("*", F.row_number().over(first).alias("place")).where(F.col("place") <= n_words)
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("all"))
+    word_shares: dict[str, dict[str, float]] = {k: {} for k in class_shares}
+    for r in top.join(totals, "lang").orderBy("lang", "place").collect():
+        word_shares[r["lang"]][r["word"]] = r["n"] / r["all"]
+    return class_shares, word_shares
 
 
 def judge(
@@ -192,7 +218,7 @@ def judge(
 ) -> DataFrame:
     """Every row as ``row`` with its base counts, both distances, ``base_failed`` and ``kept``."""
     df = as_row(docs).withColumns({"t": F.coalesce(field(text_col), F.lit("")), "lang": field(lang_col)})
-    df = distances(base_counts(df), class_shares=class_shares, word_shares=word_shares)
+    df = distances(class_counts(base_counts(df)), class_shares=class_shares, word_shares=word_shares)
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     near = (F.col("class_distance") <= max_class_distance) & (
         (F.col("n_letter_words") < MIN_LETTER_WORDS) | (F.col("word_distance") <= max_word_distance)
@@ -235,7 +261,7 @@ f AS (SELECT b.doc_id, CAST(len(w) AS BIGINT) AS n_words,
              CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
              CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, len(letters) AS n_letters,
-             CASE {by_class} END AS class_distance, word_distance
+             sqrt(greatest(CASE {by_class} END, 0)) AS class_distance, sqrt(greatest(word_distance, 0)) AS word_distance
       FROM b LEFT JOIN rep USING (doc_id) LEFT JOIN wd USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,

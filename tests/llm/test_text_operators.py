@@ -111,7 +111,7 @@ def test_quality_rules_distances(spark):
         def js(p, q):
             p, q = np.maximum(p, 0), np.array(q)
             half = lambda a, b: sum(x * np.log2(2 * x / (x + y)) / 2 for x, y in zip(a, b) if x > 1e-15)
-            return half(p, q) + half(q, p)
+            return np.sqrt(max(0.0, half(p, q) + half(q, p)))
 
         refs = [lang] if lang in quality_rules.CLASS_SHARES else list(quality_rules.CLASS_SHARES)
         assert r.class_distance == pytest.approx(min(js(shares, quality_rules.CLASS_SHARES[k]) for k in refs), abs=1e-9)
@@ -124,6 +124,18 @@ def test_quality_rules_distances(spark):
         assert r.word_distance == pytest.approx(min(best), abs=1e-6)
 
 
+def test_quality_references_are_fitted_from_a_corpus(spark):
+    texts = {"en": ["The cat and the Dog, the END.", None, "A cat 12 (cat)"], "xx": ["öl öl Öl", ""], None: ["the the"]}
+    rows = [(k, t) for k, v in texts.items() for t in v]
+    classes, words = quality_rules.fit_references(spark.createDataFrame(rows, "lang string, text string").repartition(3), n_words=2)
+    assert words == {"en": {"cat": 3 / 10, "the": 3 / 10}, "xx": {"öl": 1.0}}
+    assert list(classes) == ["en", "xx"] and all(sum(v) == pytest.approx(1) for v in classes.values())
+    whole = "".join(t for t in texts["en"] if t)
+    assert classes["en"][list(quality_rules.CLASSES).index("upper")] == sum(c.isupper() for c in whole) / len(whole)
+    judged = quality_rules.judge(spark.createDataFrame([("xx", "öl " * 60)], "lang string, text string"), class_shares=classes, word_shares=words)
+    assert judged.first().word_distance == pytest.approx(0, abs=1e-6) and judged.first().n_letter_words == 60
+
+
 def test_license_scan_equals_brute_force(texts, spark):
     rnd = random.Random(2)
     bits = "Licensed under the Apache License, Version 2.0. Released MIT this work is GNU General Public version 3 of x".split()
