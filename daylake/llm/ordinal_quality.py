@@ -4,6 +4,8 @@ P(grade <= k) = sigmoid(threshold_k - w.x) with one weight vector w for all grad
 x are hashed text features, each present or not: the words (letters and digits, lower case); their beginnings,
 with how often each comes (at least 1, 2, 3, 5 times); how large a share of the words
 has each shape (letters, capitals, digits, signs); how many words differ; and the length.
+A run longer than ``LONG`` characters, as in a text without spaces, is parted at its signs, and what is still longer
+into overlapping pieces of ``PIECE`` characters; so every character of a text takes part.
 The model gives the expected grade and the probability of the top grades, by which documents are selected.
 
 It is fitted on the driver from a bounded sample of rated documents (``MAX_RATED``, chosen by a
@@ -11,6 +13,8 @@ hash of the id); features are made by tasks, and every document is scored.
 
 Defined cases
   null text        as the empty text: only its length feature speaks
+  very long text   read whole, and so is a long word (in pieces); work grows with its length
+  ties             of rated rows with equal hashes of id or text any one, they are equal
   null rating      not used; null toxicity counts as not toxic
   rated repeatedly the lowest grade counts
   one grade or none among the ratings   nothing to tell apart: every document gets that grade (or the top one) and is kept
@@ -48,6 +52,9 @@ MIN_TAIL = 0.5
 CACHE_WORDS = 150_000
 
 CORE = re.compile(r"[^\W_]+")
+PARTS = re.compile(r"[^\W_]+|[\W_]+")
+LONG = 32
+PIECE = 4
 RUN = re.compile(r"(.)\1+")
 
 
@@ -71,6 +78,20 @@ def _bucket(feature: str) -> int:
     return xxhash.xxh32_intdigest(feature) % BUCKETS
 
 
+def words_of(text: str | None) -> Counter:
+    """How often each word comes; long ones in their pieces."""
+    words = Counter((text or "").split())
+    for word in [w for w in words if len(w) > LONG]:
+        count = words.pop(word)
+        for part in PARTS.findall(word):
+            if len(part) <= LONG:
+                words[part] += count
+            else:
+                for piece, n in Counter(part[i : i + PIECE] for i in range(len(part) - PIECE + 1)).items():
+                    words[piece] += count * n
+    return words
+
+
 class Features:
     """Text -> sorted buckets of its features.  Remembers the words it has met, up to a bound."""
 
@@ -79,15 +100,15 @@ class Features:
 
     def _word(self, word: str) -> tuple[int, str, str]:
         core = "".join(CORE.findall(word)).lower()
-        shape = RUN.sub(r"\1", word[:64].translate(_SHAPE))[:12]
-        made = _bucket("w" + core[:64]), core[:STEM] if len(core) >= STEM else "", shape
+        shape = RUN.sub(r"\1", word.translate(_SHAPE))
+        made = _bucket("w" + core), core[:STEM] if len(core) >= STEM else "", shape
         if len(self.known) >= CACHE_WORDS:
             self.known.clear()
         self.known[word] = made
         return made
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = Counter((text or "").split())
+        words = words_of(text)
         n = words.total()
         known = self.known
         buckets = set()
