@@ -9,6 +9,16 @@ last return the columns of the documents they got.
 3. secrets   each secret found is replaced by the name of its kind; ``n_chars`` follows
 4. mix       documents are drawn to the sources' target weights; what a source lacks is repeated
 5. tokens    adds ``ids`` (array<int>) and ``n_tokens`` of every whole text
+
+Defined cases
+  null text       scored as the empty text, linked with nothing, no secrets, of size 0: goes through once if its score lets it; no ids
+  null id         a document like others; of a group of copies the smallest id that is not null stays
+  null source     a source of its own
+  repeated rows   copies of each other: one stays
+  ties            as the stages tell
+  very long text  read whole by each stage
+  empty table     no rows; with no rating of two grades every document passes the first stage
+  extra columns   kept up to the last stage
 """
 
 from __future__ import annotations
@@ -43,7 +53,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("copies", copies), ("secrets", secrets), ("mix", mix), ("tokens", tokens)]
 
-# The fitted classifier can't be expressed in SQL; tests compare the run with a plain Python version.
+# The fitted classifier can't be expressed in SQL; tests/llm/test_pipeline_run.py compares all rows of a run with a plain Python version.
 ORACLE_SQL = None
 
 

@@ -15,6 +15,7 @@ Defined cases
                        the cut share what is left of the budget evenly
   empty table          no rows
   source of size 0     target 0, taken 0
+  very long text       one document, counted whole; on the cut it is taken in part
   other columns        ignored by :func:`mix`, kept by :func:`mixed_documents`
 """
 

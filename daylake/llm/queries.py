@@ -51,6 +51,11 @@ def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spot_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search over the fingerprints: near copies by spot signatures, partitioned by set length."""
+    return spotsigs.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -117,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_rules": op2_quality_rules,
     "op3_spotsigs": op3_spotsigs,
+    "spot_groups": spot_groups,
     "op4_ngram_join": op4_ngram_join,
     "op5_urls": op5_urls,
     "op6_sharding": op6_sharding,

@@ -6,8 +6,13 @@ shard then owns size / shards slots (or one more), and when a shard comes or goe
 few other slots change hands.  The table depends on the shard names alone; it is broadcast,
 so placing a document is one hash and one lookup, with no shuffle.
 
-Defined cases: null key -> placed as the text ``null``; equal keys -> one shard; empty
-table -> no rows; extra columns are ignored by the query and kept by :func:`place`.
+Defined cases
+  null key        placed as the text ``null``
+  equal keys      one shard
+  very long key   hashed whole
+  ties            a slot goes to the shard whose turn it is; turns follow the order of the names given
+  empty table     no rows
+  extra columns   ignored by the query, kept by :func:`place`
 """
 
 from __future__ import annotations

@@ -12,6 +12,8 @@ Jaccard is pruned by length and by the first hashes, which two similar sets must
 
 Defined cases
   null text        as the empty text: the empty fingerprint
+  very long text   read whole, in one task with its next document
+  ties             rows of one id are ordered by a hash of their texts
   empty sets       two are alike by 1, an empty and a filled one by 0
   null id          ordered before all ids
   repeated rows    each has the next row as its next document

@@ -14,6 +14,9 @@ Defined cases
   rules                  fit the host and its subdomains, if the path starts with the rule's; the longest wins
                          (of equal length the longer host)
   no rule                blocked if the host, a domain above it, or a path prefix ending at ``/`` or at the end is in the list
+  very long URL          judged whole; candidates are made only for the path lengths that the list has
+  ties                   equal digests are told apart by the stored strings
+  empty table            no rows
   repeated rows, extra columns   judged each; kept, a column with the name of an output column is replaced
 """
 
