@@ -20,6 +20,7 @@ They then share at least T = ceil(percent * n / 100) shingles, n the size of eit
 
 Defined cases
   null or blank text       the empty set, linked with nothing
+  very long text           read whole; its set is one row
   fewer words than a shingle   the whole sequence is the one shingle
   null id                  takes part; a component's name is its smallest id, null if all are null
   repeated rows            are equal sets: one class; :func:`without_copies` keeps one row of them
@@ -57,6 +58,8 @@ BLOCK_SHINGLES = 4_000_000
 PIVOTS = 16
 # Entries of short lists that are merged by a heap; more are counted by one pass over an array.
 HEAP_ENTRIES = 2_000
+# Characters of the longest word whose hash a task remembers.
+LONG_WORD = 48
 # DivideSkip: a query sets T / (SHARE * log2(longest list) + 1) lists aside as long.
 SHARE = 0.0085
 
@@ -93,10 +96,15 @@ class Shingler:
         known = self.known
         if len(known) > self.bound:
             known.clear()
+        long = []
         for w in words:
             if w not in known:
                 known[w] = xxhash.xxh64_intdigest(w)
+                if len(w) > LONG_WORD:
+                    long.append(w)
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        for w in long:  # only short words are remembered, so the bound on words is one on memory
+            known.pop(w, None)
         n = len(words) - self.size + 1
         out = np.zeros(n, np.uint64)
         for i, step in enumerate(self.steps):
