@@ -13,7 +13,9 @@ file's size is bounded by ``MAX_TOKENIZER_BYTES``.
 Defined cases
   null text       encoded as the empty text: no ids; decodes to the empty text
   special tokens  their strings in a text become their ids, as in the tokenizers library
+  very long text  encoded whole, by one task
   repeated rows   encoded each
+  ties            of equal ranks the left pair is merged first
   empty table     no rows
   extra columns   kept; a column with the name of an output column is replaced
 """
@@ -38,6 +40,8 @@ SLICE_CHARS = 1_500_000
 # Pieces a worker remembers in each of two generations: a full one becomes the old one, and
 # pieces met again move over, so frequent ones stay.
 CACHE_PIECES = 350_000
+# Longer pieces (in characters) are forgotten after each slice, so the bound on pieces is one on memory.
+LONG_PIECE = 48
 FAR = np.int64(1) << 40
 
 # Unicode white space.
@@ -119,6 +123,7 @@ class ByteBpe:
         self.packed = [i.to_bytes(4, "little") for i in range(self.size)]
         self.cache: dict[str, bytes] = {}
         self.old_cache: dict[str, bytes] = {}
+        self.long: list[str] = []
 
     def _pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if not len(self.pair_keys):
@@ -248,6 +253,8 @@ class ByteBpe:
         for piece, ws in zip(pieces, parts):
             if len(ws) > 1:
                 cache[piece] = b"".join([cache[w] for w in ws])
+        self.long += [p for p in pieces if len(p) > LONG_PIECE]
+        self.long += [w for w in words if len(w) > LONG_PIECE]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, packed as little-endian unsigned 32-bit integers."""
@@ -268,7 +275,11 @@ class ByteBpe:
         if unseen:
             self._learn(list(unseen))
         get = self.cache.__getitem__
-        return [b"".join(x.to_bytes(4, "little") if isinstance(x, int) else b"".join(map(get, x)) for x in plan) for plan in plans]
+        out = [b"".join(x.to_bytes(4, "little") if isinstance(x, int) else b"".join(map(get, x)) for x in plan) for plan in plans]
+        for piece in self.long:
+            self.cache.pop(piece, None)
+        self.long.clear()
+        return out
 
     def decode(self, ids: bytes) -> str:
         """Text of packed ids; bytes that are no UTF-8 become U+FFFD, ids outside the vocabulary nothing."""

@@ -15,6 +15,7 @@ of rights ranks after every licence.
 Defined cases
   null text       as the empty text: no licence
   one word        has no bigram: no licence
+  very long text  scanned whole
   repeated rows   scanned each
   empty table     no rows
   extra columns   kept; a column with the name of an output column is replaced
@@ -97,6 +98,9 @@ def production() -> dict[str, tuple[str, ...]]:
 def normalised(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
+# Starts of windows that are judged together.
+STRIDE = 64
+
 
 def bigrams(words: list[str]) -> list[tuple[str, str]]:
     return list(zip(words, words[1:]))
@@ -134,16 +138,27 @@ class Template:
                 back[i] = earlier[-n]
             earlier.append(i)
         best = None
-        for k in starts.tolist():
-            most = min(int(last[k]) - k, self.size)
-            if best and 2 * most / (most + self.size) <= best[0]:
-                continue
-            sizes = at[k : last[k]] - at[k] + 1
-            scores = 2 * np.cumsum(back[k : last[k]] < k) / (sizes + self.size)
-            scores[sizes < self.low] = 0
+        starts = starts.tolist()
+        p = 0
+        while p < len(starts):
+            k = starts[p]
+            # From the window's shared bigrams at one start follows what the next ``STRIDE`` starts can reach at most: no more
+            # shared ones, in windows shorter by the words between. Where that is not above the best, they are passed over.
+            q = min(p + STRIDE, len(starts) - 1) if p % STRIDE == 0 else p
+            until = int(last[starts[q]])
+            sizes = at[k:until] - at[k] + 1
+            shared = np.cumsum(back[k:until] < k)
+            own = int(last[k]) - k
+            scores = 2 * shared[:own] / (sizes[:own] + self.size)
+            scores[sizes[:own] < self.low] = 0
             end = int(scores.argmax())
             if scores[end] >= least and (best is None or scores[end] > best[0]):
                 best = float(scores[end]), hits[k], hits[k + end]
+            p += 1
+            if best and q >= p:
+                reach = 2 * shared / (np.maximum(sizes - (at[starts[q]] - at[k]), shared) + self.size)
+                if reach.max() <= best[0]:
+                    p = q + 1
         return best
 
 
