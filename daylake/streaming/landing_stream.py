@@ -33,9 +33,12 @@ def start_landing_stream(spark: SparkSession, lake: str, landing: str, catalog:
     (a run-once trigger for a scheduler); otherwise it polls every
     ``processing_time``.
     """
-    schema = T.StructType([T.StructField("value", T.StringType()), T.StructField(DAY, T.DateType())])
-    arrivals = (spark.readStream.schema(schema).option("lineSep", "\n")
-                .text(source_dir(landing, source)).select(DAY).where(F.col(DAY).isNotNull()))
+    # A row per file, of which only the folder's day is asked: no file is opened.
+    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+                           T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType()),
+                           T.StructField(DAY, T.DateType())])
+    arrivals = (spark.readStream.format("binaryFile").schema(schema)
+                .load(source_dir(landing, source)).select(DAY).where(F.col(DAY).isNotNull()))
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         # One row per landed day of this batch (bounded by the days that got files).
