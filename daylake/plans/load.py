@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from daylake.functions.dates import clamp_range
 from daylake.operators.rowcheck import check_frame
-from daylake.plans import journal
+from daylake.plans import file_stats, journal
 from daylake.plans.select import DEFAULT_HOT_WINDOW_DAYS, select_days
 from daylake.sinks import fs
 from daylake.sinks.raw_store import (publish_days, staged_counts, storage_mapping,
@@ -281,8 +281,12 @@ class RangeResult:
 
 def ingest_range(spark: SparkSession, lake: str, landing: str, catalog: Catalog, source: str,
                  date1, date2, *, hot_window_days: int = DEFAULT_HOT_WINDOW_DAYS,
-                 today: _dt.date | None = None) -> RangeResult:
-    """K5: validate -> clamp -> reconcile -> select -> load; a rerun resumes."""
+                 today: _dt.date | None = None, stats: bool = False) -> RangeResult:
+    """K5: validate -> clamp -> reconcile -> select -> load; a rerun resumes.
+
+    ``stats=True`` also writes the statistics of the range's new day files (one more scan of them), so that profiles,
+    range filters and lookups find them.
+    """
     from daylake.functions.dates import parse_date
     d1 = parse_date(date1) if isinstance(date1, str) else date1
     d2 = parse_date(date2) if isinstance(date2, str) else date2
@@ -306,6 +310,8 @@ def ingest_range(spark: SparkSession, lake: str, landing: str, catalog: Catalog,
     report = load_days(spark, lake, landing, catalog, source, chosen)
     st = {str(r[DAY]): (r["status"], r["actual"]) for r in report.select(DAY, "status", "actual").collect()}
     loaded = [d for d in chosen if st[d][0] == "loaded"]
+    if stats:
+        file_stats.refresh(spark, lake, catalog, source, d1, d2)
     # A registered view keeps its file listing: re-register after publishing.
     from daylake.views import register_views
     register_views(spark, lake, catalog, [source])

@@ -114,3 +114,14 @@ def test_where_between_reads_only_files_that_can_match(spark, mini_catalog, lake
     assert check("visit_id", 2010, 3005, max_files=1).files == hit.files
     with pytest.raises(ValueError, match="no order"):
         file_stats.where_between(spark, lake, mini_catalog, "visits", "watch_ids", 1, 2)
+
+
+def test_a_range_load_writes_statistics(spark, mini_catalog, lake_dirs):
+    import datetime as dt
+    from daylake.plans.load import update_all
+    lake, landing = lake_dirs
+    visits(landing)
+    rep = update_all(spark, lake, landing, mini_catalog, ["visits"], DAYS[0], DAYS[3], today=dt.date(2026, 5, 6), stats=True).first()
+    assert (rep.loaded_days, rep.error) == (4, None)
+    stats = file_stats.file_stats(spark, lake, mini_catalog, "visits")
+    assert stats.where("n IS NULL").count() == 0 and stats.agg(F.sum("n")).first()[0] == 120
