@@ -3,10 +3,10 @@ r"""Substring dedup: every word run of ``WINDOW`` words that starts in a documen
 Two passes over blocks of documents.  In the first each block makes a partial count-min sketch of its windows
 (how many documents have each, at most 2); the partial sketches are merged, and as a count-min sketch never counts too little,
 a window that it counts once stands in one document only.  In the second pass only the windows estimated repeated are
-grouped exactly, by 128 bits of their words, to find the least id that has each.
+grouped exactly, by 96 bits of their words, to find the least id that has each.
 
 Scale.  The sketch grows with the corpus (about ``ROOM`` counters a window and row), so it is never in one place:
-it is cut into slices by counter number, a block sends a slice the numbers it hit (one to two bytes each), the slice's task adds
+it is cut into slices by counter number, a block sends a slice the numbers it hit (some eleven bits each), the slice's task adds
 them up and answers each block with a bit for each number sent.  A window that a third of all documents share is one row
 a block, and what repeats inside a block is settled there.  Documents are dealt to blocks of about ``BLOCK_BYTES`` of text by a hash of id and text; this
 shuffle of the texts is the only one and serves all passes.  Nothing is collected but the number of bytes.
@@ -37,10 +37,10 @@ from pyspark.sql import functions as F
 from daylake.llm.common import as_row, field
 
 WINDOW = 13
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 LEAST_BLOCK_BYTES = 64 << 10
 DEPTH = 2  # rows of the sketch
-ROOM = 4  # counters a window, in each row of the sketch
+ROOM = 6  # counters a window, in each row of the sketch (up to twice as many: rows hold a power of two)
 BYTES_A_WORD = 6
 # Counters of a slice: 2 ** SLICE_BITS, more (to MAX_SLICE_BITS, a byte each) where there would be over 2 ** SLICES slices.
 SLICE_BITS, MAX_SLICE_BITS, SLICES = 22, 28, 13
@@ -48,12 +48,11 @@ SLICE_BITS, MAX_SLICE_BITS, SLICES = 22, 28, 13
 WORDS, LONG_WORD = 300_000, 64
 STRIDE = 1 << 15
 
-# Odd multipliers from the digits of the golden ratio: one for each place in a window and key, and one for each row of the sketch.
 _GOLDEN = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 
 
 def _odd(i: int) -> np.uint64:
+    """An odd multiplier: one for each place in a window and key, and one for each row of the sketch."""
     return np.uint64(xxhash.xxh3_64_intdigest((_GOLDEN + i).to_bytes(8, "little")) | 1)
 
 
@@ -82,13 +81,18 @@ def _windows(h: np.ndarray, size: int, key: int) -> np.ndarray:
     return out
 
 
+def _words(text: pa.StringScalar) -> list[bytes]:
+    """The words of a text, as UTF-8: bytes.split() parts at the space and \\x09-\\x0D, nothing else."""
+    return text.as_buffer().to_pybytes().split() if text.is_valid else []
+
+
 class Block:
     """The windows of a block of documents, in the order of their first key."""
 
-    def __init__(self, ids: list, texts: list, size: int, known: WordHash):
+    def __init__(self, ids: list, texts: pa.ChunkedArray, size: int, known: WordHash):
         hashes = []
         for text in texts:
-            words = (text or "").encode().split()
+            words = _words(text)
             hashes.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
         self.n_words = np.array([len(h) for h in hashes], np.int64)
         self.word_at = np.concatenate(([0], np.cumsum(self.n_words)))
@@ -97,8 +101,8 @@ class Block:
         owner = np.repeat(np.arange(len(texts), dtype=np.int32), self.n_words)
         named = np.array([i is not None for i in ids], bool)
         self.ids = np.array([0 if i is None else i for i in ids], np.int64)
-        inside = np.arange(len(owner)) + size <= self.word_at[owner + 1]
-        self.at = np.flatnonzero(inside & named[owner])
+        inside = np.arange(len(owner)) + size <= np.repeat(self.word_at[1:], self.n_words)
+        self.at = np.flatnonzero(inside & named[owner]).astype(np.int32)
         k = _windows(self.h, size, 1)[self.at]
         order = np.argsort(k, kind="stable")
         self.at, k = self.at[order], k[order]
@@ -163,26 +167,39 @@ class Sketch:
 
 
 def _pack(numbers: np.ndarray) -> bytes:
-    """Ascending numbers as steps, byte by byte: the high bytes are nearly all 0 and compress away."""
-    steps = np.diff(numbers, prepend=np.uint32(0)).astype(np.uint32)
-    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Ascending distinct numbers by their steps: the low bits of each as they are, the rest counted in unary (Rice's code)."""
+    steps = np.diff(numbers.astype(np.int64), prepend=-1) - 1
+    k = int(steps.mean()).bit_length()
+    k = max(k - 1, 0)
+    low = np.unpackbits((steps & ((1 << k) - 1)).astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :k]
+    ends = np.cumsum((steps >> k) + 1) - 1
+    unary = np.zeros(int(ends[-1]) + 1, np.uint8)
+    unary[ends] = 1
+    return b"".join([len(steps).to_bytes(4, "little"), bytes([k]), np.packbits(low.ravel()).tobytes(), np.packbits(unary).tobytes()])
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    steps = np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
-    return np.cumsum(steps, dtype=np.uint32)
+    n, k = int.from_bytes(data[:4], "little"), data[4]
+    edge = 5 + -(-n * k // 8)
+    wide = np.zeros((n, 32), np.uint8)
+    wide[:, :k] = np.unpackbits(np.frombuffer(data, np.uint8, edge - 5, 5), count=n * k).reshape(n, k)
+    low = np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel().astype(np.int64)
+    ends = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, -1, edge)))
+    steps = ((np.diff(ends, prepend=-1) - 1) << k) + low
+    return (np.cumsum(steps + 1) - 1).astype(np.uint32)
 
 
 PARTIAL = "depth int, slice long, block long, hits binary, again binary"
 ANSWER = "block long, depth int, slice long, again binary"
-REPEATED = "block long, k1 long, k2 long, least long"
+# ``at``: the block above 32 bits of the second key, one long in place of two.
+REPEATED = "k1 long, at long, least long"
 
 
 def _partial_sketch(sketch: Sketch, size: int):
     known = WordHash()
 
     def run(table: pa.Table) -> pa.Table:
-        block = Block(table["id"].to_pylist(), table["text"].to_pylist(), size, known)
+        block = Block(table["id"].to_pylist(), table["text"], size, known)
         shared = block.shared()
         out: dict[str, list] = {c.split()[0]: [] for c in PARTIAL.split(", ")}
         low = np.uint64((1 << sketch.slice_bits) - 1)
@@ -204,13 +221,11 @@ def _partial_sketch(sketch: Sketch, size: int):
 def _merge(sketch: Sketch):
     def run(table: pa.Table) -> pa.Table:
         counts = np.zeros(1 << sketch.slice_bits, np.uint8)
-        sent = []
-        for hits, again in zip(table["hits"], table["again"]):
-            numbers = _unpack(hits.as_py())
+        sent = [_unpack(hits.as_py()) for hits in table["hits"]]
+        for numbers, again in zip(sent, table["again"]):
             more = np.unpackbits(np.frombuffer(again.as_py(), np.uint8), count=len(numbers))
             counts[numbers] = np.minimum(counts[numbers] + 1 + more, 2)
-        for hits in table["hits"]:
-            sent.append(np.packbits(counts[_unpack(hits.as_py())] == 2).tobytes())
+        sent = [np.packbits(counts[numbers] == 2).tobytes() for numbers in sent]
         return pa.table({"block": table["block"], "depth": table["depth"], "slice": table["slice"], "again": pa.array(sent, pa.binary())}, schema=_arrow(ANSWER))
 
     return run
@@ -220,7 +235,7 @@ def _estimated(sketch: Sketch, size: int):
     known = WordHash()
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        block = Block(docs["id"].to_pylist(), docs["text"].to_pylist(), size, known)
+        block = Block(docs["id"].to_pylist(), docs["text"], size, known)
         bits = {(d, s): m for d, s, m in zip(answers["depth"].to_pylist(), answers["slice"].to_pylist(), answers["again"].to_pylist())}
         repeated = np.ones(len(block.keys), bool)
         for row in range(sketch.depth):
@@ -230,9 +245,9 @@ def _estimated(sketch: Sketch, size: int):
             for number, a, b in zip(numbers, edge[:-1], edge[1:]):
                 again[a:b] = np.unpackbits(np.frombuffer(bits[row, number], np.uint8), count=b - a)
             repeated &= again[place]
-        columns = [block.keys[repeated].view(np.int64), block.second_keys()[repeated].view(np.int64), block.least[repeated]]
         number = docs["block"][0].as_py() if docs.num_rows else 0
-        return pa.table([np.full(len(columns[0]), number, np.int64), *columns], schema=_arrow(REPEATED))
+        at = (block.second_keys()[repeated] >> np.uint64(32)) | np.uint64(number << 32)
+        return pa.table([block.keys[repeated].view(np.int64), at.view(np.int64), block.least[repeated]], schema=_arrow(REPEATED))
 
     return run
 
@@ -241,14 +256,13 @@ def _cut(size: int, schema: pa.Schema):
     known = WordHash()
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = docs["text"].to_pylist()
-        block = Block(docs["id"].to_pylist(), texts, size, known)
+        block = Block(docs["id"].to_pylist(), docs["text"], size, known)
         keys = answers["k1"].to_numpy().view(np.uint64)
         order = np.argsort(keys)
         gone = block.removed({"key": keys[order], "least": answers["least"].to_numpy()[order]})
         kept, counts = [], []
-        for text, a, b in zip(texts, block.word_at[:-1], block.word_at[1:]):
-            words = (text or "").encode().split()
+        for text, a, b in zip(docs["text"], block.word_at[:-1], block.word_at[1:]):
+            words = _words(text)
             out = gone[a:b]
             counts.append(int(out.sum()))
             if counts[-1]:
@@ -278,9 +292,11 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     partial = by_block.applyInArrow(_partial_sketch(sketch, size), PARTIAL)
     answers = partial.groupBy("depth", "slice").applyInArrow(_merge(sketch), ANSWER)
     repeated = by_block.cogroup(answers.groupBy("block")).applyInArrow(_estimated(sketch, size), REPEATED)
+    # Dealt by the first key, told apart by both: the second one is unpacked after the shuffle.
+    repeated = repeated.repartition("k1").withColumn("k2", F.col("at").bitwiseAND((1 << 32) - 1))
     everywhere = Window.partitionBy("k1", "k2")
-    smaller = repeated.select("block", "k1", F.min("least").over(everywhere).alias("least"), F.col("least").alias("here")).where("least < here")
-    smaller = smaller.select("block", "k1", "least")
+    smaller = repeated.select("at", "k1", F.min("least").over(everywhere).alias("least"), F.col("least").alias("here")).where("least < here")
+    smaller = smaller.select(F.shiftright("at", 32).alias("block"), "k1", "least")
     out = "id long, n_words long, n_removed long, kept string"
     return by_block.cogroup(smaller.groupBy("block")).applyInArrow(_cut(size, _arrow(out)), out)
 
