@@ -103,11 +103,13 @@ def context_columns(spark: SparkSession, frames: dict[str, DataFrame], catalog:
 
 
 def drift_report(spark: SparkSession, frames: dict[str, DataFrame], catalog: Catalog,
-                 filled: DataFrame | None = None) -> DataFrame:
-    """Both directions between catalogued views and described catalog rows, from names alone.
+                 filled: DataFrame | None = None, names_only: bool = False) -> DataFrame:
+    """Both directions between catalogued views and described catalog rows, plus
+    catalogued columns that no loaded row fills (NULL everywhere, e.g. a field no
+    day's export carries).
 
-    With ``filled`` (``table_name, column_name, non_null``, as the day files' statistics tell it) also the
-    catalogued columns that no loaded row fills (NULL everywhere, e.g. a field no day's export carries)."""
+    The last are counted in the views, unless ``filled`` (``table_name, column_name, non_null``) tells them, as the day
+    files' statistics do without a scan; ``names_only`` leaves them out and reads no data."""
     known = {n: df for n, df in frames.items() if n in catalog.sources()}
     listed = schema_listing(spark, known)
     cat = catalog.to_df(spark).select(F.col("source").alias("table_name"),
@@ -119,7 +121,8 @@ def drift_report(spark: SparkSession, frames: dict[str, DataFrame], catalog: Cat
                    .where(F.col("table_name").isin(list(frames)))
                    .select("table_name", "column_name", F.lit("catalog column not in view").alias("issue")))
     out = no_meaning.unionByName(not_in_view)
-    if filled is not None:
+    if known and not names_only:
+        filled = filled if filled is not None else column_counts(known)
         empty = (filled.where("non_null = 0").where(F.col("table_name").isin(list(known)))
                  .select("table_name", "column_name", F.lit("no value in any row").alias("issue")))
         out = out.unionByName(empty)
