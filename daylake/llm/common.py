@@ -34,6 +34,17 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+# Rows sent to a Python worker at once, where the session leaves Spark's default: whole texts are large rows.
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of whole texts are held by the JVM and by the worker at the same time: keep them to some megabytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def keep_table(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     """Write a frame to a new folder below the shared folder and read it again:
     cuts the lineage, and a lost executor costs no recomputation of what is below."""

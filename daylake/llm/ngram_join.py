@@ -15,7 +15,10 @@ They then share at least T = ceil(percent * n / 100) shingles, n the size of eit
    classes met often enough are probed in the long lists by binary search.  A few central classes are
    first compared with the whole region.  What hangs together by that needs no queries of its own: any link not yet known
    has an end outside.  So a region of copies costs a few passes, not all pairs.
-   Large regions are split into blocks, and their queries into chunks of the same size; every chunk meets every block.
+   Large regions (chains of sets that share a rare shingle) are taken apart first: linked sets share their 8 rarest common shingles
+   in both prefixes, so pairs without a shingle of a long list are told by counting short lists, and only sets in touch through
+   long lists stay together.  What is large still is split into blocks, and its queries into chunks of the same size; every chunk
+   meets every block.
 5. Links of all blocks are joined to components.
 
 Defined cases
@@ -43,17 +46,20 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daylake.llm.common import as_row, field, keep_table
+from daylake.llm.common import as_row, field, keep_table, small_batches
 from daylake.llm.components import components
 
 SHINGLE = 4
 PERCENT = 85
 # Ids known to be this few are broadcast; more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 500_000
 # Shingles that a map task settles among themselves.
 CHUNK_SHINGLES = 1_000_000
 # A region of more shingles is split into blocks of about so many.
 BLOCK_SHINGLES = 4_000_000
+# In a large region: lists of up to so many sets tell their pairs, and so many of a linked pair's rarest shared shingles are looked at.
+SHORT_LIST = 16
+SHARED = 8
 # Central classes of a region that are compared with all of it.
 PIVOTS = 16
 # Entries of short lists that are merged by a heap; more are counted by one pass over an array.
@@ -83,7 +89,7 @@ def slack(n):
 class Shingler:
     """Text -> sorted distinct 64-bit hashes of its shingles.  Remembers words' hashes, up to a bound."""
 
-    def __init__(self, size: int, words: int = 200_000):
+    def __init__(self, size: int, words: int = 100_000):
         self.size, self.bound, self.known = size, words, {}
         self.steps = [np.uint64((STEP * (2 * i + 1)) & 0xFFFFFFFFFFFFFFFF) for i in range(size)]
 
@@ -387,6 +393,23 @@ def _links_of_block(queries: pd.DataFrame, block: pd.DataFrame, percent: int, sc
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
+def _links_by_short_lists(prefixes: DataFrame, lists: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links between sets that share no shingle of a long list.
+
+    Of the shingles that two linked sets share the ``SHARED`` rarest lie in both prefixes, so all of these are in short lists: a
+    pair is a candidate if so many short lists hold it (a list of ``SHORT_LIST`` sets holds a bounded number of pairs)."""
+    entries = prefixes.join(lists.select("token"), "token")
+    a, b = (entries.select("token", F.col("c").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    pairs = a.join(b, "token").where("a < b").groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("k"))
+    least = F.least(F.lit(SHARED), *[-F.floor(-F.col(f"n_{x}") * percent / 100) for x in "ab"])
+    sizes = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
+    pairs = pairs.where((F.col("k") >= least) & sizes)
+    of = members.select("c", "tokens")
+    pairs = pairs.join(of.toDF("a", "t_a"), "a").join(of.toDF("b", "t_b"), "b")
+    shared = F.size(F.array_intersect("t_a", "t_b"))
+    return pairs.where(100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
+
+
 def links_of_sets(sets: DataFrame, percent: int) -> DataFrame:
     """``sets(c, n, tokens)``, one row a class -> ``a, b``: links that join the classes as all links would.
 
@@ -402,6 +425,7 @@ def links_of_sets(sets: DataFrame, percent: int) -> DataFrame:
         ranked.select(
             "c", "n", F.sort_array("ranked.token").alias("tokens"),
             F.slice("ranked", F.lit(1), F.col("short")).alias("short"),
+            F.slice("ranked.token", F.lit(1), (F.col("short") - 1 + F.least(F.lit(SHARED), need)).cast("int")).alias("long"),
             # Shingles few classes have: a central class has few, the fewer the more its others are common.
             F.aggregate("ranked", F.lit(0.0), lambda a, x: a + F.lit(1.0) / x["df"]).alias("rare"),
         ),
@@ -422,7 +446,24 @@ def links_of_sets(sets: DataFrame, percent: int) -> DataFrame:
     large = keep_table(spark, members.where(F.col("weight") > BLOCK_SHINGLES), "ngram-large")
     if large.isEmpty():
         return links
-    # Large regions: blocks of about BLOCK_SHINGLES; the pivots, then the queries of all that is not settled, go to every block.
+    # A large region is mostly a chain of sets that share a rare shingle or two.  It is taken apart: pairs are told by short
+    # lists, and only sets that share a shingle of a long list stay together.
+    prefixes = ranked.join(regions, "c").join(weight.where(F.col("weight") > BLOCK_SHINGLES), "region").select("c", "n", F.explode("long").alias("token"))
+    prefixes = keep_table(spark, prefixes, "ngram-prefixes")
+    lengths = prefixes.groupBy("token").agg(F.count("*").alias("k"), F.min("c").alias("b")).where("k > 1")
+    lengths = keep_table(spark, lengths, "ngram-lengths")
+    links = links.unionByName(_links_by_short_lists(prefixes, lengths.where(F.col("k") <= SHORT_LIST), large, percent))
+    dense = prefixes.select(F.col("c").alias("a"), "token").join(lengths.where(F.col("k") > SHORT_LIST), "token").where("a <> b").select("a", "b").distinct()
+    dense = components(spark, dense, "ngram-dense").select(F.col("node").alias("c"), F.col("component").alias("region"))
+    large = keep_table(spark, large.drop("region", "weight").join(dense, "c"), "ngram-dense-members")
+    weight = keep_table(spark, large.groupBy("region").agg(F.sum(F.size("tokens")).cast("long").alias("weight")), "ngram-dense-weights")
+    large = large.join(weight, "region").select("region", "c", "n", "tokens", "rare", "weight")
+    whole = large.where(F.col("weight") <= BLOCK_SHINGLES).drop("weight")
+    links = links.unionByName(whole.groupBy("region").applyInPandas(lambda g: _links_of_region(g, percent), out))
+    large = keep_table(spark, large.where(F.col("weight") > BLOCK_SHINGLES), "ngram-large")
+    if large.isEmpty():
+        return links
+    # What is large still: blocks of about BLOCK_SHINGLES; the pivots, then the queries of all that is not settled, go to every block.
     n_blocks = F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int")
     # A frame of its own: one side of the cogroups below.
     blocks = large.toDF(*large.columns).withColumn("block", F.pmod(F.xxhash64("c"), n_blocks).cast("int"))
@@ -455,6 +496,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent
     """``id, r1, r2, n, component_id, first`` of every row: its name, the smallest id reachable by links, and the
     least (id, name) reachable, null ids last (both null for the empty set)."""
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = texts.select("id", "text", *_row_name(F.col("id"), F.col("text")))
     run = _first_pass(shingle, percent, pa.int64())

@@ -51,7 +51,7 @@ WORD = re.compile(r"[^\W_]+")
 QUANTILES = 512
 RANGE_ROWS = 20_000
 # The first documents of so many ranges are broadcast; more are joined by a shuffle.
-BROADCAST_HEADS = 5_000_000
+BROADCAST_HEADS = 500_000
 
 
 def signatures(text: str | None, anchors: frozenset[str] = ANCHORS, chain: int = CHAIN, distance: int = DISTANCE) -> np.ndarray:

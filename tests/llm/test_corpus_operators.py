@@ -65,6 +65,37 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch, seed, shingle, percen
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_ngram_join_takes_a_chain_apart(spark, monkeypatch):
+    """A ring in which every document shares rare shingles with its neighbours, some pairs linked: no block search is needed,
+    and what is told by short lists grows with the ring."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 300)
+    searched, counted = [], []
+    real_pairs = ngram_join._links_by_short_lists
+
+    def pairs(prefixes, lists, members, percent):
+        counted.append(prefixes.join(lists.select("token"), "token").count())
+        return real_pairs(prefixes, lists, members, percent)
+    monkeypatch.setattr(ngram_join, "_links_by_short_lists", pairs)
+    monkeypatch.setattr(ngram_join, "_links_of_block", lambda *a: searched.append(1))
+    entries = []
+    for ring in (18, 36):
+        texts = []
+        for i in range(ring):
+            own = [f"d{i}x0"]
+            nxt = [f"s{i}x{k}" for k in range(60)]
+            before = [f"s{(i - 1) % ring}x{k}" for k in range(60)]
+            texts.append(" ".join(before + own + nxt))
+            if i % 6 == 0:
+                own = [f"changed{i}"]
+                texts.append(" ".join(before + own + nxt))
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in ngram_join.link(df).collect()}
+        assert [got[i] for i in range(len(texts))] == [c for _, c in brute_components(texts, 4, 85)]
+        assert len(set(got.values())) == ring
+        entries.append(counted[-1])
+    assert not searched and entries[1] <= 2.1 * entries[0]
+
+
 def test_ngram_join_large_family(spark):
     rnd = random.Random(8)
     base = [f"w{i}" for i in range(120)]
