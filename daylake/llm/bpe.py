@@ -34,12 +34,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from daylake.llm.common import small_batches
+
 MAX_TOKENIZER_BYTES = 64 << 20
 # Texts are encoded in slices of about so many characters, which bounds a worker's memory.
 SLICE_CHARS = 1_500_000
 # Pieces a worker remembers in each of two generations: a full one becomes the old one, and
 # pieces met again move over, so frequent ones stay.
-CACHE_PIECES = 350_000
+CACHE_PIECES = 120_000
 # Longer pieces (in characters) are forgotten after each slice, so the bound on pieces is one on memory.
 LONG_PIECE = 48
 FAR = np.int64(1) << 40
@@ -340,6 +342,7 @@ def encode(
     ids are ``array<int>``, or with ``packed`` a binary of little-endian unsigned 32-bit integers.
     ``decoded_col`` adds the text that the ids decode to, made in the same pass.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(_content(tokenizer_path))
     added = [
         T.StructField(ids_col, T.BinaryType() if packed else T.ArrayType(T.IntegerType(), False)),

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daylake.llm.common import as_row, field
+from daylake.llm.common import as_row, small_batches
 
 BUCKETS = 1 << 18
 MAX_RATED = 10_000
@@ -49,7 +49,7 @@ MIN_ERRORS = 4.0
 L2 = 0.1
 STEPS = 250
 MIN_TAIL = 0.5
-CACHE_WORDS = 150_000
+CACHE_WORDS = 60_000
 
 CORE = re.compile(r"[^\W_]+")
 PARTS = re.compile(r"[^\W_]+|[\W_]+")
@@ -237,8 +237,10 @@ def train(docs: DataFrame, rated: DataFrame, top: int = 2, id_col: str = "doc_id
     return fit([np.frombuffer(bytes(x), np.int32) for _, _, x in rows], np.array([g for _, g, _ in rows], int), top, **options)
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", min_tail: float = MIN_TAIL) -> DataFrame:
-    """The columns of ``docs`` with ``expected_grade`` and ``p_top`` (P(top grade)), to 6 places, and ``kept``: p_top >= ``min_tail``."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", min_tail: float = MIN_TAIL, column: str | None = None) -> DataFrame:
+    """The columns of ``docs`` with ``expected_grade`` and ``p_top`` (P(top grade)), to 6 places, and ``kept``: p_top >= ``min_tail``.
+    ``column``: a struct that has the text (it is sent to the workers once)."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     added = [T.StructField("expected_grade", T.DoubleType()), T.StructField("p_top", T.DoubleType()), T.StructField("kept", T.BooleanType())]
     kept = [f for f in docs.schema.fields if f.name not in {a.name for a in added}]
@@ -246,7 +248,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", min_tail: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, model = Features(), shared.value
         for batch in batches:
-            scores = np.array([model.weights[features(t.as_py())].sum() for t in batch.column(text_col)])
+            texts = batch.column(text_col) if column is None else batch.column(column).field(text_col)
+            scores = np.array([model.weights[features(t.as_py())].sum() for t in texts])
             tails = model.tails(scores)
             arrays = [batch.column(f.name) for f in kept]
             arrays += [pa.array(tails.sum(axis=1).round(6)), pa.array(tails[:, -1].round(6)), pa.array(tails[:, -1] >= min_tail)]
@@ -257,5 +260,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", min_tail: float
 
 def select(docs: DataFrame, model: Model, text_col: str = "text", min_tail: float = MIN_TAIL) -> DataFrame:
     """The documents kept, with their own columns only."""
-    rows = as_row(docs).withColumn("text", field(text_col))
-    return score(rows, model, "text", min_tail).where("kept").select("row.*")
+    return score(as_row(docs), model, text_col, min_tail, "row").where("kept").select("row.*")
