@@ -41,7 +41,7 @@ MAX_TOKENIZER_BYTES = 64 << 20
 SLICE_CHARS = 1_500_000
 # Pieces a worker remembers in each of two generations: a full one becomes the old one, and
 # pieces met again move over, so frequent ones stay.
-CACHE_PIECES = 120_000
+CACHE_PIECES = 200_000
 # Longer pieces (in characters) are forgotten after each slice, so the bound on pieces is one on memory.
 LONG_PIECE = 48
 FAR = np.int64(1) << 40
