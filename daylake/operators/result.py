@@ -11,12 +11,15 @@ from dataclasses import dataclass
 
 import json
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daylake.functions.typing import array_text
 from daylake.functions.encode import csv_header, csv_row, json_ready, json_row, md_cell, md_row
+from daylake.session import new_work_dir
 
 
 # Fixed values of the read channel.
@@ -101,19 +104,87 @@ def _after(keys: list[str], kinds: dict[str, T.DataType], values: list, orequal:
     return cond
 
 
-def page_after(df: DataFrame, keys: list[str], limit=None, token: str | None = None) -> SeekPage:
+def _all_pages(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """All pages of ``df`` with their number (``page``), cut as if each was sought by the last key of the one before.
+
+    The rows are laid out once, sorted in ranges of the keys.  Where a page begins depends on how full the ranges before
+    left the open page: each range tells this for every filling (``n`` of them) beside the others, the driver only
+    follows the ranges.  At most a number per page, and two per range and filling, come to the driver.
+    """
+    spark = df.sparkSession
+    order = [F.col(f"`{k}`").asc_nulls_first() for k in keys]
+    path = new_work_dir(spark, "pages")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A range is a task here: its number and the row's place in it are the upper and lower bits of the id.
+    laid = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    laid.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_id", T.LongType())])).parquet(path)
+    rows = rows.withColumn("_range", F.shiftright("_id", 33).cast("int"))
+    same_key = rows.groupBy("_range", *[F.col(f"`{k}`") for k in keys]).agg(F.max("_id").alias("_last")).select("_range", "_last")
+
+    def ends(group) -> np.ndarray:
+        """Rows of the range up to the end of each key."""
+        return np.sort(group["_last"].to_numpy() & ((1 << 33) - 1)) + 1
+
+    def fillings(group):
+        e = ends(group)
+        full = n - np.arange(n, dtype=np.int64)
+        ended = np.zeros(n, dtype=np.int32)
+        while (open_ := full <= e[-1]).any():
+            full[open_] = e[np.searchsorted(e, full[open_])] + n
+            ended[open_] += 1
+        left = (e[-1] - (full - n)).astype(np.int32)
+        return pd.DataFrame({"_range": [int(group["_range"].iloc[0])], "ended": [ended.tobytes()], "left": [left.tobytes()]})
+
+    told = same_key.groupBy("_range").applyInPandas(fillings, "_range int, ended binary, left binary").collect()
+    begun, page, filled = {}, 1, 0
+    for r in sorted(told, key=lambda r: r["_range"]):
+        begun[r["_range"]] = (page, filled)
+        page += int(np.frombuffer(r["ended"], np.int32)[filled])
+        filled = int(np.frombuffer(r["left"], np.int32)[filled])
+
+    def cuts(group):
+        e, k = ends(group), int(group["_range"].iloc[0])
+        full, found = n - begun[k][1], []
+        while full <= e[-1]:
+            found.append(int(e[np.searchsorted(e, full)]))
+            full = found[-1] + n
+        return pd.DataFrame({"_range": [k], "cuts": [found]})
+
+    cut_at = {r["_range"]: np.array(r["cuts"], dtype=np.int64)
+              for r in same_key.groupBy("_range").applyInPandas(cuts, "_range int, cuts array<long>").collect()}
+
+    @F.pandas_udf("int")
+    def page_of(ids: pd.Series) -> pd.Series:
+        ids = ids.to_numpy()
+        ranges, places = ids >> 33, ids & ((1 << 33) - 1)
+        out = np.zeros(len(ids), dtype=np.int32)
+        for k in np.unique(ranges):
+            mine = ranges == k
+            out[mine] = begun[k][0] + np.searchsorted(cut_at[k], places[mine], side="right")
+        return pd.Series(out)
+
+    return rows.withColumn("page", page_of("_id")).drop("_id", "_range").orderBy(*order)
+
+
+def page_after(df: DataFrame, keys: list[str], limit=None, token: str | None = None, all_pages: bool = False) -> SeekPage:
     """G1 by seeking: the page of ``df`` in the order of ``keys`` that begins after ``token`` (of the page before).
 
     A page costs the same wherever it lies: a filter on the keys (which reaches the files where their types
     allow it) and a top-``limit`` of the keys, in place of an offset that sorts and skips all before it.  Rows added or
     removed on other pages don't shift this one.  Rows equal in all ``keys`` stay on one page, so a
     page holds more than ``limit`` rows where the last of them come again; no row is left out or told twice.
+
+    ``all_pages=True`` gives this page and all after it, in order, with a column ``page`` (1, 2, ...): one sort of the rows in
+    place of a scan per page.
     """
     n = clamp_limit(limit)
     kinds = {k: df.schema[k].dataType for k in keys}
     rest = df
     if token is not None:
         rest = df.where(_after(keys, kinds, json.loads(token)))
+    if all_pages:
+        return SeekPage(_all_pages(rest, keys, n), None)
     # At most the page's keys and one more come to the driver, as text.
     texts = [F.col(f"`{k}`").cast("string").alias(f"k{i}") for i, k in enumerate(keys)]
     order = [F.col(f"`{k}`").asc_nulls_first() for k in keys]
