@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 MAX_LIST = 500  # longest list one row may hold (the export contract's visit limit)
 SPLIT_ROWS = 1_000_000  # keys with more rows are numbered by several tasks
+KEY_SLOTS = 65_536  # slots that keys are counted by before the keys of the full ones are
 
 
 def link_array_to_key(left: DataFrame, array_col: str, right: DataFrame, key: str,
@@ -50,6 +51,18 @@ def read_linked(spark, tables: tuple[str, str], key: str, how: str = "left") ->
     return left.hint("merge").join(right, key, how)
 
 
+def hot_keys(df: DataFrame, keys: list[str], rows: int) -> DataFrame | None:
+    """The keys with more than ``rows`` rows, None without any.  Keys are counted in a fixed number of slots first (no key is
+    shuffled); only the keys of slots with more rows than that are counted one by one."""
+    slot = F.pmod(F.xxhash64(*keys), F.lit(KEY_SLOTS))
+    counts = df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows)
+    full = [r[0] for r in counts.select("slot").collect()]
+    if not full:
+        return None
+    found = df.where(slot.isin(full)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select(*keys)
+    return None if found.isEmpty() else found
+
+
 def bounded_lists(df: DataFrame, keys: list[str], order: list[str], values: list[str],
                   max_len: int = MAX_LIST, part_col: str = "list_part",
                   split_rows: int = SPLIT_ROWS) -> DataFrame:
@@ -64,9 +77,9 @@ def bounded_lists(df: DataFrame, keys: list[str], order: list[str], values: list
     its own task, and a range starts where the ranges before it end; other keys are one range.
     """
     fields = list(dict.fromkeys(order + values))
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows).select(*keys)
+    hot = hot_keys(df, keys, split_rows)
     ranged = df.withColumn("_r", F.lit(0))
-    split = not hot.isEmpty()
+    split = hot is not None
     kind = df.schema[order[0]].dataType
     if split and isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         steps = [i / 32 for i in range(1, 32)]

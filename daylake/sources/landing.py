@@ -60,26 +60,27 @@ def cell_text(c: Column, dt: T.DataType) -> Column:
 
 def write_landing(df: DataFrame, landing_root: str, source: str, catalog: Catalog, *,
                   parts_per_day: int = 1, mode: str = "overwrite",
-                  native_names: dict | None = None) -> None:
+                  native_names: dict | None = None, gathered: bool = False) -> None:
     """Write ``df`` (storage-named columns + ``load_date``) as TSV exports.
 
     Stands in for the remote export: every part file carries the header of
     native field names, cells are plain text.  ``parts_per_day`` > 1 spreads
-    each day over several part files (rows salted by a hash of the row).
+    each day over several part files (rows salted by a hash of the row).  ``gathered``: the rows of a day
+    are together already.  Parts are gzipped, as text holds much that repeats.
     """
     names = native_names or {f.storage_name: f.native_field for f in catalog.fields_for(source)}
     present = [c for c in df.columns if c in names]
-    out = df.select(F.col(DAY).cast("string").alias(DAY),
-                    *[cell_text(F.col(c), df.schema[c].dataType).alias(names[c]) for c in present])
-    # Rows of a day go together (few files per day), but AQE's rebalance splits a
-    # hot day over several tasks instead of writing it from one.
-    salt = (F.pmod(F.xxhash64(*[F.col(f"`{names[c]}`") for c in present]), F.lit(parts_per_day))
-            if parts_per_day > 1 else F.lit(0))
-    out = out.withColumn("_part", salt).hint("rebalance", DAY, "_part").drop("_part")
+    texts = [cell_text(F.col(c), df.schema[c].dataType).alias(names[c]) for c in present]
+    if not gathered:
+        # Rows of a day go together (few files per day), but AQE's rebalance splits a
+        # hot day over several tasks instead of writing it from one.  Values are moved, not their texts.
+        salt = F.pmod(F.xxhash64(*texts), F.lit(parts_per_day)) if parts_per_day > 1 else F.lit(0)
+        df = df.withColumn("_part", salt).hint("rebalance", DAY, "_part")
+    out = df.select(F.col(DAY).cast("string").alias(DAY), *texts)
     (out.write.mode(mode).partitionBy(DAY)
         .option("partitionOverwriteMode", "dynamic")
         .option("sep", "\t").option("header", True).option("quote", "")
-        .option("emptyValue", "").option("nullValue", "")
+        .option("emptyValue", "").option("nullValue", "").option("compression", "gzip")
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(source_dir(landing_root, source)))
 

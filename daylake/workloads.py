@@ -50,47 +50,59 @@ def events_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "value", "props", F.to_date("ts").alias(DAY))
 
 
+def _line_id(order: F.Column, number: F.Column) -> F.Column:
+    return (_base_id() + order.cast("decimal(20,0)") * 10 + number).cast("decimal(38,0)")
+
+
+def _gathered(df: DataFrame) -> DataFrame:
+    """Rows of a day together (AQE splits a hot day), before what can be derived from them is added."""
+    return df.hint("rebalance", DAY)
+
+
 def lineitem_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    line_id = (_base_id() + F.col("l_orderkey").cast("decimal(20,0)") * 10
-               + F.col("l_linenumber")).cast("decimal(38,0)")
-    return li.select(line_id.alias("line_id"), *li.columns,
-                     F.to_date("l_shipdate").alias("date"), F.to_date("l_shipdate").alias(DAY))
+    day = _gathered(li.withColumn(DAY, F.to_date("l_shipdate")))
+    return day.select(_line_id(F.col("l_orderkey"), F.col("l_linenumber")).alias("line_id"), *li.columns,
+                      F.col(DAY).alias("date"), DAY)
 
 
 def orders_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their lines as parallel arrays, one row per (order, ``list_part``)."""
-    li = lineitem_frame(spark, sf_dir)
+    """Orders with their lines as parallel arrays, one row per (order, ``list_part``).
+
+    Ids and labels of the lines are made from their numbers and names when all else is in place, so no shuffle moves them.
+    """
+    li = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select(
-        "p_partkey", "p_name",
-        F.concat("p_name", F.lit("'s "), "p_brand", F.lit(', "'), "p_type", F.lit('"')).alias("p_label"))
-    lines = li.join(part, li.l_partkey == part.p_partkey, "left").select(
-        "l_orderkey", *LINE_ORDER, "line_id", "p_name", "p_label")
+        "p_partkey", "p_name", F.concat("p_brand", F.lit(', "'), "p_type", F.lit('"')).alias("p_kind"))
+    lines = li.join(part, li.l_partkey == part.p_partkey, "left").select("l_orderkey", *LINE_ORDER, "p_name", "p_kind")
     lists = bounded_lists(lines, ["l_orderkey"], LINE_ORDER,
-                          ["line_id", "l_linenumber", "l_quantity", "l_shipdate", "l_returnflag",
-                           "p_name", "p_label"])
+                          ["l_linenumber", "l_quantity", "l_shipdate", "l_returnflag", "p_name", "p_kind"])
     o = table(spark, sf_dir, "orders")
-    j = o.join(lists, o.o_orderkey == lists.l_orderkey, "left")
+    j = _gathered(o.join(lists, o.o_orderkey == lists.l_orderkey, "left").drop("l_orderkey")
+                  .withColumn(DAY, F.to_date("o_orderdate")))
     empty = F.array()
+    j = j.withColumns({"l_linenumber": F.coalesce("l_linenumber", empty.cast("array<int>")),
+                       "p_name": F.coalesce("p_name", empty.cast("array<string>"))})
+    label = F.zip_with("p_name", "p_kind", lambda name, kind: F.concat(name, F.lit("'s "), kind))
     return j.select(
         (_base_id() + F.col("o_orderkey")).cast("decimal(38,0)").alias("order_id"),
         "o_orderkey", F.coalesce("list_part", F.lit(0)).alias("list_part"),
         "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-        F.to_date("o_orderdate").alias("date"), "o_orderpriority",
+        F.col(DAY).alias("date"), "o_orderpriority",
         (F.col("o_orderpriority") == "1-URGENT").alias("is_urgent"),
-        F.coalesce(F.array_size("line_id"), F.lit(0)).cast("smallint").alias("n_lines"),
-        F.coalesce("line_id", empty.cast("array<decimal(38,0)>")).alias("line_ids"),
-        F.coalesce("l_linenumber", empty.cast("array<int>")).alias("line_numbers"),
+        F.array_size("l_linenumber").cast("smallint").alias("n_lines"),
+        F.transform("l_linenumber", lambda n: _line_id(F.col("o_orderkey"), n)).alias("line_ids"),
+        F.col("l_linenumber").alias("line_numbers"),
         F.coalesce("l_quantity", empty.cast("array<double>")).alias("quantities"),
         F.coalesce("l_shipdate", empty.cast("array<timestamp_ntz>")).alias("ship_times"),
         F.coalesce("l_returnflag", empty.cast("array<string>")).alias("return_flags"),
-        F.coalesce("p_name", empty.cast("array<string>")).alias("part_names"),
-        F.coalesce("p_label", empty.cast("array<string>")).alias("part_labels"),
-        F.to_date("o_orderdate").alias(DAY))
+        F.col("p_name").alias("part_names"),
+        F.coalesce(label, empty.cast("array<string>")).alias("part_labels"), DAY)
 
 
 FRAMES = {"events": events_frame, "lineitem": lineitem_frame, "orders": orders_frame}
 PARTS_PER_DAY = {"events": 4, "lineitem": 1, "orders": 1}
+GATHERED = ("lineitem", "orders")  # frames that bring the rows of a day together themselves
 
 
 @dataclass
@@ -121,9 +133,10 @@ def landed_days(spark: SparkSession, lake: Lake, source: str) -> list[str]:
 
 def land(spark: SparkSession, lake: Lake, source: str, frame: DataFrame | None = None,
          parts_per_day: int | None = None) -> None:
+    gathered = frame is None and source in GATHERED and parts_per_day is None
     frame = frame if frame is not None else FRAMES[source](spark, lake.sf_dir)
     write_landing(frame, lake.landing, source, lake.catalog,
-                  parts_per_day=parts_per_day or PARTS_PER_DAY[source])
+                  parts_per_day=parts_per_day or PARTS_PER_DAY[source], gathered=gathered)
 
 
 def load_all(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
