@@ -80,10 +80,17 @@ def typed(c: Column, working: str) -> Column:
     return typed_scalar(c, working)
 
 
+def filled(c: Column, working: str) -> Column:
+    """The typed value of a scalar; of a list only a mark, NULL where the list would be (its elements are not made)."""
+    if working.endswith("[]"):
+        return F.when(c.rlike(LIST_BODY), F.lit(True))
+    return typed_scalar(c, working)
+
+
 def typed_projection(raw: DataFrame, catalog: Catalog, source: str,
-                     keep: tuple[str, ...] = ("load_date",)) -> DataFrame:
-    """Every catalog column typed; ``keep`` columns pass through untouched."""
-    cols = [typed(F.col(f"`{f.storage_name}`"), f.working_type).alias(f.storage_name)
+                     keep: tuple[str, ...] = ("load_date",), lists: bool = True) -> DataFrame:
+    """Every catalog column typed; ``keep`` columns pass through untouched.  ``lists=False``: lists as :func:`filled`."""
+    cols = [(typed if lists else filled)(F.col(f"`{f.storage_name}`"), f.working_type).alias(f.storage_name)
             for f in catalog.fields_for(source)]
     cols += [F.col(k) for k in keep if k in raw.columns]
     return raw.select(*cols)

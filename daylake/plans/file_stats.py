@@ -96,7 +96,8 @@ def refresh(spark: SparkSession, lake: str, catalog: Catalog, source: str, d1=No
     whole = [f.name for f in kinds if _whole(f.dataType)]
     raw = scan_raw(spark, lake, catalog, source, file_col="_file")
     raw = raw.withColumns({f"_raw_{c}": F.col(f"`{c}`") for c in whole})
-    typed = typed_projection(raw, catalog, source, keep=(DAY, "_file", *[f"_raw_{c}" for c in whole]))
+    # Lists are only counted.
+    typed = typed_projection(raw, catalog, source, keep=(DAY, "_file", *[f"_raw_{c}" for c in whole]), lists=False)
     told = new.select(F.col("file").alias("_file"), DAY)
     # The day in the join prunes folders; files without a row (empty days) are added after it.
     rows = typed.join(F.broadcast(told) if n <= BROADCAST_FILES else told, ["_file", DAY], "left_semi")
@@ -106,15 +107,24 @@ def refresh(spark: SparkSession, lake: str, catalog: Catalog, source: str, d1=No
     return n
 
 
-def file_stats(spark: SparkSession, lake: str, catalog: Catalog, source: str, d1=None, d2=None) -> DataFrame:
-    """One row per present day file.  Files without statistics have ``n`` NULL; two appends of one file count once."""
+def file_stats(spark: SparkSession, lake: str, catalog: Catalog, source: str, d1=None, d2=None,
+               parts: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """One row per present day file.  Files without statistics have ``n`` NULL; two appends of one file count once.
+
+    ``parts``: the measures asked of each column (``{column: (measure, ...)}``); the others, above all the sketches, are
+    neither read nor moved.
+    """
     files = list_day_files(spark, lake, source, d1, d2).select(F.col("path").alias("file"))
-    return files.join(_written(spark, lake, catalog, source).dropDuplicates(["file"]), "file", "left")
+    written = _written(spark, lake, catalog, source)
+    if parts is not None:
+        asked = [F.struct(*[F.col(f"`{c}`")[p].alias(p) for p in ps]).alias(c) for c, ps in parts.items()]
+        written = written.select("file", DAY, "n", *asked)
+    return files.join(written.dropDuplicates(["file"]), "file", "left")
 
 
-def _complete(spark: SparkSession, lake: str, catalog: Catalog, source: str, d1, d2) -> DataFrame:
+def _complete(spark: SparkSession, lake: str, catalog: Catalog, source: str, d1, d2, parts=None) -> DataFrame:
     refresh(spark, lake, catalog, source, d1, d2)
-    return file_stats(spark, lake, catalog, source, d1, d2)
+    return file_stats(spark, lake, catalog, source, d1, d2, parts)
 
 
 def summarize_merged(spark: SparkSession, lake: str, catalog: Catalog, source: str, d1=None, d2=None) -> DataFrame:
@@ -165,8 +175,8 @@ def context_merged(spark: SparkSession, lake: str, catalog: Catalog, sources) ->
     """L4 (E5, E6) from the files' statistics: row count and range of the first date-like column of each source."""
     out = None
     for s in sorted(sources):
-        stats = _complete(spark, lake, catalog, s, None, None)
         col = first_date_like(spark.createDataFrame([], catalog.typed_schema(s)))
+        stats = _complete(spark, lake, catalog, s, None, None, {col: ("min", "max")} if col else {})
         bounds = [F.min(f"`{col}`.min"), F.max(f"`{col}`.max")] if col else [F.lit(None), F.lit(None)]
         one = stats.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), bounds[0].cast("string").alias("min_value"), bounds[1].cast("string").alias("max_value"))
         one = one.select(F.lit(s).alias("object"), "row_count", F.lit(col).cast("string").alias("date_column"), "min_value", "max_value")
@@ -178,8 +188,8 @@ def column_counts_merged(spark: SparkSession, lake: str, catalog: Catalog, sourc
     """``table_name, column_name, non_null`` of each source from the files' statistics."""
     out = None
     for s in sorted(sources):
-        stats = _complete(spark, lake, catalog, s, None, None)
         names = [f.storage_name for f in catalog.fields_for(s)]
+        stats = _complete(spark, lake, catalog, s, None, None, {c: ("held",) for c in names})
         one = stats.agg(*[F.coalesce(F.sum(f"`{c}`.held"), F.lit(0)).alias(f"c{i}") for i, c in enumerate(names)])
         rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("non_null")) for i, c in enumerate(names)])
         one = one.select(F.lit(s).alias("table_name"), F.inline(rows))
@@ -213,7 +223,7 @@ def where_between(spark: SparkSession, lake: str, catalog: Catalog, source: str,
             ok = ok & (lower <= _value(high, kind))
         return ok
 
-    stats = file_stats(spark, lake, catalog, source)
+    stats = file_stats(spark, lake, catalog, source, parts={column: ("held", "min", "max")})
     meets = F.col("n").isNull() | ((F.col(f"`{column}`.held") > 0) & both(F.col(f"`{column}`.min"), F.col(f"`{column}`.max")))
     total, met = stats.agg(F.count(F.lit(1)), F.count_if(meets)).first()
     if met <= max_files:
@@ -246,7 +256,7 @@ def lookup(spark: SparkSession, lake: str, catalog: Catalog, source: str, column
     none = typed_projection(scan_files(spark, lake, catalog, source, []), catalog, source, keep=())
     if not values:
         return none
-    stats = file_stats(spark, lake, catalog, source)
+    stats = file_stats(spark, lake, catalog, source, parts={column: ("odd", "min", "max")})
     c = F.col(f"`{column}`")
     bounds = F.array(*[_value(v, kind) for v in values])
     meets = F.col("n").isNull() | F.exists(bounds, lambda v: (v >= F.col(f"`{column}`.min")) & (v <= F.col(f"`{column}`.max")))
@@ -265,6 +275,8 @@ def lookup(spark: SparkSession, lake: str, catalog: Catalog, source: str, column
         for i in range(0, len(texts), 10):
             part = c.isin(texts[i : i + 10])
             asked = part if asked is None else asked | part
+        # Rows meet one set of all values first: few get as far as the lists.
+        asked = c.isin(texts) & asked
         out = typed_projection(scan_files(spark, lake, catalog, source, files[True], asked), catalog, source, keep=())
     if files.get(False):
         rest = typed_projection(scan_files(spark, lake, catalog, source, files[False]), catalog, source, keep=()).where(typed_in)
