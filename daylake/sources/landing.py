@@ -135,8 +135,8 @@ def scan_lines(spark: SparkSession, landing_root: str, source: str, days=None,
 
 
 def tab_count(c: Column) -> Column:
-    """Tabs in a line, by character mapping (no regex engine per line)."""
-    return F.length(c) - F.length(F.translate(c, "\t", ""))
+    """Tabs in a line, by the bytes that go with them (no regex engine, no step per character)."""
+    return F.octet_length(c) - F.octet_length(F.replace(c, F.lit("\t"), F.lit("")))
 
 
 _BITS = 30
