@@ -78,6 +78,11 @@ def fingerprint(sigs: np.ndarray) -> str:
     return sigs.astype(">u4").tobytes().hex()
 
 
+def as_lists(sigs: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, sigs)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *sigs]).astype(np.int64)))
+
+
 def parse(text: str) -> np.ndarray:
     return np.frombuffer(bytes.fromhex(text), ">u4").astype(np.uint32)
 
@@ -91,19 +96,19 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``<id_col>, n_spots, fingerprint`` of every whole text."""
+    """``<id_col>, n_spots, fingerprint`` of every whole text, and ``sigs``, the fingerprint's hashes as numbers."""
     kind = docs.select(id_col).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sigs = [signatures(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(list(map(len, sigs)), pa.int32()), pa.array(list(map(fingerprint, sigs)), pa.string())],
-                [id_col, "n_spots", "fingerprint"],
+                [batch.column("id"), pa.array(list(map(len, sigs)), pa.int32()), pa.array(list(map(fingerprint, sigs)), pa.string()), as_lists(sigs)],
+                [id_col, "n_spots", "fingerprint", "sigs"],
             )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_spots int, fingerprint string")
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_spots int, fingerprint string, sigs array<bigint>")
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,12 +201,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     prints = fingerprints(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id", "text")
-    prints = keep_table(spark, prints.withColumn("c", F.xxhash64("fingerprint")), "spots-prints")
-    hexes = F.sequence(F.lit(1), F.length("fingerprint") - 7, F.lit(8))
-    tokens = F.transform(hexes, lambda i: F.conv(F.substring("fingerprint", i, F.lit(8)), 16, 10).cast("long"))
+    prints = keep_table(spark, prints.select("id", "n_spots", F.xxhash64("fingerprint").alias("c"), "sigs"), "spots-prints")
     # Equal fingerprints are one set.
-    sets = prints.where("n_spots > 0").groupBy("c").agg(F.min("id").alias("least"), F.max("n_spots").cast("long").alias("n"), F.max("fingerprint").alias("fingerprint"))
-    sets = sets.select("c", "least", "n", tokens.alias("tokens"))
+    sets = prints.where("n_spots > 0").groupBy("c").agg(F.min("id").alias("least"), F.max("n_spots").cast("long").alias("n"), F.max("sigs").alias("tokens"))
     ranges = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in length_bounds(percent)]), lambda b: b <= F.col("n")))
     cells = sets.withColumn("cell", F.explode(F.array(ranges - 1, ranges)))
     cells = cells.select(
